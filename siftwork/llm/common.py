@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 #: ASCII white space, as the contracts of the operators define it (for Java's, DuckDB's and Python's regex engines).
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-_TO_BLANK = {i: " " for i in range(9, 14)}
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -38,18 +36,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def split_words(text: str | None) -> list[str]:
-    """The maximal runs of characters that are not ASCII white space, unchanged."""
-    if not text:
-        return []
-    return [w for w in text.translate(_TO_BLANK).split(" ") if w] if not text.isascii() else _ascii_words(text)
+def split_words(data: bytes | None) -> list[bytes]:
+    """The maximal runs of bytes that are not ASCII white space (bytes.split() splits at 0x20 and 0x09-0x0D only)."""
+    return data.split() if data else []
 
 
-def _ascii_words(text: str) -> list[str]:
-    # str.split() also splits at \x1c-\x1f, which the contracts count as word characters.
-    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return [w for w in text.translate(_TO_BLANK).split(" ") if w]
-    return text.split()
+def utf8(column: pa.Array) -> list[bytes | None]:
+    """The texts of an Arrow column as UTF-8."""
+    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
 class WordHashes(dict):
@@ -59,13 +53,13 @@ class WordHashes(dict):
         super().__init__()
         self.limit = limit
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
             self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
 
-    def of(self, words: list[str]) -> np.ndarray:
+    def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
@@ -82,8 +76,8 @@ def windows_of(h: np.ndarray, k: int, base: int) -> np.ndarray:
     """Polynomial hashes of all windows of ``k`` consecutive entries (mod 2**64), by doubling window lengths."""
     if len(h) < k:
         return np.empty(0, np.uint64)
-    b = np.uint64(base | 1)
-    out, done, power, length = None, 0, b, 1
+    power = base | 1
+    out, done, length = None, 0, 1
     cur = h
     rest = k
     while True:
@@ -92,14 +86,14 @@ def windows_of(h: np.ndarray, k: int, base: int) -> np.ndarray:
                 out, done = cur, length
             else:
                 n = len(h) - (done + length) + 1
-                out = out[:n] * power + cur[done : done + n]
+                out = out[:n] * np.uint64(power) + cur[done : done + n]
                 done += length
         rest >>= 1
         if not rest:
             return out
         n = len(cur) - length
-        cur = cur[:n] * power + cur[length : length + n]
-        power = power * power
+        cur = cur[:n] * np.uint64(power) + cur[length : length + n]
+        power = power * power & 0xFFFFFFFFFFFFFFFF
         length *= 2
 
 
@@ -115,11 +109,6 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(cur[:n], cur[w - length : w - length + n])
 
 
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` in batches of bounded size, so that a few very long texts do not fill a worker."""
-    return df.mapInArrow(f, schema)
-
-
 def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .ngram_join import jaccard_components
 from .packing import pack
 
-
 #: The vocabulary of the packing queries; files outside the repository.
 TOKENIZER = {"tokenizer": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
@@ -27,10 +27,15 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), **TOKENIZER)
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_exact_dedup": op3_exact_dedup,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     }
 
 
