@@ -13,6 +13,7 @@ from .mixing import mix
 from .ngram_join import jaccard_components
 from .packing import pack
 from .quality import classify
+from .substring_dedup import remove_repeats
 from .toxicity import score_toxicity
 
 #: The vocabulary of the packing queries; files outside the repository.
@@ -27,6 +28,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_substring_dedup": op2_substring_dedup,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_mixing": op6_mixing,
