@@ -15,6 +15,7 @@ from .packing import pack
 from .quality import classify
 from .substring_dedup import remove_repeats
 from .toxicity import score_toxicity
+from .warc import round_trip
 
 #: The vocabulary of the packing queries; files outside the repository.
 TOKENIZER = {"tokenizer": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
@@ -36,6 +37,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), **TOKENIZER)
 
@@ -71,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_warc": op4_warc,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_mixing": op6_mixing,
         "op8_quality_classifier": op8_quality_classifier,
@@ -84,6 +90,11 @@ def oracle_sql() -> dict[str, str]:
             WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents),
                  g AS (SELECT h, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY h)
             SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.h AS text_sha256 FROM d JOIN g USING (h)""",
+        "op4_warc": """
+            WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+                 g AS (SELECT payload_bytes, payload_digest, max(page_id) AS stored FROM p WHERE payload_bytes >= 1000 GROUP BY ALL)
+            SELECT page_id, payload_bytes, payload_digest, CASE WHEN stored <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN stored <> page_id THEN stored END AS refers_to
+            FROM p LEFT JOIN g USING (payload_bytes, payload_digest)""",
         "op6_mixing": r"""
             WITH d AS (SELECT doc_id, CASE WHEN source = 'src0' THEN 'crawl' ELSE 'set' || CAST(coalesce(try_cast(nullif(regexp_extract(source, '([0-9]{1,9})', 1), '') AS BIGINT), 0) % 3 AS VARCHAR) END AS domain,
                               coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n_tokens FROM documents),
