@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
+from .fingerprints import fingerprints
 from .mixing import mix
 from .ngram_join import jaccard_components
 from .packing import pack
@@ -67,6 +68,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -80,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_mixing": op6_mixing,
         "op8_quality_classifier": op8_quality_classifier,
+        "op9_fingerprints": op9_fingerprints,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     }
 
