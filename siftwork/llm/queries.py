@@ -13,6 +13,7 @@ from .fingerprints import fingerprints
 from .mixing import mix
 from .ngram_join import jaccard_components
 from .packing import pack
+from .pii import pseudonymise
 from .quality import classify
 from .substring_dedup import remove_repeats
 from .toxicity import score_toxicity
@@ -64,6 +65,14 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), **mixture_of())
 
 
+#: The key of the query over test tables; real keys are secrets that callers pass.
+TEST_KEY = b"key of the test tables"
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents"), TEST_KEY)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -84,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_warc": op4_warc,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_mixing": op6_mixing,
+        "op7_pii": op7_pii,
         "op8_quality_classifier": op8_quality_classifier,
         "op9_fingerprints": op9_fingerprints,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
