@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, staged
+from .common import mix
 
 PRIME = (1 << 31) - 1
 BASES = (911382323, 972663749)
@@ -183,47 +183,40 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     the two documents at the borders of each partition are brought together afterwards.
 
     Edge cases: null texts count as empty; empty texts are alike; rows without doc_id come last; rows repeated with one
-    doc_id follow each other in order of their texts; a single document is its own next; an empty table gives no rows; other columns are ignored.
+    doc_id follow each other in order of a hash of their texts; a single document is its own next; an empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
+    # Both uses of ``ordered`` read the same shuffle.
     ordered = rows.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
 
-    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, before, part = Fingerprinter(), None, None
-
-        def borders(kind: str, row: tuple) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([part], pa.int32()), pa.array([row[1]], pa.string()), pa.array([dict(zip(NAMES, (row[0], *[None] * 7), strict=True))], RESULT)], ["kind", "part", "text", "r"])
-
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, before = Fingerprinter(), None
         for batch in batches:
             done = []
-            for doc, text, p in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("part").to_pylist(), strict=True):
-                part = p
-                if before is None:
-                    yield borders("first", (doc, text))
-                else:
-                    done.append(of.row(*before, text))
-                before = (doc, text)
-            if done:
-                b = batch_of(done)
-                yield pa.RecordBatch.from_arrays([pa.array(["row"] * len(done)), pa.array([part] * len(done), pa.int32()), pa.array([None] * len(done), pa.string()), pa.StructArray.from_arrays(b.columns, fields=list(b.schema))], ["kind", "part", "text", "r"])
-        if before is not None:
-            yield borders("last", before)
-
-    streamed = staged(ordered.mapInArrow(stream, f"kind string, part int, text string, r struct<{SCHEMA.replace(", ", ",").replace(" ", ":")}>"), "streamed")
-    # Two rows for each partition: the last document of one meets the first of the next one that has any.
-    ends = streamed.where("kind <> 'row'").select("kind", "part", F.col("r.doc_id").alias("doc_id"), "text")
-    firsts = ends.where("kind = 'first'").select("part", F.col("text").alias("following"))
-    ring = Window.orderBy("part")
-    after = firsts.select("part").withColumn("next", F.coalesce(F.lead("part").over(ring), F.first("part").over(ring)))
-    lasts = ends.where("kind = 'last'").select("part", "doc_id", "text").join(after, "part").join(firsts.select(F.col("part").alias("next"), "following"), "next")
+            for row in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if before is not None:
+                    done.append(of.row(*before, row[1]))
+                before = row
+            yield batch_of(done)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = None
+        for batch in batches:
+            if batch.num_rows:
+                first = first or batch.slice(0, 1)
+                last = batch.slice(batch.num_rows - 1)
+        if first:
+            (a,), (b,) = first.to_pylist(), last.to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([a["part"]], pa.int32()), pa.array([b["doc_id"]], pa.int64()), pa.array([a["text"]]), pa.array([b["text"]])], ["part", "doc_id", "first", "last"])
 
     def border(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Fingerprinter()
         for batch in batches:
-            yield batch_of([of.row(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "following")), strict=True)])
+            yield batch_of([of.row(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "last", "following")), strict=True)])
 
-    return streamed.where("kind = 'row'").select("r.*").union(lasts.select("doc_id", "text", "following").mapInArrow(border, SCHEMA))
-
-
-RESULT = pa.struct(list(batch_of([]).schema))
+    # One row for each partition: its last document meets the first one of the next partition that has any.
+    found = ordered.mapInArrow(ends, "part int, doc_id long, first string, last string")
+    ring = Window.orderBy("part")
+    following = F.coalesce(F.lead("first").over(ring), F.first("first").over(ring.rowsBetween(Window.unboundedPreceding, 0)))
+    return ordered.select("doc_id", "text").mapInArrow(pairs, SCHEMA).union(found.select("doc_id", "last", following.alias("following")).mapInArrow(border, SCHEMA))
