@@ -1,15 +1,580 @@
-"""The registered queries of the engine's own operators over the driver's tables, and their SQL for DuckDB."""
+"""The registered queries of the engine's own operators over the driver's tables, and their SQL for DuckDB.
+
+The tables stand in for feature tables: events for per-item signals, embeddings for identity vectors, orders and
+lineitem for items with categories, documents for contents. Every query runs over its whole tables.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import bins, parsing, vectors
+from .operators import dataset, fusion, gates, profile, sampling, selection, timeline
+from .operators import vectors as vector_ops
+from .session import shared_dir
+from .sources import readers, sinks
+from .streaming import live
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a function as a query under its name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def r6(c: Column | str) -> Column:
+    return F.round(c, 6)
+
+
+def columns_of(select_list: str) -> list[str]:
+    """The expressions of a select list whose aliases are plain words."""
+    parts = select_list.split(", ")
+    out, held = [], ""
+    for p in parts:
+        held = f"{held}, {p}" if held else p
+        if " AS " in p and p.rsplit(" AS ", 1)[1].isidentifier():
+            out, held = [*out, held], ""
+    return out
+
+
+# Vectors and identity
+
+
+@query("""
+    WITH e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+         m AS (SELECT i, avg(x) AS m FROM e WHERE label = 0 GROUP BY i), c AS (SELECT i, m / sqrt((SELECT sum(m * m) FROM m)) AS c FROM m),
+         s AS (SELECT vec_id, sum(x * c) AS score FROM e JOIN c USING (i) GROUP BY vec_id), q AS (SELECT quantile_cont(score, 0.2) AS t FROM s)
+    SELECT CASE WHEN score >= t THEN 'MATCH' ELSE 'MISMATCH' END AS id_bin, count(*) AS n, round(min(score), 6) AS min_score, round(max(score), 6) AS max_score FROM s, q GROUP BY 1""")
+def identity_match(spark, d):
+    rows = t(spark, d, "embeddings")
+    scored = vector_ops.similarity(rows, vector_ops.reference_centroid(rows, F.col("label") == 0))
+    threshold = fusion.quantiles(scored, "score", {"threshold": 0.2}, {"threshold": 0.5})
+    tagged = scored.crossJoin(F.broadcast(threshold)).withColumn("id_bin", bins.identity_bin(F.col("score"), F.col("threshold")))
+    return tagged.groupBy("id_bin").agg(F.count("*").alias("n"), r6(F.min("score")).alias("min_score"), r6(F.max("score")).alias("max_score"))
+
+
+@query("SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: (x::DOUBLE * (1 + label)) * (x::DOUBLE * (1 + label))))), 5) AS quality FROM embeddings")
+def vector_norm_quality(spark, d):
+    scaled = t(spark, d, "embeddings").withColumn("embedding", F.transform("embedding", lambda x: x.cast("double") * (1 + F.col("label"))))
+    return vector_ops.norm_quality(scaled).select("vec_id", F.round("quality", 5).alias("quality"))
+
+
+@query("""
+    WITH e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+         m AS (SELECT label, i, avg(x) AS m FROM e GROUP BY label, i), s AS (SELECT vec_id, m.label, sum(x * m) AS s FROM e JOIN m USING (i) GROUP BY vec_id, m.label)
+    SELECT vec_id, round(max(s), 6) AS best FROM s GROUP BY vec_id""")
+def vector_best_ref(spark, d):
+    rows = t(spark, d, "embeddings")
+    means = rows.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    refs = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("embedding"))
+    return vector_ops.best_reference(rows, refs).select("vec_id", r6("best").alias("best"))
+
+
+@query("""
+    WITH s AS (SELECT vec_id, list_transform(embedding[1:8], lambda x: x::DOUBLE) AS v FROM embeddings), e AS (SELECT vec_id, v, list_transform(v, lambda x: exp(x - list_max(v))) AS e FROM s)
+    SELECT vec_id, list_position(v, list_max(v)) - 1 AS top, round(list_max(e) / list_sum(e), 6) AS probability FROM e""")
+def softmax_argmax(spark, d):
+    v = F.slice(vectors.doubles(F.col("embedding")), 1, 8)
+    return t(spark, d, "embeddings").select("vec_id", vectors.arg_max(v).cast("int").alias("top"), r6(F.array_max(vectors.softmax(v))).alias("probability"))
+
+
+@query("""
+    WITH m AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings)
+    SELECT vec_id, round(degrees(atan2(v[5], v[1])), 5) AS yaw, round(degrees(asin(greatest(-1.0, least(1.0, -v[9])))), 5) AS pitch, round(degrees(atan2(v[10], v[11])), 5) AS roll FROM m""")
+def matrix_pose(spark, d):
+    rows = t(spark, d, "embeddings").withColumn("m", F.array(*(F.slice("embedding", 4 * i + 1, 4) for i in range(4))))
+    pose = vectors.matrix_pose(F.col("m"))
+    return rows.select("vec_id", *(F.round(pose[a], 5).alias(a) for a in ("yaw", "pitch", "roll")))
+
+
+# Categories
+
+ANGLE = "(value - 245.0) / 3.0"
+
+
+def counted(rows: DataFrame, label: Column) -> DataFrame:
+    return rows.select(label.alias("label")).groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+    SELECT CASE WHEN abs(a) < 8 THEN 'FRONT' WHEN abs(a) < 25 THEN CASE WHEN a < 0 THEN 'LEFT' ELSE 'RIGHT' END WHEN abs(a) < 45 THEN CASE WHEN a < 0 THEN '3/4 LEFT' ELSE '3/4 RIGHT' END
+                ELSE CASE WHEN a < 0 THEN 'PROF LEFT' ELSE 'PROF RIGHT' END END AS label, count(*) AS n FROM (SELECT {ANGLE} AS a FROM events) GROUP BY 1""")
+def yaw_bin(spark, d):
+    return counted(t(spark, d, "events"), bins.yaw_bin(F.expr(ANGLE)))
+
+
+@query(f"SELECT CASE WHEN {ANGLE} >= 10 THEN 'CHIN UP' WHEN {ANGLE} <= -10 THEN 'CHIN DOWN' ELSE 'LEVEL' END AS label, count(*) AS n FROM events GROUP BY 1")
+def pitch_bin(spark, d):
+    return counted(t(spark, d, "events"), bins.pitch_bin(F.expr(ANGLE)))
+
+
+@query(f"""
+    WITH g AS (SELECT {ANGLE} AS x, CASE WHEN event_id % 5 = 0 THEN NULL ELSE (event_id % 61) - 30.0 END AS y FROM events)
+    SELECT CASE WHEN y IS NULL THEN CASE WHEN abs(x) <= 12 THEN 'FRONT' WHEN x < 0 THEN 'LEFT' ELSE 'RIGHT' END WHEN abs(x) <= 12 AND abs(y) <= 12 THEN 'FRONT'
+                WHEN abs(x) >= abs(y) THEN CASE WHEN x < 0 THEN 'LEFT' ELSE 'RIGHT' END WHEN y > 0 THEN 'UP' ELSE 'DOWN' END AS label, count(*) AS n FROM g GROUP BY 1""")
+def gaze_bin(spark, d):
+    return counted(t(spark, d, "events"), bins.gaze_bin(F.expr(ANGLE), F.expr("CASE WHEN event_id % 5 = 0 THEN NULL ELSE (event_id % 61) - 30.0D END")))
+
+
+@query("SELECT CASE WHEN value >= 122.75 THEN 'HIGH' WHEN value <= 121.25 THEN 'LOW' ELSE 'MID' END AS label, count(*) AS n FROM events GROUP BY 1")
+def quality_bin(spark, d):
+    return counted(t(spark, d, "events"), bins.quality_bin(F.col("value") - 122.0))
+
+
+@query("""
+    WITH s AS (SELECT event_id, value / 500 AS r, (event_id % 97) / 97.0 AS g, (user_id % 89) / 89.0 AS b FROM events),
+         l AS (SELECT event_id, CASE WHEN r <= 0.04045 THEN r / 12.92 ELSE ((r + 0.055) / 1.055) ** 2.4 END AS r, CASE WHEN g <= 0.04045 THEN g / 12.92 ELSE ((g + 0.055) / 1.055) ** 2.4 END AS g, CASE WHEN b <= 0.04045 THEN b / 12.92 ELSE ((b + 0.055) / 1.055) ** 2.4 END AS b FROM s),
+         c AS (SELECT event_id, 0.4124564 * r + 0.3575761 * g + 0.1804375 * b AS x, 0.2126729 * r + 0.7151522 * g + 0.0721750 * b AS y, 0.0193339 * r + 0.1191920 * g + 0.9503041 * b AS z FROM l),
+         n AS (SELECT event_id, (x / (x + y + z + 1e-12) - 0.3320) / (y / (x + y + z + 1e-12) - 0.1858 + 1e-9) AS n FROM c),
+         k AS (SELECT greatest(1000.0, least(25000.0, -449.0 * n * n * n + 3525.0 * n * n - 6823.3 * n + 5520.33)) AS cct FROM n)
+    SELECT CASE WHEN cct < 4200 THEN 'WARM' WHEN cct <= 6000 THEN 'NEUTRAL' ELSE 'COOL' END AS label, count(*) AS n FROM k GROUP BY 1""")
+def cct_bin(spark, d):
+    r, g, b = (bins.linear(c) for c in (F.col("value") / 500, (F.col("event_id") % 97) / F.lit(97.0), (F.col("user_id") % 89) / F.lit(89.0)))
+    return counted(t(spark, d, "events"), bins.temperature_bin(bins.colour_temperature(r, g, b)))
+
+
+@query("""
+    WITH v AS (SELECT value / 40 AS low, (event_id % 50) / 10.0 AS high, (user_id % 100) / 120.0 AS m FROM events)
+    SELECT CASE WHEN high > 2.0 OR m > 0.65 THEN 'OVER' WHEN low > 10.0 AND m < 0.08 THEN 'UNDER' ELSE 'NORMAL' END AS label, count(*) AS n FROM v GROUP BY 1""")
+def exposure_bin(spark, d):
+    return counted(t(spark, d, "events"), bins.exposure_bin(F.col("value") / 40, (F.col("event_id") % 50) / F.lit(10.0), (F.col("user_id") % 100) / F.lit(120.0)))
+
+
+SIGNALS = "cast(value / 250 AS {s}) AS au45, CASE WHEN event_id % 7 = 0 THEN NULL ELSE cast(value / 300 AS {s}) END AS au05, cast((event_id % 10) / 10.0{d} AS {s}) AS au07, cast(value / 350 AS {s}) AS au12, cast((event_id % 20) / 10.0{d} AS {s}) AS au25, CASE WHEN event_id % 3 = 0 THEN '' ELSE cast((user_id % 15) / 10.0{d} AS {s}) END AS au26"
+
+
+@query(f"""
+    WITH r AS (SELECT {SIGNALS.format(s="VARCHAR", d="")} FROM events),
+         f AS (SELECT coalesce(try_cast(nullif(au45, '') AS DOUBLE), 0) AS a45, coalesce(try_cast(nullif(au05, '') AS DOUBLE), 0) AS a05, coalesce(try_cast(nullif(au07, '') AS DOUBLE), 0) AS a07, coalesce(try_cast(nullif(au12, '') AS DOUBLE), 0) AS a12, coalesce(try_cast(nullif(au25, '') AS DOUBLE), 0) AS a25, coalesce(try_cast(nullif(au26, '') AS DOUBLE), 0) AS a26 FROM r)
+    SELECT CASE WHEN a45 + 0.5 * a07 >= 1.2 THEN 'CLOSED' WHEN a45 + 0.5 * a07 >= 0.6 OR a05 < 0.3 THEN 'HALF' ELSE 'OPEN' END AS eyes, CASE WHEN a26 >= 1.0 OR a25 >= 1.3 THEN 'OPEN' WHEN a25 >= 0.5 THEN 'SLIGHT' ELSE 'CLOSE' END AS mouth,
+           CASE WHEN a12 >= 1.2 AND a25 >= 0.8 THEN 'TEETH' WHEN a12 >= 0.7 THEN 'CLOSED' ELSE 'NONE' END AS smile, count(*) AS n FROM f GROUP BY ALL""")
+def expression_bins(spark, d):
+    rows = t(spark, d, "events").selectExpr(*columns_of(SIGNALS.format(s="string", d="D")))
+    c = F.col
+    return rows.select(bins.eyes_bin(c("au45"), c("au05"), c("au07")).alias("eyes"), bins.mouth_bin(c("au25"), c("au26")).alias("mouth"), bins.smile_bin(c("au12"), c("au25")).alias("smile")).groupBy("eyes", "mouth", "smile").agg(F.count("*").alias("n"))
+
+
+@query("""
+    SELECT event_id, round(0.55 * CASE WHEN event_id % 9 = 0 THEN 0.55 ELSE value / 500 END + 0.30 * greatest(-1.0, least(1.0, (value - 245) / 100)) + 0.10 * greatest(0.0, least(1.0, 1.0 - (abs((event_id % 120) - 60.0) / 55.0 + abs((user_id % 60) - 30.0) / 25.0)))
+           + 0.05 * ((event_id % 20) / 10.0) - 0.05 * least(1.0, (user_id % 40) / 1000.0 / 0.02), 6) AS bin_score FROM events""")
+def composite_score(spark, d):
+    e, u, v = F.col("event_id"), F.col("user_id"), F.col("value")
+    centering = bins.pose_centering((e % 120) - F.lit(60.0), (u % 60) - F.lit(30.0))
+    score = bins.bin_score(F.when(e % 9 != 0, v / 500), (v - 245) / 100, centering, (e % 20) / F.lit(10.0), (u % 40) / F.lit(1000.0))
+    return t(spark, d, "events").select("event_id", r6(score).alias("bin_score"))
+
+
+# Calibration and order
+
+
+@query("SELECT event_type, round(quantile_cont(value, 0.3), 6) AS q30, round(quantile_cont(value, 0.6), 6) AS q60, round(quantile_cont(value, 0.1), 6) AS q10, round(quantile_cont(value, 0.9), 6) AS q90 FROM events GROUP BY event_type")
+def calib_quantiles(spark, d):
+    return t(spark, d, "events").groupBy("event_type").agg(*(r6(F.percentile("value", F.lit(p))).alias(n) for n, p in {"q30": 0.3, "q60": 0.6, "q10": 0.1, "q90": 0.9}.items()))
+
+
+@query("SELECT round(avg(value), 6) AS mean, round(stddev_pop(value) + 1e-6, 6) AS std FROM events")
+def calib_mean_std(spark, d):
+    return fusion.moments(t(spark, d, "events"), "value").select(r6("mean").alias("mean"), r6("std").alias("std"))
+
+
+@query("""
+    WITH v AS (SELECT value - 100 AS a, CASE WHEN event_id % 2 = 0 THEN value END AS b FROM events)
+    SELECT CASE WHEN min(a) < -1 AND max(a) > 1 AND NOT (min(b) < -1 AND max(b) > 1) THEN true WHEN min(b) < -1 AND max(b) > 1 AND NOT (min(a) < -1 AND max(a) > 1) THEN false ELSE count(a) >= count(b) END AS prefer_first FROM v""")
+def signed_coverage(spark, d):
+    return t(spark, d, "events").agg(fusion.yaw_preference(F.col("value") - 100, F.when(F.col("event_id") % 2 == 0, F.col("value"))).alias("prefer_first"))
+
+
+@query("""
+    WITH w AS (SELECT event_id, user_id, value, count(*) OVER p AS n, avg(value) OVER p AS mu, stddev_pop(value) OVER p AS sd FROM events WINDOW p AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT event_id, round(CASE WHEN n > 0 THEN (value - mu) / CASE WHEN n > 1 AND sd > 1e-6 THEN sd ELSE 1.0 END ELSE 0.0 END, 4) AS z FROM w""")
+def running_zscore(spark, d):
+    return fusion.running_score(t(spark, d, "events"), "value", "event_id", partition=["user_id"]).select("event_id", F.round("z", 4).alias("z"))
+
+
+@query("""
+    WITH w AS (SELECT event_id, value, count(*) OVER p AS n, avg(value) OVER p AS mu, stddev_pop(value) OVER p AS sd FROM events WINDOW p AS (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT event_id, round(CASE WHEN n > 0 THEN (value - mu) / CASE WHEN n > 1 AND sd > 1e-6 THEN sd ELSE 1.0 END ELSE 0.0 END, 4) AS z FROM w""")
+def running_zscore_ranges(spark, d):
+    rows = t(spark, d, "events").select("event_id", "value")
+    span = rows.agg(F.min("event_id").alias("a"), F.max("event_id").alias("b"))
+    size = F.greatest(F.lit(1), F.ceil((F.col("b") - F.col("a") + 1) / 64))
+    ranges = span.select(F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bucket"), "a", size.alias("s")).select("bucket", (F.col("a") + F.col("bucket") * F.col("s")).alias("lo"), (F.col("a") + (F.col("bucket") + 1) * F.col("s")).alias("hi"))
+    return fusion.running_score_at_scale(rows, "value", "event_id", ranges).select("event_id", F.round("z", 4).alias("z"))
+
+
+@query("SELECT o_custkey, o_orderkey, round(o_totalprice, 2) AS price FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1")
+def last_wins(spark, d):
+    return fusion.last_wins(t(spark, d, "orders"), ["o_custkey"], "o_orderkey").select("o_custkey", "o_orderkey", F.round("o_totalprice", 2).alias("price"))
+
+
+@query("SELECT o_custkey, o_orderkey, round(o_totalprice, 2) AS price FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1")
+def first_wins(spark, d):
+    return fusion.first_wins(t(spark, d, "orders"), ["o_custkey"], "o_orderkey").select("o_custkey", "o_orderkey", F.round("o_totalprice", 2).alias("price"))
+
+
+@query("""
+    WITH p AS (SELECT p_size AS input_ord, 'set' || p_size AS src_root, 'set' || p_size || '/' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') || '.PNG' AS src_path FROM part), s AS (SELECT max(CAST(regexp_extract(s_name, '([0-9]+)', 1) AS BIGINT)) AS m FROM supplier)
+    SELECT src_root, src_path, lpad(CAST(m + row_number() OVER (ORDER BY input_ord, src_path) AS VARCHAR), 6, '0') || '.png' AS dst_name FROM p, s""")
+def renumber(spark, d):
+    files = t(spark, d, "part").select(F.col("p_size").alias("input_ord"), F.concat(F.lit("set"), "p_size").alias("src_root"), F.concat(F.lit("set"), "p_size", F.lit("/"), F.lpad(F.col("p_partkey").cast("string"), 9, "0"), F.lit(".PNG")).alias("src_path"))
+    return dataset.compile_map(files, t(spark, d, "supplier").select(F.col("s_name").alias("dst_name")))
+
+
+# Joins
+
+
+@query("""
+    SELECT o_orderkey, c_mktsegment AS cust_c_mktsegment, c_custkey IS NOT NULL AS cust_present, n_name AS nat_n_name, n_nationkey IS NOT NULL AS nat_present
+    FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON o_custkey % 30 = n_nationkey""")
+def fuse_left(spark, d):
+    items = t(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("file"), (F.col("o_custkey") % 30).alias("other"))
+    customers = t(spark, d, "customer").select(F.col("c_custkey").alias("file"), "c_mktsegment")
+    nations = t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("other"), "n_name")
+    return fusion.fuse(fusion.fuse(items, {"cust": customers}, "file"), {"nat": nations}, "other").select("o_orderkey", "cust_c_mktsegment", "cust_present", "nat_n_name", "nat_present")
+
+
+@query("""
+    WITH a AS (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS seg FROM customer), b AS (SELECT s_suppkey * 2 AS k, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE s_name END AS name, round(s_acctbal, 2) AS bal FROM supplier)
+    SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NOT NULL THEN b.name ELSE a.name END AS name, seg, bal FROM a FULL JOIN b ON a.k = b.k""")
+def overlay_full_outer(spark, d):
+    a = t(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("seg"))
+    b = t(spark, d, "supplier").select((F.col("s_suppkey") * 2).alias("k"), F.when(F.col("s_suppkey") % 3 == 0, "").otherwise(F.col("s_name")).alias("name"), F.round("s_acctbal", 2).alias("bal"))
+    return fusion.overlay(a, b, "k")
+
+
+@query("SELECT l_orderkey, l_linenumber, coalesce(s_name, n_name) AS name FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey AND s_suppkey % 2 = 0 LEFT JOIN nation ON l_partkey % 40 = n_nationkey")
+def two_tier_lookup(spark, d):
+    rows = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("s_suppkey"), (F.col("l_partkey") % 40).alias("n"))
+    first = t(spark, d, "supplier").where("s_suppkey % 2 = 0").select("s_suppkey", F.col("s_name").alias("name"))
+    second = t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("n"), F.col("n_name").alias("name"))
+    return dataset.two_tier(rows, first, second, "s_suppkey", "n", "name").select("l_orderkey", "l_linenumber", "name")
+
+
+@query("SELECT c_custkey, c_name FROM customer SEMI JOIN orders ON c_custkey = o_custkey")
+def existence_semi(spark, d):
+    there = t(spark, d, "orders").select(F.col("o_custkey").alias("path"))
+    return dataset.existing(t(spark, d, "customer").select("c_custkey", "c_name"), there, "c_custkey").select("c_custkey", "c_name")
+
+
+@query("SELECT c_custkey, c_name FROM customer ANTI JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) ON c_custkey = o_custkey")
+def new_items_anti(spark, d):
+    return dataset.not_done(t(spark, d, "customer").select("c_custkey", "c_name"), t(spark, d, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey")), "c_custkey").select("c_custkey", "c_name")
+
+
+@query("""
+    WITH a AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events), b AS (SELECT o_custkey AS user_id, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders)
+    SELECT event_id, a.i AS ordinal, o_orderkey FROM a LEFT JOIN b USING (user_id, i)""")
+def positional_zip(spark, d):
+    a, b = t(spark, d, "events").select("user_id", "event_id"), t(spark, d, "orders").select(F.col("o_custkey").alias("user_id"), "o_orderkey")
+    return dataset.align(a, b, ["event_id"], ["o_orderkey"], "user_id").select("event_id", F.col("ordinal").cast("long"), "o_orderkey")
+
+
+# Profiles
+
+SIX = {"bin_yaw": "l_returnflag", "bin_pitch": "l_linestatus", "bin_eyes": "CAST(l_linenumber AS {s})", "bin_smile": "CAST(l_partkey % 3 AS {s})", "bin_teeth": "CAST(l_suppkey % 2 AS {s})", "bin_light": "CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE CAST(l_orderkey % 5 AS {s}) END"}
+
+
+def six(s: str, coalesce: bool = False) -> str:
+    return ", ".join(f"coalesce({e.format(s=s)}, '') AS {k}" if coalesce else f"{e.format(s=s)} AS {k}" for k, e in SIX.items())
+
+
+@query(f"SELECT *, count(*) AS count FROM (SELECT {six('VARCHAR', True)} FROM lineitem) GROUP BY ALL")
+def bin_counts(spark, d):
+    return profile.key_counts(t(spark, d, "lineitem").selectExpr(*(f"{e.format(s='string')} AS {k}" for k, e in SIX.items())), selection.KEYS)
+
+
+@query("""
+    WITH dom(section, label) AS (VALUES ('FLAG', 'A'), ('FLAG', 'N'), ('FLAG', 'R'), ('FLAG', 'X'), ('STATUS', 'O'), ('STATUS', 'F'), ('STATUS', 'P'), ('LINE', '1'), ('LINE', '2'), ('LINE', '9')),
+         c AS (SELECT 'FLAG' AS section, l_returnflag AS label FROM lineitem UNION ALL SELECT 'STATUS', l_linestatus FROM lineitem UNION ALL SELECT 'LINE', CAST(l_linenumber AS VARCHAR) FROM lineitem), n AS (SELECT section, label, count(*) AS n FROM c GROUP BY ALL)
+    SELECT section, label, coalesce(n, 0) AS count FROM dom LEFT JOIN n USING (section, label)""")
+def section_histogram(spark, d):
+    sections = {"FLAG": ["A", "N", "R", "X"], "STATUS": ["O", "F", "P"], "LINE": ["1", "2", "9"]}
+    return profile.section_histogram(t(spark, d, "lineitem"), {"FLAG": "l_returnflag", "STATUS": "l_linestatus", "LINE": "l_linenumber"}, sections).select("section", "label", "count")
+
+
+@query("""
+    SELECT CASE WHEN l_quantity < 5 THEN 'too_few' WHEN l_discount > 0.08 THEN 'too_cheap' WHEN l_tax > 0.07 THEN 'too_dear' WHEN l_returnflag = 'R' THEN 'returned' END AS reject_reason, count(*) AS n FROM lineitem GROUP BY 1""")
+def reject_reasons(spark, d):
+    c = F.col
+    reason = gates.first_failing({"too_few": c("l_quantity") < 5, "too_cheap": c("l_discount") > 0.08, "too_dear": c("l_tax") > 0.07, "returned": c("l_returnflag") == "R"})
+    return gates.reject_counts(t(spark, d, "lineitem").withColumn("reject_reason", reason))
+
+
+@query("SELECT count(*) AS n, count_if(l_quantity < 10) AS few_n, round(count_if(l_quantity < 10) / greatest(count(*), 1), 6) AS few_share FROM lineitem")
+def conditional_shares(spark, d):
+    return gates.shares(t(spark, d, "lineitem"), {"few": F.col("l_quantity") < 10}).withColumn("few_share", r6("few_share"))
+
+
+@query("""
+    WITH k AS (SELECT o_orderpriority AS p, count(*) AS n FROM orders GROUP BY 1), s AS (SELECT o_orderpriority AS p, count(*) AS selected FROM orders WHERE o_totalprice > 200000 GROUP BY 1)
+    SELECT p, n AS target_count, coalesce(selected, 0) AS selected, 1000 AS coverage_min, CAST(coalesce(selected, 0) >= CASE WHEN n > 0 THEN 1000 ELSE 0 END AS INTEGER) AS coverage_met FROM k LEFT JOIN s USING (p)""")
+def coverage_report(spark, d):
+    rows = t(spark, d, "orders").withColumnRenamed("o_orderpriority", "p")
+    return profile.coverage_report(rows.groupBy("p").agg(F.count("*").alias("n")), rows.where("o_totalprice > 200000"), ["p"], 1000)
+
+
+# Selection
+
+SOURCE = "CAST({k} % 3 AS {s}) AS bin_yaw, CAST({k} * 7 % 11 % 3 AS {s}) AS bin_pitch, CAST({k} % 2 AS {s}) AS bin_eyes, CAST({k} % 5 % 2 AS {s}) AS bin_smile, '0' AS bin_teeth, CASE WHEN {k} % 13 = 0 THEN '' ELSE CAST({k} % 2 AS {s}) END AS bin_light"
+
+
+def selection_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    keys = lambda k: columns_of(SOURCE.format(k=k, s="string"))
+    source = t(spark, d, "orders").selectExpr("o_orderkey AS src_ord", "concat('p/', o_orderkey) AS path", *keys("o_orderkey"), "cast(o_totalprice AS string) AS id_score", "cast(o_custkey % 7 AS string) AS quality", "o_orderkey % 4 = 0 AS upscaled")
+    target = t(spark, d, "customer").selectExpr("c_custkey AS src_ord", *keys("(c_custkey * c_custkey % 17)"))
+    return source, target
+
+
+_TABLES = f"""
+    s AS (SELECT o_orderkey AS src_ord, {SOURCE.format(k="o_orderkey", s="VARCHAR")}, 0.05 * o_totalprice + 0.05 * (o_custkey % 7) AS own, o_orderkey % 4 = 0 AS upscaled FROM orders),
+    sk AS (SELECT *, concat_ws('|', bin_yaw, bin_pitch, bin_eyes, bin_smile, bin_teeth, bin_light) AS key FROM s),
+    dk AS (SELECT key, any_value(bin_yaw) AS y, any_value(bin_pitch) AS p, any_value(bin_eyes) AS e, any_value(bin_smile) AS m, any_value(bin_teeth) AS h, any_value(bin_light) AS g, count(*) AS n, min(c_custkey) AS ord
+           FROM (SELECT *, concat_ws('|', bin_yaw, bin_pitch, bin_eyes, bin_smile, bin_teeth, bin_light) AS key FROM (SELECT c_custkey, {SOURCE.format(k="(c_custkey * c_custkey % 17)", s="VARCHAR")} FROM customer)) GROUP BY key)"""
+
+
+@query(f"""
+    WITH RECURSIVE {_TABLES},
+    own AS (SELECT dk.key, count(sk.key) AS c FROM dk LEFT JOIN sk ON sk.key = dk.key GROUP BY dk.key), thin AS (SELECT dk.*, c FROM dk JOIN own ON own.key = dk.key WHERE c < 40),
+    near AS (SELECT thin.key AS proto, sk.src_ord, row_number() OVER (PARTITION BY thin.key ORDER BY sk.src_ord) AS r, greatest(120 - c, 1) AS most FROM thin JOIN sk ON sk.key <> thin.key AND (bin_yaw = y OR bin_pitch = p OR bin_smile = m)),
+    cand AS (SELECT key AS proto, src_ord FROM sk WHERE key IN (SELECT key FROM dk) UNION ALL SELECT proto, src_ord FROM near WHERE r <= most),
+    scored AS (SELECT proto, src_ord, 0.5 * CASE WHEN bin_yaw = y AND bin_pitch = p THEN 1.0 WHEN bin_yaw = y OR bin_pitch = p THEN 0.5 ELSE 0 END + 0.2 * CASE WHEN bin_light <> '' AND g <> '' AND bin_light = g THEN 1.0 ELSE 0 END
+                 + 0.3 * (((bin_eyes = e)::INT + (bin_smile = m)::INT + (bin_teeth = h)::INT) / 3.0) + own AS score FROM cand JOIN sk USING (src_ord) JOIN dk ON dk.key = proto),
+    cov AS (SELECT DISTINCT src_ord FROM (SELECT src_ord FROM scored QUALIFY row_number() OVER (PARTITION BY proto ORDER BY score DESC, src_ord) <= 40)),
+    bins AS (SELECT dk.key, n, dk.ord, row_number() OVER (ORDER BY n DESC, dk.ord) AS i, count(sk.key) FILTER (sk.src_ord IN (SELECT src_ord FROM cov)) AS already, count(sk.key) FILTER (sk.src_ord NOT IN (SELECT src_ord FROM cov)) AS avail FROM dk LEFT JOIN sk ON sk.key = dk.key GROUP BY dk.key, n, dk.ord),
+    f(i, rem, take) AS (SELECT 0::BIGINT, greatest(0, (SELECT sum(n) FROM dk) - (SELECT count(*) FROM cov))::BIGINT, 0::BIGINT
+        UNION ALL SELECT b.i, (f.rem - greatest(0, least(greatest(0, round_even(f.rem::DOUBLE * (b.n::DOUBLE / (SELECT sum(n) FROM dk)::DOUBLE), 0)::BIGINT - b.already), b.avail, f.rem)))::BIGINT,
+                         greatest(0, least(greatest(0, round_even(f.rem::DOUBLE * (b.n::DOUBLE / (SELECT sum(n) FROM dk)::DOUBLE), 0)::BIGINT - b.already), b.avail, f.rem))::BIGINT FROM f JOIN bins b ON b.i = f.i + 1),
+    fill AS (SELECT src_ord FROM (SELECT sk.src_ord, take, row_number() OVER (PARTITION BY sk.key ORDER BY 0.5 * 1.0 + 0.2 * CASE WHEN bin_light <> '' THEN 1.0 ELSE 0 END + 0.3 + own DESC, sk.src_ord) AS r FROM sk JOIN bins USING (key) JOIN f USING (i) WHERE sk.src_ord NOT IN (SELECT src_ord FROM cov)) WHERE r <= take)
+    SELECT src_ord FROM cov UNION SELECT src_ord FROM fill""")
+def select_v1(spark, d):
+    source, target = selection_tables(spark, d)
+    return selection.select_v1(source.drop("upscaled"), target, 40).select("src_ord")
+
+
+@query(f"""
+    WITH RECURSIVE {_TABLES},
+    b AS (SELECT dk.key, n, dk.ord, count(sk.key) FILTER (NOT upscaled) AS native, count(sk.key) FILTER (upscaled) AS up, row_number() OVER (ORDER BY dk.ord) AS i, row_number() OVER (ORDER BY n DESC, dk.ord) AS j FROM dk LEFT JOIN sk ON sk.key = dk.key GROUP BY dk.key, n, dk.ord),
+    c(i, used, had, a, u) AS (SELECT 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT
+        UNION ALL SELECT b.i, (c.used + greatest(0, least(40 - least(40, b.native), 100 - c.used, b.up)))::BIGINT, (c.had + least(40, b.native) + greatest(0, least(40 - least(40, b.native), 100 - c.used, b.up)))::BIGINT, least(40, b.native)::BIGINT, greatest(0, least(40 - least(40, b.native), 100 - c.used, b.up))::BIGINT FROM c JOIN b ON b.i = c.i + 1),
+    x AS (SELECT b.*, c.a, c.u FROM b JOIN c USING (i)), tot AS (SELECT sum(n)::BIGINT AS total FROM dk), fin AS (SELECT max(used) AS used, max(had) AS had FROM c),
+    f(j, rem, used, a, u) AS (SELECT 0::BIGINT, greatest(0, total - had)::BIGINT, used::BIGINT, 0::BIGINT, 0::BIGINT FROM tot, fin
+        UNION ALL SELECT j, rem - a - u, used + u, a, u FROM (
+          SELECT j, rem, used, a, CASE WHEN goes THEN greatest(0, least(rem - a, 100 - used, up - u0))::BIGINT ELSE 0 END AS u FROM (
+            SELECT x.j, f.rem, f.used, x.up, x.u AS u0, f.rem > 0 AND round_even(f.rem::DOUBLE * (x.n::DOUBLE / total::DOUBLE), 0) > 0 AS goes, CASE WHEN f.rem > 0 AND round_even(f.rem::DOUBLE * (x.n::DOUBLE / total::DOUBLE), 0) > 0 THEN greatest(0, least(round_even(f.rem::DOUBLE * (x.n::DOUBLE / total::DOUBLE), 0)::BIGINT, x.native - x.a, f.rem))::BIGINT ELSE 0 END AS a
+            FROM f JOIN x ON x.j = f.j + 1, tot))),
+    lim AS (SELECT x.key, x.a + f.a AS native, x.u + f.u AS up FROM x JOIN f USING (j))
+    SELECT src_ord FROM (SELECT src_ord, upscaled, native, up, row_number() OVER (PARTITION BY sk.key, upscaled ORDER BY 0.5 * 1.0 + 0.2 * CASE WHEN bin_light <> '' THEN 1.0 ELSE 0 END + 0.3 + own DESC, src_ord) AS r FROM sk JOIN lim USING (key)) WHERE r <= CASE WHEN upscaled THEN up ELSE native END""")
+def select_v2(spark, d):
+    source, target = selection_tables(spark, d)
+    return selection.select_v2(source, target, 40, 100).select("src_ord")
+
+
+# Datasets
+
+
+@query("""
+    WITH d AS (SELECT doc_id, sha1(text) AS hash FROM documents), lib AS (SELECT DISTINCT sha1(html) AS hash FROM pages)
+    SELECT hash, min(doc_id) AS doc_id FROM d WHERE hash NOT IN (SELECT hash FROM lib) GROUP BY hash""")
+def content_dedupe(spark, d):
+    files = dataset.content_hash(t(spark, d, "documents").select(F.col("doc_id").alias("src_ord"), "text"), "text").drop("text")
+    library = dataset.content_hash(t(spark, d, "pages").select("html"), "html").select("hash")
+    return dataset.new_items(files, library).select("hash", F.col("src_ord").alias("doc_id"))
+
+
+@query("""
+    SELECT c_custkey AS id, c_name AS name, CAST(NULL AS VARCHAR) AS kind, c_mktsegment AS seg, 'customers' AS src_root FROM customer UNION ALL SELECT s_suppkey, s_name, NULL, NULL, 'suppliers' FROM supplier UNION ALL SELECT p_partkey, p_name, p_type, NULL, p_brand FROM part""")
+def compile_union(spark, d):
+    logs = {
+        "customers": t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("seg")),
+        "suppliers": t(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")),
+        "parts": t(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("kind"), F.col("p_brand").alias("src_root")),
+    }
+    return dataset.union_logs(logs)
+
+
+CLEAN = "CASE o_orderkey % 5 WHEN 0 THEN '1' WHEN 1 THEN ' true ' WHEN 2 THEN 'yes' WHEN 3 THEN '0' ELSE NULL END AS cleanup_flag, CASE o_orderkey % 4 WHEN 0 THEN ' b, a ' WHEN 1 THEN ',' WHEN 2 THEN 'blur' ELSE NULL END AS cleanup_reason"
+
+
+@query(f"""
+    WITH o AS (SELECT 'x/' || o_orderkey AS path, o_orderkey AS k, {CLEAN} FROM orders), f AS (SELECT path, k, CASE WHEN cleanup_reason = ' b, a ' THEN 'a,b' WHEN cleanup_reason = 'blur' THEN 'blur' ELSE 'cleanup' END AS reason FROM o WHERE trim(cleanup_flag) IN ('1', 'true', 'True', 'TRUE')),
+         l AS (SELECT 'x/' || o_orderkey AS p FROM orders WHERE o_custkey % 3 = 0 UNION SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_custkey % 3 = 1)
+    SELECT path, CASE WHEN hit THEN 'would_move' ELSE 'missing' END AS action, reason, CASE WHEN hit THEN 'bad/' || split_part(reason, ',', 1) || '/' || k ELSE '' END AS dst FROM (SELECT *, path IN (SELECT p FROM l) OR CAST(k AS VARCHAR) IN (SELECT p FROM l) AS hit FROM f WHERE reason <> 'blur')""")
+def cleanup_plan(spark, d):
+    tags = t(spark, d, "orders").selectExpr("concat('x/', o_orderkey) AS path", *columns_of(CLEAN))
+    orders = t(spark, d, "orders")
+    listing = orders.where("o_custkey % 3 = 0").select(F.concat(F.lit("x/"), "o_orderkey").alias("path")).union(orders.where("o_custkey % 3 = 1").select(F.col("o_orderkey").cast("string").alias("path")))
+    return dataset.cleanup_plan(dataset.cleanup_candidates(tags, ignore=["blur"]), listing)
+
+
+@query("""
+    WITH tag AS (SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN '0' WHEN 1 THEN '1' ELSE '' END AS f FROM customer)
+    SELECT 'd/' || o_orderkey AS path FROM orders LEFT JOIN tag ON o_orderkey = k WHERE coalesce(f, '0') IN ('0', '')""")
+def train_index(spark, d):
+    files = t(spark, d, "orders").select(F.concat(F.lit("d/"), "o_orderkey").alias("path"))
+    tags = t(spark, d, "customer").select(F.col("c_custkey").alias("src_ord"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("d/"), "c_custkey")).otherwise(F.col("c_custkey").cast("string")).alias("path"), F.when(F.col("c_custkey") % 3 == 0, "0").when(F.col("c_custkey") % 3 == 1, "1").otherwise("").alias("cleanup_flag"))
+    return dataset.target_index(files, tags)
+
+
+@query("SELECT c_custkey AS id, 'f' || c_custkey AS file FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey % 2 = 0)")
+def library_refresh(spark, d):
+    manifest = t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("f"), "c_custkey").alias("file"))
+    return dataset.refresh_library(manifest, t(spark, d, "orders").where("o_orderkey % 2 = 0").select(F.concat(F.lit("f"), "o_custkey").alias("path")))
+
+
+@query("""
+    WITH l AS (SELECT CASE WHEN c_custkey % 6 = 0 THEN 'n' || c_custkey ELSE '' END AS dn, 'r' || c_custkey % 5 AS root, 'a/' || c_custkey AS p, CASE WHEN c_custkey % 2 = 0 THEN 'yes' ELSE '' END AS up, CASE c_custkey % 3 WHEN 0 THEN '2.0' ELSE '' END AS sc FROM customer),
+         m AS (SELECT 'r' || s_suppkey % 5 AS root, CASE WHEN s_suppkey % 2 = 0 THEN 'a/' ELSE 'b/' END || s_suppkey AS p, 'd' || s_suppkey AS n, CAST(s_suppkey AS VARCHAR) AS base FROM supplier)
+    SELECT DISTINCT coalesce(nullif(dn, ''), m1.n, m2.n) AS dst_name FROM l LEFT JOIN m m1 ON l.root = m1.root AND l.p = m1.p LEFT JOIN m m2 ON split_part(l.p, '/', 2) = m2.base WHERE (up = 'yes' OR sc = '2.0') AND coalesce(nullif(dn, ''), m1.n, m2.n) IS NOT NULL""")
+def upscaled_names(spark, d):
+    logs = t(spark, d, "customer").selectExpr("CASE WHEN c_custkey % 6 = 0 THEN concat('n', c_custkey) ELSE '' END AS dst_name", "concat('r', c_custkey % 5, '/') AS src_root", "concat('a/', c_custkey) AS src_path", "CASE WHEN c_custkey % 2 = 0 THEN 'yes' ELSE '' END AS upscaled", "CASE c_custkey % 3 WHEN 0 THEN '2.0' ELSE '' END AS scale")
+    names = t(spark, d, "supplier").selectExpr("s_suppkey AS ord", "concat('r', s_suppkey % 5) AS src_root", "concat(CASE WHEN s_suppkey % 2 = 0 THEN 'a/' ELSE 'b/' END, s_suppkey) AS src_path", "concat('d', s_suppkey) AS dst_name")
+    return selection.upscaled_names(logs, names)
+
+
+# Samples and timelines
+
+
+@query("SELECT event_type, user_id % 3 AS grp, event_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id % 3 ORDER BY sha1(event_id || '|7'), event_id) <= 12")
+def stratified_preview(spark, d):
+    rows = t(spark, d, "events").select("event_type", (F.col("user_id") % 3).alias("grp"), "event_id")
+    return sampling.stratified(rows, ["event_type", "grp"], "event_id", 12, 7)
+
+
+def signal(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "events").select("event_id", "user_id", "value", (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1000000.0) - 1600000000).alias("t"))
+
+
+_S = "(SELECT event_id, user_id, value, epoch_us(ts) / 1000000.0 - 1600000000 AS t FROM events)"
+CUT_A, CUT_B = 105_000_000.0, 106_500_000.0
+
+
+@query(f"SELECT event_id, round(t - {CUT_A}, 3) AS t FROM {_S} WHERE t >= {CUT_A}")
+def cut_head(spark, d):
+    return timeline.drop_head(signal(spark, d), CUT_A).select("event_id", F.round("t", 3).alias("t"))
+
+
+@query(f"SELECT event_id, round(t, 3) AS t FROM {_S} WHERE t < {CUT_B}")
+def keep_head(spark, d):
+    return timeline.keep_head(signal(spark, d), CUT_B).select("event_id", F.round("t", 3).alias("t"))
+
+
+@query(f"WITH s AS (FROM {_S}), m AS (SELECT user_id, max(t) AS m FROM s GROUP BY user_id) SELECT event_id, round(t, 3) AS t FROM s JOIN m USING (user_id) WHERE t < m - 86400")
+def cut_tail(spark, d):
+    return timeline.cut_tail(signal(spark, d), 86400.0, "user_id").select("event_id", F.round("t", 3).alias("t"))
+
+
+@query(f"SELECT event_id, round(CASE WHEN t >= {CUT_B} THEN t - {CUT_B - CUT_A} ELSE t END, 3) AS t FROM {_S} WHERE t < {CUT_A} OR t >= {CUT_B}")
+def remove_range(spark, d):
+    return timeline.remove_range(signal(spark, d), CUT_A, CUT_B).select("event_id", F.round("t", 3).alias("t"))
+
+
+@query("""
+    WITH r AS (SELECT user_id, floor((epoch_us(ts) / 1000000.0 - 1600000000) / 3600) AS t, max(value) AS value FROM events GROUP BY ALL), m AS (SELECT user_id, min(t) AS a, max(t) AS b FROM r GROUP BY user_id),
+         g AS (SELECT user_id, a + i / 0.1 AS t FROM (SELECT user_id, a, unnest(range(CAST(floor((b - a) * 0.1) AS BIGINT) + 1)) AS i FROM m))
+    SELECT g.user_id, g.t, r.value FROM g ASOF JOIN r ON g.user_id = r.user_id AND g.t >= r.t""")
+def resample_cfr(spark, d):
+    rows = signal(spark, d).groupBy("user_id", F.floor(F.col("t") / 3600).cast("double").alias("t")).agg(F.max("value").alias("value"))
+    return timeline.resample(rows, 0.1, "user_id", "value")
+
+
+@query("SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 + 100 AS number FROM events")
+def frame_numbers(spark, d):
+    rows = t(spark, d, "events").select("event_id", "user_id", F.struct("ts", "event_id").alias("t"))
+    return timeline.number_frames(rows, "user_id", "t", 100).select("event_id", "user_id", F.col("number").cast("long"))
+
+
+@query("SELECT event_id, round((row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) * (1000.0 / 30), 3) AS ms FROM events WHERE event_id % 4 = 0")
+def stride_time(spark, d):
+    return timeline.synthetic_time(timeline.stride(t(spark, d, "events"), 30.0, 8.0, "event_id"), "event_id", 30.0, ["user_id"]).select("event_id", F.round("ms", 3).alias("ms"))
+
+
+# Texts
+
+
+@query(r"""
+    SELECT page_id, split_part(url, '/', -1) AS base, regexp_replace(split_part(url, '/', -1), '(.)\.[^.]*$', '\1') AS stem, lower(regexp_extract(split_part(url, '/', -1), '.(\.[^.]*)$', 1)) AS suffix, try_cast(nullif(regexp_extract(url, '([0-9]+)', 1), '') AS BIGINT) AS number,
+           trim(regexp_replace(regexp_replace(regexp_replace(url, '[/\\]', '_', 'g'), '[^A-Za-z0-9 _-]+', '_', 'g'), '\s+', ' ', 'g')) AS safe, printf('%06d', page_id) AS padded FROM pages""")
+def path_parts(spark, d):
+    u = F.col("url")
+    return t(spark, d, "pages").select("page_id", parsing.base_name(u).alias("base"), parsing.stem(u).alias("stem"), parsing.suffix(u).alias("suffix"), parsing.first_number(u).alias("number"), parsing.safe_name(u).alias("safe"), parsing.padded(F.col("page_id")).alias("padded"))
+
+
+CELLS = "CASE event_id % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' 1.5 ' WHEN 3 THEN '1d' WHEN 4 THEN '1_000' WHEN 5 THEN 'abc' WHEN 6 THEN '-2e3' WHEN 7 THEN 'TRUE' ELSE CAST(event_id AS {s}) END"
+
+
+@query(f"""
+    WITH c AS (SELECT event_id, {CELLS.format(s="VARCHAR")} AS x FROM events)
+    SELECT event_id, CASE WHEN regexp_full_match(trim(x), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN CAST(trim(x) AS DOUBLE) END AS number, coalesce(lower(trim(x)) IN ('1', 'true', 'yes', 'y', 't'), false) AS truth, coalesce(x, '0') IN ('0', '') AS unset FROM c""")
+def parse_cells(spark, d):
+    x = F.expr(CELLS.format(s="string"))
+    return t(spark, d, "events").select("event_id", parsing.to_float(x).alias("number"), parsing.truthy(x).alias("truth"), parsing.flag_unset(x).alias("unset"))
+
+
+CLOCK = "CASE event_id % 4 WHEN 0 THEN CAST(event_id AS {s}) WHEN 1 THEN concat(event_id % 60, ':', event_id % 59) WHEN 2 THEN concat(event_id % 3, ':', event_id % 60, ':', event_id % 50, '.5') ELSE 'a' END"
+
+
+@query(f"""
+    WITH c AS (SELECT event_id, {CLOCK.format(s="VARCHAR")} AS x, CAST(event_id * 7 % 9000 AS BIGINT) AS s FROM events)
+    SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(x AS DOUBLE) WHEN 1 THEN CAST(split_part(x, ':', 1) AS DOUBLE) * 60 + CAST(split_part(x, ':', 2) AS DOUBLE) WHEN 2 THEN CAST(split_part(x, ':', 1) AS DOUBLE) * 3600 + CAST(split_part(x, ':', 2) AS DOUBLE) * 60 + CAST(split_part(x, ':', 3) AS DOUBLE) END AS seconds,
+           CASE WHEN s >= 3600 THEN printf('%d:%02d:%02d', s // 3600, s // 60 % 60, s % 60) ELSE printf('%02d:%02d', s // 60, s % 60) END AS shown, rpad(repeat('█', CAST(round_even(16 * (s / 90.0) / 100, 0) AS BIGINT)), 16, ' ') AS bar FROM c""")
+def clocks_and_bars(spark, d):
+    s = F.col("event_id") * 7 % 9000
+    return t(spark, d, "events").select("event_id", parsing.clock_seconds(F.expr(CLOCK.format(s="string"))).alias("seconds"), parsing.clock_text(s).alias("shown"), parsing.bar(s / F.lit(90.0)).alias("bar"))
+
+
+@query("SELECT event_id, CASE WHEN abs(v) <= pi() + 0.05 THEN round(v * 180.0 / pi(), 6) ELSE round(v, 6) END AS degrees FROM (SELECT event_id, value / 100 - 2 AS v FROM events)")
+def guessed_degrees(spark, d):
+    return t(spark, d, "events").select("event_id", r6(parsing.maybe_degrees(F.col("value") / 100 - 2)).alias("degrees"))
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(user_id AS VARCHAR) AS user_id, '' AS absent FROM events")
+def csv_round_trip(spark, d):
+    path = f"{shared_dir(spark)}/siftwork/csv-{uuid.uuid4().hex}"
+    sinks.write_csv(t(spark, d, "events"), path, ["event_id", "event_type", "user_id", "absent"])
+    return readers.read_csv(spark, path, ["event_id", "event_type", "user_id", "absent"]).fillna("")
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_id % 10 <> 0")
+def jsonl_malformed_dropped(spark, d):
+    path = f"{shared_dir(spark)}/siftwork/jsonl-{uuid.uuid4().hex}"
+    line = F.when(F.col("event_id") % 10 == 0, F.lit("{broken")).otherwise(F.to_json(F.struct("event_id", "event_type")))
+    t(spark, d, "events").select(line.alias("value")).write.text(path)
+    return readers.read_jsonl(spark, path, "event_id long, event_type string")
+
+
+# Streams
+
+
+@query("SELECT event_type, count(*) AS n, round(sum(value), 3) AS total FROM events GROUP BY event_type")
+def stream_landed_bins(spark, d):
+    root = f"{shared_dir(spark)}/siftwork/stream-{uuid.uuid4().hex}"
+    schema = t(spark, d, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 8).parquet(d)
+    add = lambda batch, _: batch.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).write.mode("append").parquet(f"{root}/out")
+    live.each_batch(stream, add, f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 3).alias("total"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
