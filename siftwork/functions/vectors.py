@@ -39,9 +39,9 @@ def arg_max(v: Column) -> Column:
 
 
 def top_labels(labels: Column, probabilities: Column, k: int) -> Column:
-    """label:probability of the k largest, separated by |; equal ones in their order."""
+    """label:probability of the k largest, separated by commas; equal ones in their order."""
     rows = F.transform(F.arrays_zip(labels.alias("l"), probabilities.alias("p"), F.sequence(F.lit(1), F.size(labels)).alias("i")), lambda x: F.struct((-x["p"]).alias("q"), x["i"].alias("i"), x["l"].alias("l")))
-    return F.array_join(F.transform(F.slice(F.array_sort(rows), 1, k), lambda x: F.concat(x["l"], F.lit(":"), F.format_number(-x["q"], 4))), "|")
+    return F.array_join(F.transform(F.slice(F.array_sort(rows), 1, k), lambda x: F.concat(x["l"], F.lit(":"), F.format_number(-x["q"], 4))), ",")
 
 
 def matrix_pose(m: Column) -> Column:

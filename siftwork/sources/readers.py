@@ -95,19 +95,24 @@ PACKET_BYTES = 73
 PACKET_SCHEMA = "timestamp double, face_id int, width float, height float, blink_l float, blink_r float, success int, pnp_error float, yaw float, pitch float, roll float, tx float, ty float, tz float, quat_raw array<float>"
 
 
-@F.pandas_udf(PACKET_SCHEMA)
-def decode_packet(packets: pd.Series) -> pd.DataFrame:
+def packet_fields(packets: pd.Series) -> pd.DataFrame:
     """The fields of packets; all null for packets that are too short."""
-    layout = np.dtype(PACKET)
-    ok = packets.map(lambda p: p is not None and len(p) >= PACKET_BYTES)
     names = [x.split()[0] for x in PACKET_SCHEMA.split(", ")]
-    out = pd.DataFrame(None, index=packets.index, columns=names, dtype=object)
-    if ok.any():
-        r = np.frombuffer(b"".join(bytes(p)[:PACKET_BYTES] for p in packets[ok]), layout)
-        columns = {**{n: r[n] for n in ("timestamp", "face_id", "width", "height", "blink_l", "blink_r", "success", "pnp_error")}, **{n: r["euler"][:, i] for i, n in enumerate(("yaw", "pitch", "roll"))}, **{n: r["move"][:, i] for i, n in enumerate(("tx", "ty", "tz"))}, "quat_raw": list(r["quat"])}
-        for n, values in columns.items():
-            out.loc[ok, n] = pd.Series(list(values), index=packets.index[ok])
-    return out
+    ok = [p is not None and len(p) >= PACKET_BYTES for p in packets]
+    r = np.frombuffer(b"".join(bytes(p)[:PACKET_BYTES] for p, whole in zip(packets, ok, strict=True) if whole), np.dtype(PACKET))
+    fields = [r[n] for n in names[:8]] + [r["euler"][:, i] for i in range(3)] + [r["move"][:, i] for i in range(3)] + [r["quat"]]
+    rows = iter(zip(*(f.tolist() for f in fields), strict=True))
+    return pd.DataFrame([next(rows) if whole else (None,) * len(names) for whole in ok], columns=names, dtype=object)
+
+
+def decode_packet(packets: Column) -> Column:
+    """A struct of the fields of binary packets."""
+
+    @F.pandas_udf(PACKET_SCHEMA)
+    def fields(column: pd.Series) -> pd.DataFrame:
+        return packet_fields(column)
+
+    return fields(packets)
 
 
 def pack(timestamp: float, face_id: int, size: tuple[float, float], blink: tuple[float, float], success: int, pnp_error: float, quat: tuple, euler: tuple, move: tuple) -> bytes:
