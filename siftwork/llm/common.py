@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 #: ASCII white space, as the contracts of the operators define it (for Java's, DuckDB's and Python's regex engines).
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,22 +19,33 @@ WORD = r"[^\x20\x09-\x0D]+"
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset one of our own (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="siftwork-")
-        spark.sparkContext.setCheckpointDir(folder)
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` once as Parquet into the shared folder and returns what was written, with its lineage cut."""
+    """Writes ``df`` once as Parquet into the shared folder and returns what was written, with its lineage cut.
+
+    The shuffle files of the write go when it ends: nothing but the written table is read afterwards.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/siftwork/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes staged tables that later staged tables have been made from and that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._staged_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def split_words(data: bytes | None) -> list[bytes]:
@@ -125,11 +137,12 @@ def connected_components(edges: DataFrame, limit: int = 60) -> DataFrame:
     for _ in range(limit):
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = staged(large, "large")
+        large = staged(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select("v", "u", "m")
-        e = staged(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "small")
+        new = staged(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "small")
+        discard(e, large)
+        e = new
         now = e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
         if now == last or not now[0]:
             break
