@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .functions import bins, parsing, vectors
 from .operators import dataset, fusion, gates, profile, sampling, selection, timeline
 from .operators import vectors as vector_ops
+from .plans import workflows
 from .session import shared_dir
 from .sources import readers, sinks
 from .streaming import live
@@ -572,6 +573,109 @@ def stream_landed_bins(spark, d):
     return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 3).alias("total"))
 
 
+# Workflows
+
+FRAME = "(event_id * 37) % 1920 AS x, (event_id * 53) % 1080 AS y, 100 + (event_id * 17) % 700 AS side, (event_id * 91) % 1920 AS x2, (event_id * 29) % 1080 AS y2, 80 + (event_id * 13) % 300 AS side2"
+
+
+@query(f"""
+    WITH f AS (SELECT event_id, {FRAME}, event_id % 10 = 0 AS none, event_id % 4 = 0 AS two FROM events),
+         b AS (SELECT *, x - side / 2.0 AS ax1, y - side / 2.0 AS ay1, x2 - side2 / 2.0 AS bx1, y2 - side2 / 2.0 AS by1,
+                      0.60 * (side * side) / (1920.0 * 1080) + 0.25 * (1 - least(1.0, (abs(x - 960.0) / 960 + abs(y - 540.0) / 540) * 0.5)) + 0.15 * 0.5 AS s1,
+                      0.60 * (side2 * side2) / (1920.0 * 1080) + 0.25 * (1 - least(1.0, (abs(x2 - 960.0) / 960 + abs(y2 - 540.0) / 540) * 0.5)) + 0.15 * 0.9 AS s2 FROM f),
+         m AS (SELECT event_id, none, two, two AND s2 > s1 AS second, CASE WHEN two AND s2 > s1 THEN x2 ELSE x END AS mx, CASE WHEN two AND s2 > s1 THEN y2 ELSE y END AS my, CASE WHEN two AND s2 > s1 THEN side2 ELSE side END AS ms,
+                      CASE WHEN two AND s2 > s1 THEN x ELSE x2 END AS ox, CASE WHEN two AND s2 > s1 THEN y ELSE y2 END AS oy, CASE WHEN two AND s2 > s1 THEN side ELSE side2 END AS os FROM b),
+         c AS (SELECT *, mx::DOUBLE AS cx, my::DOUBLE AS cy, ms * 1.68 AS used FROM m),
+         k AS (SELECT *, round_even(cx - used / 2, 0) AS x1, round_even(cy - used / 2, 0) AS y1, round_even(cx + used / 2, 0) AS xe, round_even(cy + used / 2, 0) AS ye FROM c)
+    SELECT CASE WHEN none THEN 'no_faces' WHEN two AND ox BETWEEN cx - used / 2 AND cx + used / 2 AND oy BETWEEN cy - used / 2 AND cy + used / 2 AND os >= 0.25 * ms THEN 'crowd'
+                WHEN x1 < 0 OR y1 < 0 OR xe > 1920 OR ye > 1080 THEN 'edge_skip' WHEN greatest(xe - x1, ye - y1) < 256 THEN 'native_too_small' WHEN 512.0 / greatest(xe - x1, ye - y1) > 1.5 THEN 'upscale_too_high' END AS reject_reason, count(*) AS n FROM k GROUP BY 1""")
+def gate_reasons(spark, d):
+    box = lambda x, y, s: F.transform(F.array(x - s / 2, y - s / 2, x + s / 2, y + s / 2), lambda v: v.cast("double"))
+    face = lambda x, y, s, det: F.struct(box(F.col(x), F.col(y), F.col(s)).alias("box"), F.lit(None).cast("array<array<double>>").alias("kps"), F.lit(det).alias("det_score"), F.lit(None).cast("array<double>").alias("embedding"))
+    one, other = face("x", "y", "side", 0.5), face("x2", "y2", "side2", 0.9)
+    rows = t(spark, d, "events").selectExpr("event_id AS frame_idx", *columns_of(FRAME), "event_id")
+    faces = F.when(F.col("event_id") % 10 == 0, F.array_except(F.array(one), F.array(one))).when(F.col("event_id") % 4 == 0, F.array(one, other)).otherwise(F.array(one))
+    frames = rows.select("frame_idx", F.lit(1920.0).alias("width"), F.lit(1080.0).alias("height"), faces.alias("faces"))
+    return gates.reject_counts(gates.gate_frames(frames, anchor="box", min_crop_px=256))
+
+
+@query("""
+    WITH e AS (SELECT lpad(CAST(event_id AS VARCHAR), 9, '0') AS file, event_id, value, CASE WHEN event_id % 3 = 0 THEN (value - 245) / 200 * 180.0 / pi() ELSE (value - 245) / 3 END AS yaw, (event_id % 41) - 20.0 AS pitch, (event_id % 61 - 30) / 100.0 * 180.0 / pi() AS gx,
+                      (event_id % 21) / 10.0 AS a45, (event_id % 17) / 10.0 AS a25, (event_id % 15) / 10.0 AS a12, CASE WHEN event_id % 5 <> 0 THEN value / 500 END AS id FROM events),
+         w AS (SELECT *, count(*) OVER p AS n, avg(value) OVER p AS mu, stddev_pop(value) OVER p AS sd FROM e WINDOW p AS (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+         z AS (SELECT *, CASE WHEN n > 0 THEN (value - mu) / CASE WHEN n > 1 AND sd > 1e-6 THEN sd ELSE 1.0 END ELSE 0.0 END AS q FROM w), lim AS (SELECT quantile_cont(id, 0.2) AS t FROM e),
+         b AS (SELECT 'YAW' AS section, CASE WHEN abs(yaw) < 8 THEN 'FRONT' WHEN abs(yaw) < 25 THEN CASE WHEN yaw < 0 THEN 'LEFT' ELSE 'RIGHT' END WHEN abs(yaw) < 45 THEN CASE WHEN yaw < 0 THEN '3/4 LEFT' ELSE '3/4 RIGHT' END WHEN yaw < 0 THEN 'PROF LEFT' ELSE 'PROF RIGHT' END AS label FROM z
+               UNION ALL SELECT 'PITCH', CASE WHEN pitch >= 10 THEN 'CHIN UP' WHEN pitch <= -10 THEN 'CHIN DOWN' ELSE 'LEVEL' END FROM z UNION ALL SELECT 'GAZE', CASE WHEN abs(gx) <= 12 THEN 'FRONT' WHEN gx < 0 THEN 'LEFT' ELSE 'RIGHT' END FROM z
+               UNION ALL SELECT 'EYES', CASE WHEN a45 >= 1.2 THEN 'CLOSED' ELSE 'HALF' END FROM z UNION ALL SELECT 'MOUTH', CASE WHEN a25 >= 1.3 THEN 'OPEN' WHEN a25 >= 0.5 THEN 'SLIGHT' ELSE 'CLOSE' END FROM z
+               UNION ALL SELECT 'SMILE', CASE WHEN a12 >= 1.2 AND a25 >= 0.8 THEN 'TEETH' WHEN a12 >= 0.7 THEN 'CLOSED' ELSE 'NONE' END FROM z UNION ALL SELECT 'IDENTITY', CASE WHEN id >= t THEN 'MATCH' ELSE 'MISMATCH' END FROM z, lim
+               UNION ALL SELECT 'QUALITY', CASE WHEN q >= 0.75 THEN 'HIGH' WHEN q <= -0.75 THEN 'LOW' ELSE 'MID' END FROM z)
+    SELECT section, label, count(*) AS count FROM b GROUP BY ALL""")
+def tag_items(spark, d):
+    e = t(spark, d, "events").withColumn("file", F.lpad(F.col("event_id").cast("string"), 9, "0"))
+    of2 = e.selectExpr("file", "CASE WHEN event_id % 3 = 0 THEN '' ELSE cast((value - 245) / 3 AS string) END AS yaw_deg", "cast((value - 245) / 200 AS string) AS pose_Ry", "cast(event_id % 41 - 20 AS string) AS pitch_deg", "cast((event_id % 61 - 30) / 100.0D AS string) AS gaze_angle_x", "cast((event_id % 21) / 10.0D AS string) AS AU45_r", "cast((event_id % 17) / 10.0D AS string) AS AU25_r", "cast((event_id % 15) / 10.0D AS string) AS AU12_r")
+    af = e.where("event_id % 5 <> 0").select("file", (F.col("value") / 500).cast("string").alias("cos_sim"))
+    mf = e.select("file", F.lit("1").alias("mag"))
+    _, histogram, _ = workflows.tagging(e.select("file", F.col("value").alias("focus")), {"of2": of2, "af": af, "mf": mf})
+    return histogram.where("count > 0 and section not in ('EMOTION', 'TEMP', 'EXPOSURE')").select("section", "label", "count")
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 1.0 WHEN l_returnflag = 'R' OR l_linestatus = 'F' THEN 0.5 ELSE 0.0 END AS pose,
+           CASE WHEN l_orderkey % 4 = 0 THEN 0.0 WHEN l_orderkey % 4 = 1 THEN 1.0 WHEN l_orderkey % 4 = 2 THEN 0.5 ELSE 0.0 END AS light FROM lineitem""")
+def similarity_scores(spark, d):
+    c = F.col
+    pose = bins.pose_similarity(c("l_returnflag"), c("l_linestatus"), F.lit("R"), F.lit("F"))
+    light = bins.light_similarity(F.expr("CASE l_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'WARM' WHEN 2 THEN 'WHITE' ELSE 'COOL' END"), F.lit("WARM"))
+    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", pose.alias("pose"), light.alias("light"))
+
+
+@query("""
+    WITH l AS (SELECT user_id AS stream, event_id, event_id % 2 = 0 AS took, value FROM events), g AS (SELECT *, coalesce(count_if(NOT took) OVER (PARTITION BY stream ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS f FROM l),
+         m AS (SELECT *, last_value(CASE WHEN took THEN round(value, 1) END IGNORE NULLS) OVER (PARTITION BY stream, f ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS ms FROM g)
+    SELECT stream, f AS frame_no, ms AS proc_ms FROM m WHERE NOT took""")
+def log_lines(spark, d):
+    ms = F.format_string("%.1f", F.col("value"))
+    line = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("Took "), F.round("value", 1).cast("string"), F.lit("ms (detect: 1ms, crop: 1ms, track: 1ms, 3D points: 1ms)"))).otherwise(F.concat(F.lit("Confidence[0]: 0.5 / 3D fitting error: "), ms, F.lit(" / Eyes: O, C")))
+    lines = t(spark, d, "events").select(F.col("user_id").alias("stream"), F.col("event_id").alias("line_no"), line.alias("line"))
+    return live.tracker_lines_batch(lines).select("stream", "frame_no", "proc_ms")
+
+
+@query("SELECT p_partkey AS path, 'Brand' || p_size % 3 AS bin_yaw, CASE WHEN p_size % 2 = 0 THEN '1' ELSE '0' END AS bin_teeth, CASE WHEN p_size % 5 = 0 THEN '1' ELSE '0' END AS cleanup_flag FROM part")
+def legacy_tags(spark, d):
+    tags = t(spark, d, "part").selectExpr("p_partkey AS file", "concat('Brand', p_size % 3) AS yaw_bin", "CASE WHEN p_size % 2 = 0 THEN 'TEETH' ELSE 'NONE' END AS smile_bin", "CASE WHEN p_size % 5 = 0 THEN 0 ELSE 1 END AS cleanup_ok")
+    return dataset.to_legacy_tags(tags).select("path", "bin_yaw", "bin_teeth", "cleanup_flag")
+
+
+@query("""
+    WITH p AS (SELECT 'YAW' AS category, CASE WHEN value < 200 THEN 'LEFT' ELSE 'RIGHT' END AS label, CAST(event_id AS VARCHAR) AS file FROM events UNION ALL SELECT 'EYES', CASE WHEN event_id % 3 = 0 THEN 'OPEN' ELSE 'HALF' END, CAST(event_id AS VARCHAR) FROM events)
+    SELECT category, label, file, 'd/' || file AS path FROM p QUALIFY row_number() OVER (PARTITION BY category, label ORDER BY sha1(file || '|3'), file) <= 8""")
+def preview_list(spark, d):
+    e = t(spark, d, "events").withColumn("file", F.col("event_id").cast("string"))
+    labels = F.create_map(F.lit("YAW"), F.when(F.col("value") < 200, "LEFT").otherwise("RIGHT"), F.lit("EYES"), F.when(F.col("event_id") % 3 == 0, "OPEN").otherwise("HALF"), F.lit("PITCH"), F.lit("LEVEL"))
+    tagged = e.select("file", labels.alias("bins"), F.struct(F.col("value").alias("bin_score")).alias("scores"))
+    return sampling.preview(tagged, e.select("file", F.concat(F.lit("d/"), "file").alias("path")), 8, 3, ["yaw", "Eyes"]).select("category", "label", "file", "path")
+
+
+@query("SELECT CAST(epoch(time_bucket(INTERVAL 1 DAY, ts)) AS BIGINT) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def stream_windows(spark, d):
+    root = f"{shared_dir(spark)}/siftwork/windows-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(t(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    counts = live.windowed_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "3650 days", "1 day", ["event_type"])
+    keep = lambda batch, _: batch.select(F.unix_seconds("window.start").alias("start"), "event_type", "n").write.mode("overwrite").parquet(f"{root}/out")
+    # In update mode each batch holds the windows that changed; all rows come in one batch here.
+    counts.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint").trigger(once=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@query("SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ordinal FROM events")
+def stream_ordinals(spark, d):
+    root = f"{shared_dir(spark)}/siftwork/ordinals-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(t(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    numbered = live.ordinals(stream, "user_id", "event_id", ["event_type"]).select("user_id", "event_id", "ordinal")
+    live.each_batch(numbered, lambda batch, _: batch.write.mode("append").parquet(f"{root}/out"), f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
