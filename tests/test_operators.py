@@ -266,3 +266,62 @@ def test_assignment_is_the_best(rows):
     sums = sorted((sum(m[i, p[i]] for i in range(4)) for p in permutations(range(4))), reverse=True)
     columns, margin = extractors.best_assignment(m)
     assert sum(m[i, c] for i, c in enumerate(columns)) == sums[0] and margin == sums[0] - sums[1]
+
+
+def test_datagrams(spark, tmp_path):
+    import socket
+    import time
+
+    with socket.socket(socket.AF_INET, socket.SOCK_DGRAM) as probe:
+        probe.bind(("127.0.0.1", 0))
+        port = probe.getsockname()[1]
+    spark.dataSource.register(live.DatagramSource)
+    stream = spark.readStream.format("datagrams").option("port", port).load()
+    query = live.each_batch(stream, lambda b, _: b.write.mode("append").parquet(str(tmp_path / "out")), str(tmp_path / "cp"), once=False, interval="200 milliseconds")
+    sender, sent, got = socket.socket(socket.AF_INET, socket.SOCK_DGRAM), 0, []
+    try:
+        for _ in range(150):
+            sender.sendto(b"packet %d" % sent, ("127.0.0.1", port))
+            sent += 1
+            time.sleep(0.2)
+            if (tmp_path / "out").exists() and len(got := spark.read.schema("ordinal long, packet binary").parquet(str(tmp_path / "out")).collect()) >= 5:
+                break
+    finally:
+        query.stop()
+        sender.close()
+    assert len(got) >= 5 and len({r.packet for r in got}) == len(got) and sorted(r.ordinal for r in got) == list(range(len(got)))
+
+
+def test_late_rows_and_repeats(spark, tmp_path):
+    spark.sql("select timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id % 50) as ts, cast(id % 50 as string) as k from range(100)").write.parquet(str(tmp_path / "in"))
+    stream = live.landed(spark, str(tmp_path / "in"), "ts timestamp, k string")
+    live.each_batch(live.first_seen(stream, "k", "ts", "1 hour"), lambda b, _: b.write.mode("append").parquet(str(tmp_path / "out")), str(tmp_path / "cp")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 50
+    assert live.sessions(stream, "ts", "10 seconds", "5 seconds", ["k"]).isStreaming
+
+
+def test_matching_and_building(spark):
+    rng = random.Random(9)
+    schema = ROWS.replace(", upscaled boolean", "") + ", cleanup_flag string"
+    rows = lambda n, prefix: [(*r[:1], f"{prefix}/{r[1]}", *r[2:10], rng.choice(["0", "", None, "1"])) for r in items(rng, n)]
+    source, target = spark.createDataFrame(rows(80, "s"), schema), spark.createDataFrame(rows(30, "t"), schema)
+    there = source.where("src_ord % 5 <> 0").select("path")
+    names = spark.createDataFrame([(1, "r", "in/x", "p7")], "ord int, src_root string, src_path string, dst_name string")
+    logs = spark.createDataFrame([("r/", "in/x", "2.0"), ("r", "in/none", "3")], "src_root string, src_path string, scale string")
+    for cap in (None, 2):
+        chosen, report = workflows.matching(source, target, there, logs, names, 2, cap=cap)
+        got = {r.path: r.is_upscaled for r in chosen.collect()}
+        good = {r.path for r in source.join(there, "path").where("coalesce(cleanup_flag, '0') in ('0', '')").collect()}
+        assert set(got) <= good and all(bool(v) == (k == "s/p7") for k, v in got.items())
+        assert sum(r.target_count for r in report.collect()) == target.where("coalesce(cleanup_flag, '0') in ('0', '')").count()
+        a, b = workflows.building(chosen, source, target.select("path"), target)
+        assert a.count() == len(got) and b.count() == sum(r.target_count for r in report.collect())
+
+
+def test_typed_pose_and_stats(spark):
+    table = spark.createDataFrame([("a", "3.0", "1.5", "x", "0.5", "1"), ("b", "", None, "0.9", "-0.5", "0")], "file string, frame string, timestamp string, confidence string, pose_Ry string, success string")
+    rows = {r.file: r for r in workflows.typed_pose(table).collect()}
+    assert (rows["a"].frame, rows["a"].confidence, rows["b"].frame) == (3, None, None) and rows["a"].yaw_deg == pytest.approx(28.6479, abs=1e-3)
+    assert workflows.pose_spread(table, "pose_Ry").first().both_signs
+    assert profile.distinct_keys(table, "file").first().keys == 2
+    assert profile.section_histogram(table, {"YAW": "success"}, {"YAW": ["1", "9"]}).where("label = '9'").first()["count"] == 0
