@@ -115,3 +115,15 @@ def test_log_lines(spark):
     fields = readers.log_fields(F.col("x"))
     got = values(spark, F.struct(*(c.alias(n) for n, c in fields.items())), [(x,) for x in lines], "x string")
     assert (got[0].kind, got[0].points3d_ms, got[1].confidence, got[1].eye_r, got[2].kind) == ("took", 4.0, 0.91, "C", None)
+
+
+def test_options_and_ranges(spark):
+    assert [parsing.on_off(v, True) for v in ("off", "ON", "", None, "x", False)] == [False, True, True, True, True, False]
+    got = values(spark, parsing.range_spec(F.col("x")), [("0:10 - 1:00",), ("10",)], "x string")
+    assert (got[0].start, got[0].end, got[1]) == (10.0, 60.0, None)
+    labels = values(spark, bins.unit_labels(F.col("a"), F.col("b"), F.col("c"), 0.5, 0.4), [(0.5, 0.1, 0.6), (0.1, 0.1, 0.1)], "a double, b double, c double")
+    assert [tuple(x) for x in labels] == [("open", "smile", "likely"), ("closed", "neutral", "")]
+    pose = values(spark, vectors.matrix_pose(F.col("m")), [([[1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0], [0.0, 0.0, 1.0, 0.0], [0.0] * 4],)], "m array<array<double>>")
+    assert tuple(pose[0]) == (0.0, 0.0, 0.0)
+    cct = values(spark, bins.colour_temperature(F.lit(1.0), F.lit(1.0), F.lit(1.0)), [(1,)], "x int")[0]
+    assert 6300 < cct < 6700

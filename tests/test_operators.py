@@ -325,3 +325,25 @@ def test_typed_pose_and_stats(spark):
     assert workflows.pose_spread(table, "pose_Ry").first().both_signs
     assert profile.distinct_keys(table, "file").first().keys == 2
     assert profile.section_histogram(table, {"YAW": "success"}, {"YAW": ["1", "9"]}).where("label = '9'").first()["count"] == 0
+
+
+def test_small_helpers(spark, tmp_path):
+    rows = spark.createDataFrame([("b", 1), ("a", 2), ("b", 3)], "x string, o int")
+    assert [r.x for r in dataset.ordered_distinct(rows, "x", "o").orderBy("o").collect()] == ["b", "a"]
+    face = "struct<box:array<double>,kps:array<array<double>>,det_score:double,embedding:array<double>>"
+    frames = spark.createDataFrame([([([0.0, 0.0, 10.0, 10.0], None, 0.1, None), ([40.0, 40.0, 60.0, 60.0], None, 0.9, None), ([45.0, 45.0, 55.0, 55.0], None, 0.2, None)],)], f"faces array<{face}>")
+    best = frames.select(gates.best_per_frame(F.col("faces"), F.lit(100.0), F.lit(100.0), 2).alias("b"), gates.confident(F.col("faces"), 0.5).alias("c")).first()
+    assert [f.det_score for f in best.b] == [0.9, 0.2] and len(best.c) == 1
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "2.csv").write_text("b,c\n3,4\n")
+    table = readers.read_csvs(spark, [str(tmp_path / f"{i}.csv") for i in (1, 2, 3)])
+    assert table.columns == ["a", "b", "c"] and table.count() == 2
+    assert readers.first_existing(spark, [str(tmp_path / "none"), str(tmp_path / "1.csv")]).endswith("1.csv")
+    assert readers.first_file(readers.listing(spark, str(tmp_path), ("csv",))).first().name == "1.csv"
+    for tool in ("match", "tag"):
+        sinks.write_run(spark, str(tmp_path / "runs"), tool=tool, budget=3)
+    assert sorted(r.tool for r in spark.read.json(str(tmp_path / "runs")).collect()) == ["match", "tag"]
+    assert readers.probe(spark, [("v", "0/0", "25/1", 9.5, True)]).select(readers.frame_rate(F.col("average_rate"), F.col("base_rate")).alias("r")).first().r == 25.0
+    sinks.write_csv(rows, str(tmp_path / "csv"), ["x", "z"])
+    sinks.write_csv(rows, str(tmp_path / "csv"), ["x", "z"], append=True)
+    assert readers.read_csv(spark, str(tmp_path / "csv")).count() == 6
