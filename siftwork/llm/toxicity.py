@@ -9,8 +9,9 @@ A word's evidence is the difference of its log-likelihoods. A document's evidenc
 normalised by their number, and over its strongest words, so that a long text does not hide them. A logistic curve fitted on labelled rows that are kept out
 of the counts turns it into a score.
 
-Counts cover all labelled rows that may be learnt from, as distributed tables. What scoring broadcasts is a table with
-a fixed number of slots; of the expressions that meet in a slot the most frequent one stays, the others back off.
+Counts and differences of all expressions and contexts stay distributed tables. Documents are dealt to blocks of a
+bounded size; the distinct expressions of each block are joined with the differences, and each block's documents are
+scored with what came back for it.
 """
 
 from __future__ import annotations
@@ -20,17 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, split_words, staged, utf8
+from .common import discard, split_words, staged, utf8
 from .quality import logistic, sigmoid
 
 ORDER = 6
 DISCOUNT = 0.75
-#: Slots of the broadcast tables of expressions and of contexts: 24 and 6 MB whatever the input.
-GRAM_SLOTS, CONTEXT_SLOTS = 1 << 21, 1 << 19
+#: Bytes of the documents that are scored together, and what a row counts for besides its text.
+BLOCK, ROW = 32 << 20, 64
 #: Words that stand for a document's strongest; features of a document.
 STRONGEST, FEATURES = 3, 5
 #: Most labelled rows on which the logistic curve is fitted, the first by a hash of the id.
@@ -55,35 +55,24 @@ def expressions(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return grams, np.concatenate([[0], np.cumsum(ends)[:-1]])
 
 
-def slots(keys: np.ndarray, n: int) -> np.ndarray:
-    return (mix(keys.astype(np.uint64)) % np.uint64(n)).astype(np.int64)
+class Evidence:
+    """The differences of log-probabilities of a block's expressions."""
 
-
-class Model:
-    """Slots with an expression (or context) and its difference of log-probabilities."""
-
-    def __init__(self, grams: np.ndarray, gram_llr: np.ndarray, contexts: np.ndarray, context_llr: np.ndarray):
-        self.grams, self.gram_llr = np.full(GRAM_SLOTS, -1, np.int64), np.zeros(GRAM_SLOTS, np.float32)
-        self.contexts, self.context_llr = np.full(CONTEXT_SLOTS, -1, np.int64), np.zeros(CONTEXT_SLOTS, np.float32)
-        for held, values, keys, llr in ((self.grams, self.gram_llr, grams, gram_llr), (self.contexts, self.context_llr, contexts, context_llr)):
-            at = slots(keys, len(held))
-            held[at], values[at] = keys, llr
+    def __init__(self, grams: np.ndarray, llr: np.ndarray):
+        order = np.argsort(grams)
+        self.grams, self.llr = grams[order], llr[order]
 
     def of_words(self, words: list[bytes]) -> np.ndarray:
         grams, word = expressions(words)
-        at = slots(grams, GRAM_SLOTS)
-        context = grams >> 8
-        on = slots(context, CONTEXT_SLOTS)
-        backed_off = np.where(self.contexts[on] == context, self.context_llr[on], 0)
-        return np.bincount(word, np.where(self.grams[at] == grams, self.gram_llr[at], backed_off), len(words))
+        at = np.searchsorted(self.grams, grams)
+        if len(grams) and not (at.max() < len(self.grams) and np.array_equal(self.grams[at], grams)):
+            raise RuntimeError("expressions of a block are missing: its documents have changed between two reads")
+        return np.bincount(word, self.llr[at], len(words))
 
     def features(self, texts: list[bytes | None], cache: dict[bytes, float]) -> np.ndarray:
         """Per text: evidence by its length, positive evidence by the root of it, mean evidence of the strongest word and words, log length."""
         docs = [split_words(t.lower()) if t else [] for t in texts]
         new = list({w for d in docs for w in d if w not in cache})
-        if len(cache) + len(new) > 2_000_000:
-            cache.clear()
-            new = list({w for d in docs for w in d})
         for at in range(0, len(new), 20_000):
             some = new[at : at + 20_000]
             cache.update(zip(some, self.of_words(some).tolist(), strict=True))
@@ -155,25 +144,11 @@ def ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return seen, unseen
 
 
-def of_slots(table: DataFrame, key: str, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent key of each of ``n`` slots, and its llr; at most ``n`` rows reach the driver."""
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = slots(b.column(key).to_numpy(), n)
-            yield pa.RecordBatch.from_arrays([pa.array(at), b.column("n"), b.column(key), b.column("llr")], ["slot", "n", "key", "llr"])
-
-    placed = table.select(key, "n", "llr").mapInArrow(place, "slot long, n long, key long, llr double")
-    found = placed.groupBy("slot").agg(F.max(F.struct("n", "key", "llr")).alias("m")).select("m.key", F.col("m.llr").cast("float").alias("llr")).toPandas()
-    return found["key"].to_numpy(np.int64), found["llr"].to_numpy(np.float32)
-
-
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, np.ndarray] | None:
-    """The model, sent to the executors, and the weights of the logistic curve; None without both classes.
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[tuple[DataFrame, DataFrame], np.ndarray] | None:
+    """The tables of ``ratios`` and the weights of the logistic curve; None without both classes.
 
     Learns from the rows of ``labels`` (doc_id, toxic) that ``held_out`` does not name.
     """
-    spark = docs.sparkSession
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("y")).where("y in (0, 1)")
     texts = docs.where(~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     curve = F.floor(F.crc32(F.col("doc_id").cast("string")) / 4) % 8 == 0  # an eighth is kept out of the counts
@@ -181,26 +156,44 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, np.ndarray] | No
     sums = grams.agg(F.sum("n1"), F.sum("n0")).first()
     if not sums[0] or not sums[1]:
         return None
-    seen, unseen = ratios(grams)
-    sent = spark.sparkContext.broadcast(Model(*of_slots(seen, "gram", GRAM_SLOTS), *of_slots(unseen, "context", CONTEXT_SLOTS)))
+    seen, unseen = (staged(t, "ratios") for t in ratios(grams))
+    discard(grams)
     chosen = F.broadcast(known.where(curve).join(texts.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION))  # bounded
-    rows = _featurised(texts.join(chosen, "doc_id").select("doc_id", "text", "y"), sent, np.zeros(FEATURES + 1), "y int").toPandas()
+    rows = _featurised(staged(texts.join(chosen, "doc_id").select("doc_id", "text", "y"), "curve"), (seen, unseen), np.zeros(FEATURES + 1), "y int").toPandas()
     if rows["y"].nunique() < 2:
-        return sent, np.array([0.0, 0.0, 0.0, 1.0, 0.0, -4.0])
-    return sent, logistic(np.frombuffer(b"".join(rows["features"]), np.float64).reshape(-1, FEATURES), rows["y"].to_numpy())
-
-
-def _featurised(rows: DataFrame, sent: Broadcast, curve: np.ndarray, extra: str) -> DataFrame:
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[bytes, float] = {}
-        for b in batches:
-            found, texts = [np.empty((0, FEATURES))], utf8(b.column("text"))
-            for at in range(0, len(texts), 256):
-                found.append(sent.value.features(texts[at : at + 256], cache))
-            f = np.concatenate(found)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(f[:, 0].copy()), pa.array(f[:, 3].copy()), pa.array([x.tobytes() for x in f], pa.binary()), pa.array(sigmoid(f @ curve[:-1] + curve[-1])), b.column(extra.split()[0])], ["doc_id", "by_length", "strongest", "features", "score", extra.split()[0]])
-
-    return rows.mapInArrow(read, f"doc_id long, by_length double, strongest double, features binary, score double, {extra}")
+        return (seen, unseen), np.array([0.0, 0.0, 0.0, 1.0, 0.0, -4.0])
+    return (seen, unseen), logistic(np.frombuffer(b"".join(rows["features"]), np.float64).reshape(-1, FEATURES), rows["y"].to_numpy())
+
+
+def _featurised(rows: DataFrame, model: tuple[DataFrame, DataFrame], curve: np.ndarray, extra: str) -> DataFrame:
+    seen, unseen = model
+    size = rows.agg(F.sum(F.octet_length("text") + ROW)).first()[0] or 0
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // BLOCK + 1))).groupBy("block")
+    name = extra.split()[0]
+
+    def distinct(block: pa.Table) -> pa.Table:
+        words: set[bytes] = set()
+        for data in utf8(block.column("text")):
+            words.update(split_words(data.lower()))
+        grams = np.unique(expressions(list(words))[0]) if words else np.empty(0, np.int64)
+        return pa.table({"block": pa.array(np.full(len(grams), block.column("block")[0].as_py(), np.int64)), "gram": pa.array(grams)})
+
+    # Written between, so that the texts of one shuffle only are on disk at a time.
+    grams = staged(dealt.applyInArrow(distinct, "block long, gram long"), "block-expressions")
+    known = grams.join(seen.select("gram", "llr").hint("merge"), "gram", "left").withColumn("context", F.shiftright("gram", 8))
+    known = known.join(unseen.select("context", F.col("llr").alias("backed_off")).hint("merge"), "context", "left")
+    evidence = staged(known.select("block", "gram", F.coalesce("llr", "backed_off", F.lit(0.0)).cast("float").alias("llr")), "evidence")
+    discard(grams)
+
+    def read(block: pa.Table, evidence: pa.Table) -> pa.Table:
+        of, cache = Evidence(evidence.column("gram").to_numpy(), evidence.column("llr").to_numpy()), {}
+        found, texts = [np.empty((0, FEATURES))], utf8(block.column("text"))
+        for at in range(0, len(texts), 256):
+            found.append(of.features(texts[at : at + 256], cache))
+        f = np.concatenate(found)
+        return pa.table({"doc_id": block.column("doc_id"), "by_length": f[:, 0].copy(), "strongest": f[:, 3].copy(), "features": pa.array([x.tobytes() for x in f], pa.binary()), "score": sigmoid(f @ curve[:-1] + curve[-1]), name: block.column(name)})
+
+    return dealt.cogroup(evidence.groupBy("block")).applyInArrow(read, f"doc_id long, by_length double, strongest double, features binary, score double, {extra}")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 """Operators against plain statements of their contracts, exact round trips, and held-out accuracy."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -290,3 +292,49 @@ def test_labels_and_metadata_are_no_inputs_of_toxicity(spark):
     changed = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     b = {r.doc_id: r.score for r in toxicity.score_toxicity(docs.withColumn("lang", F.lit("x")).withColumn("source", F.lit("y")), changed).collect()}
     assert a == b and all((a[i] >= 0.3) == (i % 3 == 0) for i in a)
+
+
+def expression_evidence(rows):
+    """Of (text, class) rows: the function that gives a word's difference of log-likelihoods, without any table of bounded size."""
+
+    def of(word):
+        w = f" {word} "
+        return [w[max(0, i - 5) : i + 1] for i in range(1, len(w))]
+
+    counts = [Counter(), Counter()]
+    for text, y in rows:
+        counts[y].update(e for w in text.split() for e in of(w))
+    sums, kinds = ([Counter(), Counter()] for _ in range(2))
+    for y in (0, 1):
+        for e, n in counts[y].items():
+            sums[y][e[:-1]] += n
+            kinds[y][e[:-1]] += 1
+    ends = Counter(e[1:] if len(e) == 6 else e for e in counts[0].keys() | counts[1].keys())
+    all_ends, inner_kinds, follows = Counter(), Counter(), Counter()
+    for e, n in ends.items():
+        all_ends[e[:-1]] += n
+        inner_kinds[e[:-1]] += 1
+        follows[e[-1]] += 1
+
+    def llr(e):
+        context, inner = e[:-1], e[1:] if len(e) == 6 else e
+        gamma = [0.75 * kinds[y][context] / sums[y][context] if sums[y][context] else 1.0 for y in (0, 1)]
+        if not (counts[0][e] or counts[1][e]):
+            return math.log(gamma[1] / gamma[0])
+        p = (ends[inner] - 0.75) / all_ends[inner[:-1]] + 0.75 * inner_kinds[inner[:-1]] / all_ends[inner[:-1]] * follows[inner[-1]] / len(ends)
+        own = [max(counts[y][e] - 0.75, 0) / sums[y][context] if sums[y][context] else 0.0 for y in (0, 1)]
+        return math.log((own[1] + gamma[1] * p) / (own[0] + gamma[0] * p))
+
+    return lambda word: sum(map(llr, of(word)))
+
+
+def test_toxicity_uses_every_expression(spark):
+    rng = random.Random(11)
+    texts = {i: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(5, 9))) for _ in range(80)) for i in range(400)}
+    hashes = {i: zlib.crc32(str(i).encode()) for i in texts}
+    evidence = expression_evidence([(t, int(i % 3 == 0)) for i, t in texts.items() if hashes[i] % 4 != 2 and hashes[i] // 4 % 8])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.by_length for r in toxicity.score_toxicity(docs, docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))).collect()}
+    assert got.keys() == texts.keys()
+    for i, t in texts.items():
+        assert abs(got[i] - sum(map(evidence, t.split())) / 80) < 1e-4, i
