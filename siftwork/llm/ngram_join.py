@@ -13,7 +13,10 @@ groups for larger sets. The overlap of two sets is at most the sum over groups o
 
 What survives is verified on the full sets. Equal sets are one node from the start. Each key's members are first
 verified against the key's smallest document (as many pairs as rows); only members that are then in different
-components meet in pages. So a group of near copies costs as many pairs as members, not their square.
+components meet in pages. So components of near copies cost as many pairs as members, not their square.
+
+Links are counted afterwards, for those who ask for them: both ends of a link are in one component, so each component's
+distinct sets meet each other, in parts that are dealt to all tasks. This costs the square of a component's sets.
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ FEWEST = 16
 COARSE = 128
 #: What a count of a page's point stands for when it does not fit into two bytes: more than any overlap.
 MANY = 1 << 40
+#: Sets of a part of a component, and shingles that are compared at once.
+PART, WIDE = 64, 1 << 14
 #: Parts of the key space that are shuffled one after another.
 SLICES = 2
 #: Keys that must speak for a pair to be verified before pages are made, but for sets of fewer than FEW shingles.
@@ -243,21 +248,91 @@ def page_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return met.mapInPandas(cross, "a long, b long").distinct()
 
 
+def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """The numbers of shingles that each of the sets ``xs`` has in common with each of ``ys``; sets are sorted."""
+    words = np.unique(np.concatenate(ys))
+    out = np.zeros((len(xs), len(ys)), np.int64)
+
+    def held(sets: list[np.ndarray], some: np.ndarray) -> np.ndarray:
+        rows = np.zeros((len(sets), len(some)), np.float32)
+        for row, s in zip(rows, sets, strict=True):
+            s = s[np.searchsorted(s, some[0]) : np.searchsorted(s, some[-1], "right")]
+            at = np.searchsorted(some, s)
+            row[at[some[at] == s]] = 1
+        return rows
+
+    for start in range(0, len(words), WIDE):
+        some = words[start : start + WIDE]
+        out += np.rint(held(xs, some) @ held(ys, some).T).astype(np.int64)
+    return out
+
+
+def count_links(groups: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """digest, n: documents whose set links with the set or is equal to it, for the ``groups`` (digest, node, comp, n_docs) with others in their component."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            found = [shingles(hashes.of(lower_words(data)), k).tobytes() for data in utf8(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(x) for x in found], pa.binary()), pa.array(found, pa.binary())], ["digest", "s"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, totals = [], []
+            for lo, hi, members in zip(*(batch.column(c).to_pylist() for c in ("lo", "hi", "m")), strict=True):
+                a, b = ([x for x in members if x["part"] == p] for p in (lo, hi))
+                if not a or not b:
+                    continue
+                (sa, na, wa), (sb, nb, wb) = ((sets, np.array([len(s) for s in sets]), np.array([x["n_docs"] for x in m])) for m, sets in ((m, [np.frombuffer(x["s"], np.uint64) for x in m]) for m in (a, b)))
+                common = overlaps(sa, sb)
+                links = common * (100 + percent) >= percent * (na[:, None] + nb)
+                for m, sums in ((a, links @ wb), (b, wa @ links))[: 1 + (lo != hi)]:
+                    digests.extend(x["digest"] for x in m)
+                    totals.extend(sums.tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(totals, pa.int64())], ["digest", "n"])
+
+    parts = groups.groupBy("comp").agg(F.count("*").alias("members")).where("members > 1").select("comp", F.ceil(F.col("members") / PART).alias("parts"))
+    dealt = groups.join(parts, "comp").withColumn("part", F.pmod(F.xxhash64("digest"), "parts"))
+    ids = dealt.select(F.col("node").alias("doc_id")).distinct()
+    held = docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(ids, "doc_id", "left_semi").select("text").mapInArrow(read, "digest binary, s binary").dropDuplicates(["digest"])
+    # Each part meets every other: a row for each part of its component.
+    rows = dealt.join(staged(held, "whole-sets"), "digest").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    rows = rows.select("comp", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), F.struct("part", "digest", "n_docs", "s").alias("m"))
+    return rows.groupBy("comp", "lo", "hi").agg(F.collect_list("m").alias("m")).select("lo", "hi", "m").mapInArrow(count, "digest binary, n long").groupBy("digest").agg(F.sum("n").alias("n"))
+
+
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, n_links.
 
     Words are runs without ASCII white space, with A-Z in lower case; a document's set holds its distinct runs of
     ``k`` words, or its whole sequence if it has fewer. Two documents link when 100 |A & B| >= percent |A | B|;
-    component_id is the smallest doc_id that links reach. n_links counts the verified links of the document's set to
-    other sets that were needed to join components (not all that there are).
+    component_id is the smallest doc_id that links reach. n_links counts the other documents that the document links with,
+    those with an equal set among them.
 
     Edge cases: null and empty texts and texts of white space have no shingles and link with nothing; rows with one
-    doc_id are one document; rows without doc_id have component_id null; an empty table gives no rows; other columns are ignored.
+    doc_id are one document (with different sets, one for each set in n_links); rows without doc_id have component_id
+    null and count for no other's n_links; an empty table gives no rows; other columns are ignored.
     """
+    small, groups = components_of_sets(docs, k, percent)
+    counted = staged(count_links(groups, docs.where("doc_id is not null"), k, percent), "counted")
+    of_digest = groups.join(counted, "digest", "left").select("digest", "comp", F.coalesce("n", "n_docs").alias("n"))
+    out = placed_documents(small, of_digest.withColumnRenamed("n", "linked"))
+    links = F.coalesce("linked", F.lit(0)) - F.when(F.col("doc_id").isNotNull(), 1).otherwise(0)
+    return out.select("doc_id", "n_shingles", "component_id", F.when(F.col("n_shingles") > 0, links).otherwise(F.lit(0)).alias("n_links"))
+
+
+def placed_documents(small: DataFrame, of_digest: DataFrame) -> DataFrame:
+    """The documents ``small`` (doc_id, n, digest) with component_id and the columns of their sets."""
+    comp = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("comp"))).otherwise(F.col("doc_id"))
+    return small.join(of_digest, "digest", "left").withColumn("component_id", comp).withColumnRenamed("n", "n_shingles")
+
+
+def components_of_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, digest) of all rows; and of the distinct sets digest, node (the smallest document), comp, n_docs."""
     known = docs.where("doc_id is not null")
     rows = staged(profiles(docs, k, percent), "profiles")
     full = rows.where("doc_id is not null and n > 0")
-    nodes = staged(full.groupBy("digest").agg(F.min("doc_id").alias("node")), "nodes")
+    nodes = staged(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.countDistinct("doc_id").alias("n_docs")), "nodes")
     small = staged(rows.select("doc_id", "n", "digest"), "sizes")
     reps = nodes.select(F.col("node").alias("doc_id")).distinct()
     points = staged(rows.where("n > 0").select("doc_id", "n", "point").join(reps, "doc_id", "left_semi"), "points")
@@ -296,16 +371,13 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     comps = connected_components(links)
     discard(points, crossing)
 
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    of_node = nodes.join(comps.withColumnRenamed("id", "node"), "node", "left").join(degree, "node", "left")
-    of_digest = of_node.select("digest", F.coalesce("component", "node").alias("comp"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = small.join(staged(of_digest, "of-digest"), "digest", "left")
-    comp = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("comp"))).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).alias("n_links"))
+    of_node = nodes.join(comps.withColumnRenamed("id", "node"), "node", "left")
+    return small, staged(of_node.select("digest", "node", F.coalesce("component", "node").alias("comp"), "n_docs"), "of-digest")
 
 
 def drop_near_copies(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component, and those without doc_id; all their columns."""
-    kept = jaccard_components(docs, k, percent).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
+    small, groups = components_of_sets(docs, k, percent)
+    kept = placed_documents(small, groups).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
     known = docs.where("doc_id is not null").withColumn("__id", F.col("doc_id").cast("long")).join(kept, "__id", "left_semi")
     return known.select(*docs.columns).union(docs.where("doc_id is null"))

@@ -338,3 +338,18 @@ def test_toxicity_uses_every_expression(spark):
     assert got.keys() == texts.keys()
     for i, t in texts.items():
         assert abs(got[i] - sum(map(evidence, t.split())) / 80) < 1e-4, i
+
+
+def test_jaccard_counts_all_links(spark):
+    rng = random.Random(12)
+    base, rows = [f"w{i}" for i in range(60)], []
+    for i in range(150):  # more than two parts of a component, most within one link of each other
+        words = list(base)
+        for at in rng.sample(range(60), rng.randint(0, 2)):
+            words[at] = f"x{rng.randrange(6)}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000, "one two three"), (1001, "one two  three"), (1002, "alone"), (None, rows[0][1]), (1003, None), (1000, "one two three")]
+    got = {r.doc_id: r.n_links for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 1).where("doc_id is not null").collect()}
+    sets = {i: set((t or "").split()) for i, t in rows if i is not None}
+    for i, s in sets.items():
+        assert got[i] == sum(j != i and bool(s) and 100 * len(s & o) >= 90 * len(s | o) for j, o in sets.items()), i
