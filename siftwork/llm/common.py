@@ -7,7 +7,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -25,7 +25,8 @@ CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once as Parquet into the shared folder and returns what was written, with its lineage cut.
 
-    The shuffle files of the write go when it ends: nothing but the written table is read afterwards.
+    The shuffle files of the write go when it ends: nothing but the written table is read afterwards. The table goes
+    when the application ends, or before by ``discard``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/siftwork/{name}-{uuid.uuid4().hex}"
@@ -35,11 +36,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEAN_UP, before)
+    drop_at_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out
 
 
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Has ``path`` deleted when the application ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes staged tables that later staged tables have been made from and that nothing reads any more."""
     for t in tables:
@@ -125,6 +133,33 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def nested(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The rows of ``docs`` in one column ``rows``, beside ``columns``: so no name of the caller's clashes with ours."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("rows"), *(c.alias(name) for name, c in columns.items()))
+
+
+#: A key with more than this part of all rows is heavy; so there are at most as many heavy keys as its inverse.
+HEAVY = 1 / 1000
+
+
+def join_keys(rows: DataFrame, keys: DataFrame, by: list[str], count: str, total: int, spread: Column, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``keys`` (distinct by ``by``; ``count`` says how many of ``total`` rows have the key).
+
+    The rows of heavy keys, however many one key has, meet them by a broadcast of at most 1 / HEAVY rows and are dealt
+    by ``spread`` (a hash of the row) in the shuffle in which the others meet theirs. ``count`` is dropped. ``how`` is
+    inner or left.
+    """
+    others = [c for c in keys.columns if c not in (*by, count)]
+    heavy = keys.where(F.col(count) > total * HEAVY).select(*by, F.struct(*others).alias("__heavy"), F.lit(True).alias("__is_heavy"))
+    light = keys.where(F.col(count) <= total * HEAVY).select(*by, F.struct(*others).alias("__light"), F.lit(0).cast("long").alias("__deal"), F.lit(True).alias("__is_light"))
+    met = rows.join(F.broadcast(heavy), by, "left").withColumn("__deal", F.when(F.col("__is_heavy"), 1 + F.pmod(spread, F.lit(1 << 20))).otherwise(F.lit(0)))
+    met = met.join(light.hint("merge"), [*by, "__deal"], "left")
+    if how == "inner":
+        met = met.where("__is_heavy or __is_light")
+    found = F.coalesce("__heavy", "__light")
+    return met.select(*rows.columns, *(found[c].alias(c) for c in others))
+
+
 def connected_components(edges: DataFrame, limit: int = 60) -> DataFrame:
     """(id, component) of undirected ``edges`` (a, b), where component is the smallest id that is reachable.
 

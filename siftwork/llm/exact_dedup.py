@@ -5,7 +5,8 @@ bits, ranked by a running count), and slots with the full 32-byte digest, the wi
 A lookup hashes to one slot and compares all 32 bytes, so digests that are not in the history are never taken for
 members. Those nonmembers are grouped among themselves.
 
-Both sides are reduced to one row per distinct digest before they meet, so a group of copies of any size is one row.
+All digests, those of the history among them, are looked up, and what a slot holds decides: so a wrong slot is a wrong
+result. Digests are reduced to one row each before they meet the index, so a group of copies of any size is one row.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, staged
+from .common import SPACE, discard, join_keys, nested, staged
 
 #: Distinct digests in a shard; bounds the memory of a task that builds or probes one.
 SHARD_KEYS = 200_000
@@ -116,9 +117,12 @@ def digests(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.monotonically_increasing_id().alias("row"), F.unhex(F.sha2(normal, 256)).alias("digest"))
 
 
-def winners(rows: DataFrame) -> DataFrame:
-    """One row per distinct digest: the row that comes first by id, and the number of rows. Pre-aggregated before its shuffle."""
-    return rows.groupBy("digest").agg(F.min(F.struct("doc", "row")).alias("w"), F.count("*").alias("n")).select("digest", "w.doc", "w.row", "n")
+def distinct_digests(rows: DataFrame, border: int) -> DataFrame:
+    """One row per distinct digest of ``rows``: the first row by id and the number of rows, of the history (ids up to ``border``) and of later ones. Pre-aggregated before its shuffle."""
+    past = F.col("doc") <= border
+    at = F.struct("doc", "row")
+    each = rows.groupBy("digest").agg(F.min(F.when(past, at)).alias("p"), F.count_if(past).alias("n_past"), F.min(F.when(~past, at)).alias("w"), F.count_if(~past).alias("n"))
+    return each.select("digest", F.col("p.doc").alias("doc_past"), F.col("p.row").alias("row_past"), "n_past", F.coalesce("w.doc", F.lit(0)).alias("doc"), F.coalesce("w.row", F.lit(0)).alias("row"), "n")
 
 
 def with_shard(keys: DataFrame, shards: int) -> DataFrame:
@@ -136,38 +140,61 @@ def lookup(keys: DataFrame, index: DataFrame, shards: int) -> DataFrame:
     return with_shard(keys, shards).groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(probe_shard, schema)
 
 
+def decide(distinct: DataFrame, index: DataFrame, shards: int) -> DataFrame:
+    """digest, keep_doc, keep_row, group_size of all ``distinct`` digests (digest, doc, row, n: their rows beyond the history).
+
+    A member's winner and the size of its history come from its slot; nonmembers are groups of their own.
+    """
+    found = lookup(distinct.select("digest", "doc", "row", "n"), index, shards)
+    member = F.col("doc_then").isNotNull()
+    return found.select("digest", F.when(member, F.col("doc_then")).otherwise(F.col("doc")).alias("keep_doc"), F.when(member, F.col("row_then")).otherwise(F.col("row")).alias("keep_row"), (F.col("n") + F.col("n_then")).alias("group_size"))
+
+
+def _decided(rows: DataFrame, history_part: float) -> DataFrame:
+    span = rows.where(F.col("doc") < NO_ID).agg(F.min("doc"), F.max("doc"), F.count("*")).first()
+    border = span[0] + int((span[1] - span[0]) * history_part) if span[2] else 0
+    distinct = staged(distinct_digests(rows, border), "distinct")
+    shards = distinct.count() // SHARD_KEYS + 1
+    history = distinct.where("n_past > 0").select("digest", F.col("doc_past").alias("doc"), F.col("row_past").alias("row"), F.col("n_past").alias("n"))
+    index = staged(build_index(history, shards), "index")
+    decided = staged(decide(distinct, index, shards), "decided")
+    discard(distinct, index)
+    return decided
+
+
 def exact_dedup(docs: DataFrame, history_part: float = 0.5) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after each run of ASCII white space is one space; null counts as empty. Of equal
     texts the row with the smallest doc_id stays. Rows up to ``history_part`` of the range of ids are the history whose
-    digests are indexed; later rows are looked up. The result is the same for any division.
+    digests are indexed; all digests are looked up. The result is the same for any division.
 
     Edge cases: rows without doc_id come after all others and have keep_id null if one of them stays; of rows repeated
     with the same doc_id and text one is kept; empty texts form one group; an empty table gives no rows; other columns are ignored.
     """
     rows = staged(digests(docs), "digests")
-    span = rows.where(F.col("doc") < NO_ID).agg(F.min("doc"), F.max("doc"), F.count("*")).first()
-    border = span[0] + int((span[1] - span[0]) * history_part) if span[2] else 0
-    shards = max(1, -(-span[2] // SHARD_KEYS), *([int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))] if span[2] > 10_000 else []))
-    past, new = winners(rows.where(F.col("doc") <= border)), winners(rows.where(F.col("doc") > border))
-    past = staged(past, "history")
-    index = build_index(past, shards)
-    found = staged(lookup(new, index, shards), "found")
-    # History and incoming rows by digest: members carry their history's winner, nonmembers are groups of their own.
-    of_new = found.select("digest", F.coalesce("doc_then", "doc").alias("keep_doc"), F.coalesce("row_then", "row").alias("keep_row"), (F.col("n") + F.col("n_then")).alias("group_size"))
-    of_past = past.join(found.where("doc_then is not null").select("digest", F.col("n").alias("more")), "digest", "left").select("digest", F.col("doc").alias("keep_doc"), F.col("row").alias("keep_row"), (F.col("n") + F.coalesce("more", F.lit(0))).alias("group_size"))
-    nonmembers = of_new.join(past.select("digest"), "digest", "left_anti")
-    joined = rows.join(staged(nonmembers.union(of_past), "decided"), "digest")
+    decided = _decided(rows, history_part)
+    # A row for each digest, with the group's size: heavy groups' rows are dealt to all tasks.
+    joined = join_keys(rows, decided.withColumn("copies", F.col("group_size")), ["digest"], "copies", rows.count(), F.xxhash64("doc", "row"))
     some = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
     return joined.select(some("doc").alias("doc_id"), some("keep_doc").alias("keep_id"), "group_size", ((F.col("doc") == F.col("keep_doc")) & (F.col("row") == F.col("keep_row"))).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns."""
-    kept = exact_dedup(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.unhex("text_sha256").alias("__digest"))
-    normal = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " ")
-    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("__digest", F.unhex(F.sha2(normal, 256)))
-    # Equal ids and texts of repeated rows meet in the same partition of this join, so one of them can be chosen there.
-    chosen = keyed.join(kept, ["__id", "__digest"], "left_semi")
-    return chosen.dropDuplicates(["__id", "__digest"]).select(*docs.columns)
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns.
+
+    Edge cases are those of ``exact_dedup``: null texts count as empty, rows without doc_id go if any row has their
+    text, one of repeated rows stays, an empty table stays empty, and columns of any names pass through.
+    """
+    key = {"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "digest": F.unhex(F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " "), 256))}
+    rows = staged(digests(docs), "digests")
+    decided = _decided(rows, 0.5)
+    # Only what goes is joined back: rows of other winners' digests, and rows of which several have the winner's id and text.
+    of_id = rows.groupBy("doc", "digest").agg(F.count("*").alias("n"))
+    copies = join_keys(of_id, decided.where("group_size > 1").select("digest", "keep_doc", F.col("group_size").alias("copies")), ["digest"], "copies", rows.count(), F.xxhash64("doc"))
+    going = staged(copies.where("doc <> keep_doc or n > 1").select("doc", "digest", (F.col("doc") == F.col("keep_doc")).alias("repeated")), "going")
+    met = nested(docs, **key).join(going, ["doc", "digest"], "left")
+    out = met.where("repeated is null").select("rows.*")
+    if going.where("repeated").isEmpty():
+        return out
+    return out.union(met.where("repeated").dropDuplicates(["doc", "digest"]).select("rows.*"))

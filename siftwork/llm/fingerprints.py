@@ -5,8 +5,9 @@ modulo the prime 2**31 - 1. The hash of any span is a difference of two entries,
 two spans compare in constant time and longest common extensions are found by binary search. Two bases make chance
 agreement of different spans about 2**-62 for short spans.
 
-A fingerprint is the hash of the whole text and a bottom-k sketch of the hashes of all its spans of a fixed length. The
-likeness of two fingerprints estimates the share of spans that the texts have in common.
+A fingerprint is the hash of the whole text and a bottom-k sketch of the hashes of all its spans of a fixed length, and of
+the shorter spans at its two ends (as if blanks stood before and behind the text), so that texts of any lengths have spans
+of the same kinds. The likeness of two fingerprints estimates the share of spans that the texts have in common.
 """
 
 from __future__ import annotations
@@ -16,15 +17,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix
 
 PRIME = (1 << 31) - 1
 BASES = (911382323, 972663749)
-#: Characters of a span; those of a span of a text shorter than SHORT; spans that a sketch keeps.
-SPAN, SHORT_SPAN, SHORT, KEEP = 8, 3, 24, 48
+#: Characters of a span; spans that a sketch keeps.
+SPAN, KEEP = 8, 48
 
 
 def reduced(x: np.ndarray) -> np.ndarray:
@@ -104,11 +105,18 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
+def span_hashes(of: Prefixes) -> np.ndarray:
+    """Mixed hashes of all spans of a text: of SPAN characters inside, and of fewer at its start and at its end."""
+    inside = of.all_spans(SPAN) if of.n >= SPAN else np.empty(0, np.uint64)
+    short = range(1, min(SPAN - 1, of.n) + 1)
+    # The two top bits, which hashes of spans leave free, tell the three kinds apart.
+    ends = [of.span(0, k) | 1 << 62 for k in short] + [of.span(of.n - k, k) | 2 << 62 for k in short]
+    return mix(np.concatenate([inside, np.array(ends, np.uint64)]))
+
+
 def sketch(of: Prefixes) -> np.ndarray:
-    """The smallest distinct mixed hashes of the spans; of the whole text if it is shorter than a span."""
-    if of.n == 0:
-        return np.empty(0, np.uint64)
-    hashes = mix(of.all_spans(min(SPAN if of.n >= SHORT else SHORT_SPAN, of.n)))
+    """The smallest distinct hashes of the spans."""
+    hashes = span_hashes(of)
     if len(hashes) > 4 * KEEP:
         # Mixed hashes are uniform, so a bound that a few times KEEP of them meet holds the smallest KEEP but by rare chance.
         few = hashes[hashes < np.uint64(min((1 << 64) - 1, (1 << 64) // len(hashes) * 4 * KEEP))]
@@ -208,15 +216,17 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 last = batch.slice(batch.num_rows - 1)
         if first:
             (a,), (b,) = first.to_pylist(), last.to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([a["part"]], pa.int32()), pa.array([b["doc_id"]], pa.int64()), pa.array([a["text"]]), pa.array([b["text"]])], ["part", "doc_id", "first", "last"])
+            yield pa.RecordBatch.from_arrays([pa.array([a["part"], b["part"]], pa.int32()), pa.array([True, False]), pa.array([None, b["doc_id"]], pa.int64()), pa.array([a["text"], b["text"]])], ["part", "is_first", "doc_id", "text"])
 
     def border(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Fingerprinter()
         for batch in batches:
             yield batch_of([of.row(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "last", "following")), strict=True)])
 
-    # One row for each partition: its last document meets the first one of the next partition that has any.
-    found = ordered.mapInArrow(ends, "part int, doc_id long, first string, last string")
-    ring = Window.orderBy("part")
-    following = F.coalesce(F.lead("first").over(ring), F.first("first").over(ring.rowsBetween(Window.unboundedPreceding, 0)))
-    return ordered.select("doc_id", "text").mapInArrow(pairs, SCHEMA).union(found.select("doc_id", "last", following.alias("following")).mapInArrow(border, SCHEMA))
+    # Partitions stand in a ring of their numbers; a partition's last document and the next one's first meet by the number.
+    found = ordered.mapInArrow(ends, "part int, is_first boolean, doc_id long, text string")
+    ring = F.broadcast(ordered.select("part").distinct().agg(F.sort_array(F.collect_list("part")).alias("parts")))  # as many numbers as partitions
+    at = F.array_position("parts", F.col("part")) - 1
+    before = F.when(F.col("is_first"), F.pmod(at - 1, F.size("parts"))).otherwise(at)
+    met = found.crossJoin(ring).withColumn("spot", before).groupBy("spot").agg(F.max(F.when(~F.col("is_first"), F.struct("doc_id", "text"))).alias("last"), F.max(F.when(F.col("is_first"), F.col("text"))).alias("following"))
+    return ordered.select("doc_id", "text").mapInArrow(pairs, SCHEMA).union(met.select("last.doc_id", F.col("last.text").alias("last"), "following").mapInArrow(border, SCHEMA))

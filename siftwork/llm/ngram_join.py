@@ -7,20 +7,23 @@ groups for larger sets. The overlap of two sets is at most the sum over groups o
   gathered into more than D blocks, so some block is equal in both, and its digest is a key that both have. A key
   stands for several shingles together, so a passage that many documents share makes few keys of its own. Documents with
   a key in common are candidates; nothing that links is left out, at any size.
-* Bounds. Documents with one key are packed into pages in order of size, with the largest count of each group as the
-  page's bounding corner (the leaves of an R-tree): pairs of pages are dropped by the bound of their corners, pairs of
-  points by their own bound.
+* R-tree. A key's documents are packed into leaf pages by size, pages into nodes; pages and nodes have the largest
+  count of each group as their bounding corner. Pairs of nodes are dropped by the bound of their corners, then pairs of
+  pages, then pairs of points by their own bound. Pages are dealt by counts, not by a sort, so a key that very many
+  documents share is spread over all tasks.
 
 What survives is verified on the full sets. Equal sets are one node from the start. Each key's members are first
 verified against the key's smallest document (as many pairs as rows); only members that are then in different
-components meet in pages. So components of near copies cost as many pairs as members, not their square.
+components meet in the tree. So components of near copies cost as many pairs as members, not their square.
 
 Links are counted afterwards, for those who ask for them: both ends of a link are in one component, so each component's
-distinct sets meet each other, in parts that are dealt to all tasks. This costs the square of a component's sets.
+distinct sets meet each other, in parts of a bounded size that are dealt to all tasks, by products of matrices of the
+shingles that they share. This costs the square of a component's distinct sets.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from functools import reduce
@@ -32,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, connected_components, discard, mix, split_words, staged, utf8, windows_of
+from .common import WordHashes, connected_components, discard, join_keys, mix, nested, split_words, staged, utf8, windows_of
 
 #: Documents in a page.
 PAGE = 64
@@ -42,8 +45,10 @@ FEWEST = 16
 COARSE = 128
 #: What a count of a page's point stands for when it does not fit into two bytes: more than any overlap.
 MANY = 1 << 40
-#: Sets of a part of a component, and shingles that are compared at once.
-PART, WIDE = 64, 1 << 14
+#: Pages of a node; each band of sizes, whose documents share pages, is this much wider than the one before.
+NODE, BAND = 32, 1.05
+#: Bytes of the sets of a part of a component; shingles and sets that are compared at once.
+PART, WIDE, TALL = 8 << 20, 1 << 12, 1 << 9
 #: Parts of the key space that are shuffled one after another.
 SLICES = 2
 #: Keys that must speak for a pair to be verified before pages are made, but for sets of fewer than FEW shingles.
@@ -88,8 +93,9 @@ class Ranges:
         while self.edges[at] <= 100 * n // self.percent:
             low, top = int(self.edges[at]), int(self.edges[at + 1]) - 1
             most = self.most(max(n, top))
-            # Spare blocks make up for empty ones, which say nothing: about as many as there are in the range's smallest sets.
-            spare = int(1.5 * (most + 1) * math.exp(-low / (most + 1))) + 1 if most else 0
+            # Spare blocks make up for empty ones, which say nothing: more than there are in the smallest sets that need them.
+            few = low * self.percent // 100
+            spare = int(1.5 * (most + 1) * math.exp(-few / (most + 1))) + 1 if most else 0
             out.append((at, most + 1 + spare, self.most(n) + 1 + spare, spare))
             at += 1
         return out
@@ -98,9 +104,9 @@ class Ranges:
 def block_keys(s: np.ndarray, ranges: Ranges) -> np.ndarray:
     """Keys of the blocks of a set: equal if, and but for collisions only if, the block holds the same shingles.
 
-    Of the first D + 1 + spare blocks two linking sets have at least 1 + spare in common. Sets with at most ``spare`` empty
-    blocks leave these out and still have another one in common with any partner; sets with more keep them all, and a
-    partner all of whose common blocks are empty has as many.
+    Of the first D + 1 + spare blocks two linking sets have at least 1 + spare in common. Either one of these is not
+    empty, or both sets have 1 + spare empty blocks at the same places: so sets with that many have a key for each
+    choice of 1 + spare of their empty blocks too (rarely more than a few).
     """
     keys = []
     spread = mix(s ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(20)
@@ -113,7 +119,10 @@ def block_keys(s: np.ndarray, ranges: Ranges) -> np.ndarray:
         edges = np.searchsorted(of, np.arange(need + 1), "left")
         sizes = np.diff(edges).astype(np.uint64)
         found = mix(total[edges[1:]] - total[edges[:-1]] + np.uint64(0x8EBC6AF09C88C6E3) * sizes + mix(np.arange(need, dtype=np.uint64) + np.uint64(at << 32)))
-        keys.append(found[sizes > 0] if (sizes == 0).sum() <= spare else found)
+        keys.append(found[sizes > 0])
+        empty = np.flatnonzero(sizes == 0).tolist()
+        if len(empty) > spare:
+            keys.append(np.array([xxhash.xxh3_64_intdigest(repr((at, some)).encode()) for some in itertools.combinations(empty, spare + 1)], np.uint64))
     return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
@@ -212,46 +221,126 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     return both.where(common * 100 >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def page_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of ``rows`` (key, doc_id, comp, n, coarse point) with one key, of different components, that can link.
+def matrix(points: list[bytes], groups: int) -> np.ndarray:
+    """Coarse points as rows of ``groups`` coordinates."""
 
-    A key's rows are cut into pages in order of size. Pages meet only where their sizes can; then their corners'
-    bound, and at last the points' bound decides.
-    """
-    spot = Window.partitionBy("key").orderBy("n", "doc_id")
-    paged = rows.withColumn("page", F.floor((F.row_number().over(spot) - 1) / PAGE))
-    pages = paged.groupBy("key", "page").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.collect_list(F.struct("doc_id", "comp", "n", "point")).alias("m"))
-    pages = staged(pages, "pages")
-    left, right = (pages.select("key", *(F.col(c).alias(f"{c}{i}") for c in ("page", "lo", "hi", "m"))) for i in (1, 2))
-    met = left.join(right, "key").where(f"page1 <= page2 and lo2 * {percent} <= hi1 * 100").select("m1", "m2")
+    def counts(x: bytes) -> np.ndarray:
+        short = np.frombuffer(x, "<u2").astype(np.int64)
+        return fold(np.where(short == 65535, MANY, short), groups)
 
-    def cross(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def counts(x: bytes, groups: int) -> np.ndarray:
-            short = np.frombuffer(x, "<u2").astype(np.int64)
-            return fold(np.where(short == 65535, MANY, short), groups)
+    return np.stack([counts(x) for x in points])
 
-        def columns(m, groups):
-            return (np.array([x[c] for x in m]) for c in ("doc_id", "comp", "n")), np.stack([counts(x["point"], groups) for x in m])
 
-        for f in frames:
-            out = [np.empty((0, 2), np.int64)]
-            for m1, m2 in zip(f["m1"], f["m2"], strict=True):
-                groups = min(len(x["point"]) // 2 for m in (m1, m2) for x in m)
-                ((d1, c1, n1), p1), ((d2, c2, n2), p2) = columns(m1, groups), columns(m2, groups)
-                if not bounded(p1.max(axis=0), p2.max(axis=0), n1.min(), n2.min(), percent):
-                    continue
-                for i in range(len(d1)):
-                    j = np.flatnonzero((c2 != c1[i]) & (np.minimum(n1[i], n2) * 100 >= percent * np.maximum(n1[i], n2)) & bounded(p1[i][None, :], p2, n1[i], n2, percent))
-                    out.append(np.stack([np.minimum(d1[i], d2[j]), np.maximum(d1[i], d2[j])], axis=1))
-            yield pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+def corner(points: list[bytes]) -> bytes:
+    """The largest count of each group, in the coordinates of the shortest point."""
+    return np.minimum(matrix(points, min(len(x) for x in points) // 2).max(axis=0), 65535).astype("<u2").tobytes()
+
+
+class Members:
+    """The documents of a page: a struct array of doc_id, comp, n, point."""
+
+    def __init__(self, m: pa.StructArray):
+        self.doc, self.comp, self.n = (m.field(c).to_numpy() for c in ("doc_id", "comp", "n"))
+        self.points = m.field("point").to_pylist()
+        self.groups = min(len(x) for x in self.points) // 2
+
+    def pairs(self, other: Members, percent: int) -> list[np.ndarray]:
+        """Pairs of ids, the smaller first, of different components that can link."""
+        groups = min(self.groups, other.groups)
+        a, b = matrix(self.points, groups), matrix(other.points, groups)
+        out = []
+        for i in range(len(a)):
+            j = np.flatnonzero((other.comp != self.comp[i]) & (np.minimum(self.n[i], other.n) * 100 >= percent * np.maximum(self.n[i], other.n)))
+            j = j[bounded(a[i][None, :], b[j], self.n[i], other.n[j], percent)]
+            out.append(np.stack([np.minimum(self.doc[i], other.doc[j]), np.maximum(self.doc[i], other.doc[j])], axis=1))
+        return out
+
+
+def pair_batch(pairs: list[np.ndarray]) -> pa.RecordBatch:
+    found = np.concatenate([np.empty((0, 2), np.int64), *pairs])
+    return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
 
-    return met.mapInPandas(cross, "a long, b long").distinct()
+
+def tree_pairs(rows: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``rows`` (key, doc_id, comp, n) with one key, of different components, that can link.
+
+    ``points``: doc_id, point. Documents of a key and a band of sizes are dealt to leaf pages, pages to nodes. Nodes meet
+    where their sizes can; then their corners, their pages' corners, and at last the points' own bound decide.
+    """
+    banded = rows.withColumn("band", F.floor(F.log("n") / math.log(BAND)))
+    counts = banded.groupBy("key", "band").agg(F.count("*").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    of_key = Window.partitionBy("key")  # a row for each band of the sizes that one key can have: a few
+    beside = of_key.orderBy("band")
+    counts = counts.withColumns({"down": F.lag("hi").over(beside), "up": F.lead("lo").over(beside)})
+    # Rows with no other row of a near enough size beside them have no partner under this key.
+    counts = counts.where((F.col("c") > 1) | (F.col("down") * 100 >= percent * F.col("lo")) | (F.col("hi") * 100 >= percent * F.col("up")))
+    counts = counts.select("key", "band", "c", F.ceil(F.col("c") / PAGE).alias("pages"))
+    counts = staged(counts.withColumn("all_pages", F.sum("pages").over(of_key)), "page-counts")
+    placed = join_keys(banded, counts, ["key", "band"], "c", rows.count(), F.xxhash64("doc_id"))
+    placed = placed.withColumn("page", F.pmod(F.xxhash64("doc_id"), "pages")).join(points, "doc_id")
+    pages = staged(placed.groupBy("key", "band", "page").agg(F.first("all_pages").alias("all_pages"), F.collect_list(F.struct("doc_id", "comp", "n", "point")).alias("m")), "pages")
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages = [Members(m.values) for m in batch.column("m")]
+            yield pair_batch([x for p in pages for x in p.pairs(p, percent)])
+
+    def corners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages = [Members(m.values) for m in batch.column("m")]
+            columns = [pa.array([int(f(p.n)) for p in pages], pa.int64()) for f in (np.min, np.max)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "band", "page", "all_pages")), *columns, pa.array([corner(p.points) for p in pages], pa.binary())], ["key", "band", "page", "all_pages", "lo", "hi", "corner"])
+
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, p1, p2 in zip(batch.column("key").to_pylist(), batch.column("p1").to_pylist(), batch.column("p2").to_pylist(), strict=True):
+                groups = min(len(x["corner"]) for x in (*p1, *p2)) // 2
+                a, b = (matrix([x["corner"] for x in p], groups) for p in (p1, p2))
+                lo1, lo2 = (np.array([x["lo"] for x in p]) for p in (p1, p2))
+                if not bounded(a.max(axis=0), b.max(axis=0), lo1.min(), lo2.min(), percent):
+                    continue
+                for i, x in enumerate(p1):
+                    for j in np.flatnonzero(bounded(a[i][None, :], b, lo1[i], lo2, percent)).tolist():
+                        y = p2[j]
+                        if (x["band"], x["page"]) <= (y["band"], y["page"]) and size_bound(x["hi"], y["lo"], percent) | (x["hi"] >= y["lo"]):
+                            out.append((key, x["band"], x["page"], y["band"], y["page"]))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "band1", "page1", "band2", "page2"])
+
+    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pair_batch([x for m1, m2 in zip(batch.column("m1"), batch.column("m2"), strict=True) for x in Members(m1.values).pairs(Members(m2.values), percent)])
+
+    many = pages.where("all_pages > 1")
+    leaves = many.mapInArrow(corners, "key long, band long, page long, all_pages long, lo long, hi long, corner binary")
+    node = F.floor(F.col("page") / NODE).alias("node")
+    nodes = leaves.groupBy("key", "band", node).agg(F.first("all_pages").alias("all_pages"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list(F.struct("band", "page", "lo", "hi", "corner")).alias("p"))
+    nodes = staged(nodes, "nodes")
+    # The nodes of a key with very many of them meet in several tasks.
+    deals = F.ceil(F.col("all_pages") / (8 * NODE))
+    left = nodes.select("key", *(F.col(c).alias(f"{c}1") for c in ("band", "node", "hi", "p")), F.explode(F.sequence(F.lit(0).cast("long"), deals - 1)).alias("deal"))
+    right = nodes.select("key", *(F.col(c).alias(f"{c}2") for c in ("band", "node", "lo", "p")), F.pmod(F.xxhash64("band", "node"), deals).alias("deal"))
+    met = left.join(right, ["key", "deal"]).where(f"(band1 < band2 or band1 = band2 and node1 <= node2) and lo2 * {percent} <= hi1 * 100").select("key", "p1", "p2")
+    found = staged(met.mapInArrow(descend, "key long, band1 long, page1 long, band2 long, page2 long"), "page-pairs")
+    for i in (1, 2):
+        found = found.join(many.select("key", F.col("band").alias(f"band{i}"), F.col("page").alias(f"page{i}"), F.col("m").alias(f"m{i}")), ["key", f"band{i}", f"page{i}"])
+    pairs = pages.where("all_pages = 1").select("m").mapInArrow(alone, "a long, b long").union(found.select("m1", "m2").mapInArrow(cross, "a long, b long"))
+    return pairs.distinct()
 
 
 def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
-    """The numbers of shingles that each of the sets ``xs`` has in common with each of ``ys``; sets are sorted."""
-    words = np.unique(np.concatenate(ys))
-    out = np.zeros((len(xs), len(ys)), np.int64)
+    """The numbers of shingles that each of the sets ``xs`` has in common with each of ``ys``; sets are sorted.
+
+    Only shingles that can be in common have a place in the matrices: those in several sets, or on both sides.
+    """
+    if xs is ys:
+        words, n = np.unique(np.concatenate(ys), return_counts=True)
+        words = words[n > 1]
+        alone = np.array([len(s) for s in xs])
+    else:
+        words, alone = np.intersect1d(np.concatenate(xs), np.concatenate(ys)), None
+    out = np.zeros((len(xs), len(ys)), np.float32)
 
     def held(sets: list[np.ndarray], some: np.ndarray) -> np.ndarray:
         rows = np.zeros((len(sets), len(some)), np.float32)
@@ -263,12 +352,17 @@ def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
 
     for start in range(0, len(words), WIDE):
         some = words[start : start + WIDE]
-        out += np.rint(held(xs, some) @ held(ys, some).T).astype(np.int64)
+        right = held(ys, some).T
+        for at in range(0, len(xs), TALL):
+            out[at : at + TALL] += held(xs[at : at + TALL], some) @ right
+    out = np.rint(out).astype(np.int64)
+    if alone is not None:
+        np.fill_diagonal(out, alone)
     return out
 
 
 def count_links(groups: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """digest, n: documents whose set links with the set or is equal to it, for the ``groups`` (digest, node, comp, n_docs) with others in their component."""
+    """digest, n: documents whose set links with the set or is equal to it, for the ``groups`` (digest, node, n, comp, n_docs) with others in their component."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -284,6 +378,7 @@ def count_links(groups: DataFrame, docs: DataFrame, k: int, percent: int) -> Dat
                 if not a or not b:
                     continue
                 (sa, na, wa), (sb, nb, wb) = ((sets, np.array([len(s) for s in sets]), np.array([x["n_docs"] for x in m])) for m, sets in ((m, [np.frombuffer(x["s"], np.uint64) for x in m]) for m in (a, b)))
+                sb = sa if lo == hi else sb
                 common = overlaps(sa, sb)
                 links = common * (100 + percent) >= percent * (na[:, None] + nb)
                 for m, sums in ((a, links @ wb), (b, wa @ links))[: 1 + (lo != hi)]:
@@ -291,7 +386,7 @@ def count_links(groups: DataFrame, docs: DataFrame, k: int, percent: int) -> Dat
                     totals.extend(sums.tolist())
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(totals, pa.int64())], ["digest", "n"])
 
-    parts = groups.groupBy("comp").agg(F.count("*").alias("members")).where("members > 1").select("comp", F.ceil(F.col("members") / PART).alias("parts"))
+    parts = groups.groupBy("comp").agg(F.count("*").alias("members"), F.sum(F.col("n") * 8 + 64).alias("bytes")).where("members > 1").select("comp", F.ceil(F.col("bytes") / PART).alias("parts"))
     dealt = groups.join(parts, "comp").withColumn("part", F.pmod(F.xxhash64("digest"), "parts"))
     ids = dealt.select(F.col("node").alias("doc_id")).distinct()
     held = docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(ids, "doc_id", "left_semi").select("text").mapInArrow(read, "digest binary, s binary").dropDuplicates(["digest"])
@@ -314,25 +409,28 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     null and count for no other's n_links; an empty table gives no rows; other columns are ignored.
     """
     small, groups = components_of_sets(docs, k, percent)
-    counted = staged(count_links(groups, docs.where("doc_id is not null"), k, percent), "counted")
-    of_digest = groups.join(counted, "digest", "left").select("digest", "comp", F.coalesce("n", "n_docs").alias("n"))
-    out = placed_documents(small, of_digest.withColumnRenamed("n", "linked"))
+    counted = staged(count_links(groups, docs.where("doc_id is not null"), k, percent).withColumnRenamed("n", "linked"), "counted")
+    of_digest = groups.join(counted, "digest", "left").select("digest", "comp", "n_docs", F.coalesce("linked", "n_docs").alias("linked"))
+    out = placed_documents(small, of_digest)
     links = F.coalesce("linked", F.lit(0)) - F.when(F.col("doc_id").isNotNull(), 1).otherwise(0)
     return out.select("doc_id", "n_shingles", "component_id", F.when(F.col("n_shingles") > 0, links).otherwise(F.lit(0)).alias("n_links"))
 
 
 def placed_documents(small: DataFrame, of_digest: DataFrame) -> DataFrame:
-    """The documents ``small`` (doc_id, n, digest) with component_id and the columns of their sets."""
+    """The documents ``small`` (doc_id, n, digest) with component_id and the columns of their sets (digest, n_docs, comp, ...)."""
+    # Empty sets have no component; their ids stand for the digest in the join, so that they are dealt to all tasks.
+    keyed = small.withColumn("digest", F.when(F.col("n") > 0, F.col("digest")).otherwise(F.xxhash64("doc_id").cast("string").cast("binary")))
+    met = join_keys(keyed, of_digest, ["digest"], "n_docs", small.count(), F.xxhash64("doc_id"), "left")
     comp = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("comp"))).otherwise(F.col("doc_id"))
-    return small.join(of_digest, "digest", "left").withColumn("component_id", comp).withColumnRenamed("n", "n_shingles")
+    return met.withColumn("component_id", comp).withColumnRenamed("n", "n_shingles")
 
 
 def components_of_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, digest) of all rows; and of the distinct sets digest, node (the smallest document), comp, n_docs."""
+    """(doc_id, n, digest) of all rows; and of the distinct sets digest, node (the smallest document), n, comp, n_docs."""
     known = docs.where("doc_id is not null")
     rows = staged(profiles(docs, k, percent), "profiles")
     full = rows.where("doc_id is not null and n > 0")
-    nodes = staged(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.countDistinct("doc_id").alias("n_docs")), "nodes")
+    nodes = staged(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.countDistinct("doc_id").alias("n_docs")), "nodes")
     small = staged(rows.select("doc_id", "n", "digest"), "sizes")
     reps = nodes.select(F.col("node").alias("doc_id")).distinct()
     points = staged(rows.where("n > 0").select("doc_id", "n", "point").join(reps, "doc_id", "left_semi"), "points")
@@ -358,13 +456,9 @@ def components_of_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame
     placed = staged(placed, "placed")
     discard(members)
     mixed = placed.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key")
-    # Rows with no other row of a near enough size beside them have no partner under this key.
-    beside = Window.partitionBy("key").orderBy("n", "doc_id")
-    rest = placed.join(mixed, "key").withColumns({"__down": F.lag("n").over(beside), "__up": F.lead("n").over(beside)})
-    rest = rest.where((F.col("__down") * 100 >= percent * F.col("n")) | (F.col("n") * 100 >= percent * F.col("__up"))).drop("__down", "__up")
-    rest = staged(rest, "rest")
+    rest = staged(placed.join(mixed, "key"), "rest")
     discard(placed)
-    crossing = page_pairs(rest.join(points.select("doc_id", coarse().alias("point")), "doc_id"), percent).join(stars, ["a", "b"], "left_anti")
+    crossing = tree_pairs(rest, points.select("doc_id", coarse().alias("point")), percent).join(stars, ["a", "b"], "left_anti")
     crossing = staged(prune(staged(crossing, "crossing"), points, percent), "pruned")
     discard(rest, stars)
     links = staged(links.union(verified(crossing, known, k, percent)), "all-links")
@@ -372,12 +466,15 @@ def components_of_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame
     discard(points, crossing)
 
     of_node = nodes.join(comps.withColumnRenamed("id", "node"), "node", "left")
-    return small, staged(of_node.select("digest", "node", F.coalesce("component", "node").alias("comp"), "n_docs"), "of-digest")
+    return small, staged(of_node.select("digest", "node", "n", F.coalesce("component", "node").alias("comp"), "n_docs"), "of-digest")
 
 
 def drop_near_copies(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, and those without doc_id; all their columns."""
+    """The rows of ``docs`` whose doc_id is the smallest of its component, and those without doc_id; all their columns.
+
+    Edge cases are those of ``jaccard_components``: texts without words link with nothing and stay, rows repeated with
+    one doc_id are one document and stay or go together, an empty table stays empty, columns of any names pass through.
+    """
     small, groups = components_of_sets(docs, k, percent)
-    kept = placed_documents(small, groups).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    known = docs.where("doc_id is not null").withColumn("__id", F.col("doc_id").cast("long")).join(kept, "__id", "left_semi")
-    return known.select(*docs.columns).union(docs.where("doc_id is null"))
+    gone = placed_documents(small, groups.select("digest", "n_docs", "comp")).where("doc_id > component_id").select(F.col("doc_id").alias("id")).distinct()
+    return nested(docs, id=F.col("doc_id").cast("long")).join(gone, "id", "left_anti").select("rows.*")

@@ -21,7 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, staged
+from .common import drop_at_exit, join_keys, shared_dir, staged
 
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a range; bytes after which a task begins another archive; bytes read at a time.
@@ -70,10 +70,14 @@ def chosen(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) as page_id, url, payload, digest, refers_to."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload")})
-    # Only payloads that occur more than once: one row for each.
-    groups = rows.where((F.col("size") >= REVISIT_FROM) & F.col("page_id").isNotNull()).groupBy("digest", "size").agg(F.max("page_id").alias("stored"), F.count("*").alias("n")).where("n > 1").select("digest", "size", "stored")
-    joined = rows.join(groups, ["digest", "size"], "left")
-    return joined.select("page_id", "url", "payload", "digest", F.when(F.col("stored") != F.col("page_id"), F.col("stored")).alias("refers_to"))
+    # A narrow row for each payload that occurs more than once; heavy ones (error pages) are dealt to all tasks.
+    large = (F.col("size") >= REVISIT_FROM) & F.col("page_id").isNotNull()
+    groups = staged(rows.select("page_id", "digest", "size").where(large).groupBy("digest", "size").agg(F.max("page_id").alias("stored"), F.count("*").alias("copies")), "digests")
+    total = groups.agg(F.sum("copies")).first()[0] or 0
+    # Rows that no group can have meet none: their own hash stands for the digest in the join.
+    keyed = rows.withColumns({"full": F.col("digest"), "digest": F.when(large, F.col("digest")).otherwise(F.hex(F.xxhash64("page_id", "url")))})
+    joined = join_keys(keyed, groups.where("copies > 1"), ["digest", "size"], "copies", total, F.xxhash64("page_id", "url"), "left")
+    return joined.select("page_id", "url", "payload", F.col("full").alias("digest"), F.when(F.col("stored") != F.col("page_id"), F.col("stored")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, level: int = 6) -> DataFrame:
@@ -225,4 +229,6 @@ def round_trip(pages: DataFrame, split: int = SPLIT, payload: bool = False) -> D
     come; an empty table gives no rows; other columns are ignored.
     """
     folder = f"{shared_dir(pages.sparkSession)}/siftwork/warc-{uuid.uuid4().hex}"
-    return read_archives(write_archives(pages, folder), split, payload)
+    archives = write_archives(pages, folder)
+    drop_at_exit(pages.sparkSession, folder)
+    return read_archives(archives, split, payload)
