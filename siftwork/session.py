@@ -16,9 +16,14 @@ def session(name: str = "siftwork", **settings: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it is unset, a temporary folder of our own (tests)."""
+    """spark.checkpoint.dir of the session; where it is unset, a temporary folder of our own on a local master (tests).
+
+    On a cluster a folder of the driver's machine would lose data, so there an unset folder is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="siftwork-")
         spark.sparkContext.setCheckpointDir(folder)
         spark.conf.set("spark.checkpoint.dir", folder)
