@@ -48,7 +48,7 @@ MANY = 1 << 40
 #: Pages of a node; each band of sizes, whose documents share pages, is this much wider than the one before.
 NODE, BAND = 32, 1.05
 #: Bytes of the sets of a part of a component; shingles and sets that are compared at once.
-PART, WIDE, TALL = 8 << 20, 1 << 12, 1 << 9
+PART, WIDE, TALL = 4 << 20, 1 << 12, 1 << 9
 #: Parts of the key space that are shuffled one after another.
 SLICES = 2
 #: Keys that must speak for a pair to be verified before pages are made, but for sets of fewer than FEW shingles.

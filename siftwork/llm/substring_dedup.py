@@ -5,14 +5,16 @@ A passage repeats when a window of 50 consecutive words also starts in a documen
 1. Every window names one of its 16-word phrases, the one with the smallest hash, whatever surrounds the window. So two
    equal windows name the same phrase. Phrases that windows of at least two documents name are recurring: only around
    them can windows repeat. That takes one row per about 18 words, pre-aggregated to the first and last doc_id.
-2. Documents meet their recurring phrases. For each few megabytes of documents an automaton of their phrases (a shard of
-   all phrases: those that occur in these documents) is compiled over word numbers, and the documents are streamed
-   through it, which locates every occurrence and compares the words themselves.
+2. Recurring phrases are confirmed: the first document that has one gives its words. Documents are dealt to blocks of a
+   bounded size, and each block gets a shard of the phrases: those that its documents name. An automaton of the shard's
+   phrases is compiled, and all documents of the block are streamed through it, which locates every occurrence and
+   compares the words themselves. Only windows around located occurrences are looked at any further.
 3. Consecutive windows that name one phrase are a run. Equal runs are decided at once by a digest of their words; only
    where a phrase's runs differ (at the edges of passages, around edits) are digests of single windows compared.
 4. Documents meet the windows to remove, and every word that one covers goes.
 
-No step gathers a phrase's or a window's documents in one place: first documents are minima, joined back.
+No step gathers a phrase's or a window's documents in one place: first documents are minima, joined back, and rows of
+phrases that very many documents have are dealt to all tasks.
 """
 
 from __future__ import annotations
@@ -26,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mix, sliding_min, split_words, staged, utf8, windows_of
+from .common import WordHashes, discard, join_keys, mix, sliding_min, split_words, staged, utf8, windows_of
 
 WINDOW, PHRASE = 50, 16
-#: Bytes of documents for which one automaton is compiled.
-SHARD_BYTES = 2_000_000
+#: Bytes of the documents of a block, for which one automaton is compiled, and what a row counts for besides its text.
+BLOCK, ROW = 4 << 20, 64
 RUNS = "doc long, row long, phrase long, start int, n int, d1 long, d2 long, windows array<long>"
 A, B, C = 0x9E6C63D0876A9A47, 0xD1B54A32D192ED03, 0x2127599BF4325C37
 
@@ -50,7 +52,7 @@ def row_of() -> Column:
 
 
 def named_phrases(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """doc, row, phrase: the distinct phrases that the windows of each document name."""
+    """doc, block, phrase: the distinct phrases that the windows of each document name."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -61,33 +63,55 @@ def named_phrases(docs: DataFrame, window: int, phrase: int) -> DataFrame:
                 found.append(np.unique(Words(hashes.of(words), window, phrase).named) if len(words) >= window else np.empty(0, np.uint64))
             of = np.repeat(np.arange(batch.num_rows), [len(x) for x in found])
             flat = np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(of)), batch.column("row").take(pa.array(of)), pa.array(flat)], ["doc", "row", "phrase"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(of)), batch.column("block").take(pa.array(of)), pa.array(flat)], ["doc", "block", "phrase"])
 
-    return docs.mapInArrow(read, "doc long, row long, phrase long")
+    return docs.mapInArrow(read, "doc long, block long, phrase long")
 
 
-def locate(shard: list[tuple[list[bytes], np.ndarray, Words]], phrase: int) -> list[np.ndarray]:
-    """Where the phrases with the given hashes occur in each document (words, hashes of phrases, ...), by an automaton."""
+def spelled_out(docs: DataFrame, firsts: DataFrame, window: int, phrase: int) -> DataFrame:
+    """phrase, words: the words of recurring phrases, from the document (``firsts``: block, doc, phrases) that has them first."""
+
+    def read(block: pa.Table, firsts: pa.Table) -> pa.Table:
+        wanted = {d: x.values.to_numpy().view(np.uint64) for d, x in zip(firsts.column("doc").to_pylist(), firsts.column("phrases"), strict=True)}
+        hashes, keys, found = WordHashes(), [], []
+        for doc, data in zip(block.column("doc").to_pylist(), utf8(block.column("text")), strict=True):
+            some = wanted.get(doc)
+            if some is None:
+                continue
+            words = split_words(data)
+            of = mix(windows_of(hashes.of(words), phrase, A))
+            distinct, at = np.unique(of, return_index=True)
+            here = np.isin(distinct, some)
+            keys.append(distinct[here])
+            found += [b" ".join(words[i : i + phrase]) for i in at[here].tolist()]
+        flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
+        return pa.table({"phrase": pa.array(flat), "words": pa.array(found, pa.binary())})
+
+    # Rows of one doc_id with different texts may both spell a phrase; one of them stands for it.
+    return docs.groupBy("block").cogroup(firsts.groupBy("block")).applyInArrow(read, "phrase long, words binary").groupBy("phrase").agg(F.min("words").alias("words"))
+
+
+def locate(documents: list[list[bytes]], phrases: list[bytes], phrase: int) -> Iterator[np.ndarray]:
+    """Where any of the ``phrases`` occurs in each of the ``documents`` (lists of words), by an automaton."""
     numbers: dict[bytes, int] = {}
-    sequences = [tuple(numbers.setdefault(w, len(numbers)) for w in words) for words, _, _ in shard]
-    automaton, known = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE), set()
-    for sequence, (_, wanted, of) in zip(sequences, shard, strict=True):
-        for at in np.flatnonzero(np.isin(of.phrases, wanted)).tolist():
-            key = sequence[at : at + phrase]
-            if key not in known:
-                known.add(key)
-                automaton.add_word(key, len(known))
-    if not known:
-        return [np.empty(0, np.int64) for _ in shard]
-    automaton.make_automaton()
-    return [np.array([end - phrase + 1 for end, _ in automaton.iter(sequence)], np.int64) for sequence in sequences]
-
-
-def runs_of(of: Words, hits: np.ndarray, window: int) -> list[tuple]:
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    for at, key in enumerate(phrases):
+        automaton.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in key.split()), at)
+    if phrases:
+        automaton.make_automaton()
+    for words in documents:
+        ends = [end for end, _ in automaton.iter(tuple(numbers.get(w, 0) for w in words))] if phrases and len(words) >= phrase else []
+        yield np.array(ends, np.int64) - phrase + 1
+
+
+def runs_of(of: Words, hits: np.ndarray, window: int, phrase: int) -> list[tuple]:
     """(phrase, start, windows, two digests of the run's words, digests of its windows) around the occurrences ``hits``."""
     if not len(hits) or not len(of.named):
         return []
-    valid = np.isin(of.named, of.phrases[hits])
+    # A window stands when the phrase that it names has been located in it.
+    located = np.full(len(of.phrases), np.iinfo(np.uint64).max)
+    located[hits] = of.phrases[hits]
+    valid = sliding_min(located, window - phrase + 1) == of.named
     change = np.flatnonzero((of.named[1:] != of.named[:-1]) | (valid[1:] != valid[:-1])) + 1
     starts = np.concatenate([[0], change])
     ends = np.concatenate([change, [len(of.named)]])
@@ -103,51 +127,62 @@ def runs_of(of: Words, hits: np.ndarray, window: int) -> list[tuple]:
     return out
 
 
-def runs(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """The runs of ``docs`` (doc, row, text, phrases: the recurring ones) around their recurring phrases."""
+def runs(docs: DataFrame, shards: DataFrame, window: int, phrase: int) -> DataFrame:
+    """The runs of ``docs`` (doc, row, text, block) around the phrases of their block's shard (``shards``: block, words)."""
 
-    def flush(shard: list, ids: list) -> pa.RecordBatch:
-        rows = [(*key, *run) for key, hits, (_, _, of) in zip(ids, locate(shard, phrase), shard, strict=True) for run in runs_of(of, hits, window)]
+    def read(block: pa.Table, shard: pa.Table) -> pa.Table:
+        hashes, rows = WordHashes(), []
+        documents = [split_words(x) for x in utf8(block.column("text"))]
+        ids = zip(block.column("doc").to_pylist(), block.column("row").to_pylist(), strict=True)
+        for key, words, hits in zip(ids, documents, locate(documents, shard.column("words").to_pylist(), phrase), strict=True):
+            if len(hits):
+                rows += [(*key, *run) for run in runs_of(Words(hashes.of(words), window, phrase), hits, window, phrase)]
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 8
         signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
         ends = np.concatenate([[0], np.cumsum([len(x) for x in columns[7]])]).astype(np.int32)
         flat = np.concatenate(columns[7]).view(np.int64) if rows else np.empty(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), signed(columns[2]), pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.int32()), signed(columns[5]), signed(columns[6]), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc", "row", "phrase", "start", "n", "d1", "d2", "windows"])
+        return pa.Table.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), signed(columns[2]), pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.int32()), signed(columns[5]), signed(columns[6]), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc", "row", "phrase", "start", "n", "d1", "d2", "windows"])
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        shard, ids, size = [], [], 0
-        for batch in batches:
-            for doc, row, data, wanted in zip(batch.column("doc").to_pylist(), batch.column("row").to_pylist(), utf8(batch.column("text")), batch.column("phrases"), strict=True):
-                words = split_words(data)
-                shard.append((words, wanted.values.to_numpy().view(np.uint64), Words(hashes.of(words), window, phrase)))
-                ids.append((doc, row))
-                size += len(data)
-                if size > SHARD_BYTES:
-                    yield flush(shard, ids)
-                    shard, ids, size = [], [], 0
-        if shard:
-            yield flush(shard, ids)
+    return docs.groupBy("block").cogroup(shards.groupBy("block")).applyInArrow(read, RUNS)
 
-    return docs.select("doc", "row", "text", "phrases").mapInArrow(read, RUNS)
+
+def recurring(docs: DataFrame, blocks: int, window: int, phrase: int) -> tuple[DataFrame, DataFrame]:
+    """(block, words) of the phrases that documents of each block name and at least two documents have; and phrase, words of all."""
+    found = staged(named_phrases(docs, window, phrase), "phrases")
+    shared = staged(found.groupBy("phrase").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("copies")).where("first <> last").select("phrase", "first", "copies"), "shared")
+    firsts = shared.groupBy(F.col("first").alias("doc")).agg(F.collect_list("phrase").alias("phrases"))
+    spelled = staged(spelled_out(docs, firsts.withColumn("block", block_of("doc", blocks)), window, phrase), "spelled")
+    passages = spelled.join(shared.select("phrase", "copies"), "phrase")
+    met = join_keys(found, passages, ["phrase"], "copies", found.count(), F.xxhash64("doc"))
+    shards = staged(met.select("block", "words").distinct(), "shards")
+    discard(found)
+    return shards, spelled
+
+
+def block_of(doc: str, blocks: int) -> Column:
+    """The block of a document; rows of one doc_id stand in one."""
+    return F.pmod(F.xxhash64(doc), F.lit(blocks))
 
 
 def repeated_windows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     """doc, row, starts, counts: the windows of each document (from start on, so many) that start in an earlier document too."""
-    found = staged(named_phrases(docs, window, phrase), "phrases")
-    shared = found.groupBy("phrase").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("phrase")
-    wanted = found.join(shared, "phrase").groupBy("doc", "row").agg(F.collect_list("phrase").alias("phrases"))
-    run = staged(runs(docs.join(wanted, ["doc", "row"]), window, phrase), "runs")
+    size = docs.agg(F.sum(F.octet_length("text") + ROW)).first()[0] or 0
+    blocks = size // BLOCK + 1
+    docs = docs.withColumn("block", block_of("doc", blocks))
+    shards, spelled = recurring(docs, blocks, window, phrase)
+    run = staged(runs(docs, shards, window, phrase), "runs")
+    discard(shards, spelled)
     key = ["phrase", "d1", "d2", "n"]
-    firsts = staged(run.groupBy(*key).agg(F.min("doc").alias("first")), "run-firsts")
-    placed = run.join(firsts, key)
+    firsts = staged(run.groupBy(*key).agg(F.min("doc").alias("first"), F.count("*").alias("copies")), "run-firsts")
+    placed = join_keys(run, firsts, key, "copies", run.count(), F.xxhash64("doc"))
     whole = placed.where("doc > first").select("doc", "row", "start", "n")
     # A phrase whose runs are all equal is settled; of others, each distinct run's first document has its windows compared.
     open_phrases = firsts.groupBy("phrase").agg(F.count("*").alias("kinds")).where("kinds > 1").select("phrase")
     single = placed.where("doc = first").join(open_phrases, "phrase").select("doc", "row", "phrase", "start", F.posexplode("windows").alias("at", "digest"))
     single = staged(single.select("doc", "row", "phrase", (F.col("start") + F.col("at")).alias("start"), "digest"), "windows")
-    earliest = single.groupBy("phrase", "digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last").select("phrase", "digest", "first")
-    parts = single.join(earliest, ["phrase", "digest"]).where("doc > first").select("doc", "row", "start", F.lit(1).alias("n"))
+    earliest = single.groupBy("phrase", "digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("copies")).where("first <> last").select("phrase", "digest", "first", "copies")
+    parts = join_keys(single, staged(earliest, "earliest"), ["phrase", "digest"], "copies", single.count(), F.xxhash64("doc"))
+    parts = parts.where("doc > first").select("doc", "row", "start", F.lit(1).alias("n"))
     return whole.union(parts).groupBy("doc", "row").agg(F.collect_list(F.struct("start", "n")).alias("removed"))
 
 
