@@ -1,5 +1,6 @@
 """Operators against plain statements of their contracts, exact round trips, and held-out accuracy."""
 
+import bisect
 import hashlib
 import math
 import random
@@ -168,30 +169,61 @@ def test_packing(documents, texts):
             assert r.offset == at
             at += r.length
         assert at <= 2048
-    assert len(sequences) <= -(-total // 2048) * 1.01 + 1
+    lengths = [r.length for rows in pieces.values() for r in rows]
+    assert len(sequences) <= best_fit_decreasing(lengths, 2048) * 1.005 + 1
 
 
-def test_plan_places_every_piece_once():
-    rng = random.Random(1)
+def best_fit_decreasing(lengths, most):
+    gaps, opened = [], 0
+    for n in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(gaps, n)
+        gap = gaps.pop(at) if at < len(gaps) else most
+        opened += gap == most
+        if gap > n:
+            bisect.insort(gaps, gap - n)
+    return opened
+
+
+def test_brackets():
+    """Each gap, from the smallest, takes the largest piece that is still free and fits."""
+    rng = random.Random(2)
     for _ in range(300):
-        most = rng.choice([5, 16, 33])
-        counts = np.zeros(most + 1, np.int64)
-        for _ in range(rng.randint(0, 12)):
-            counts[rng.randint(1, most)] += rng.randint(1, 9)
-        runs, opened = packing.plan(counts, most)
-        used = {}
-        for n, of in runs.items():
-            for rank in range(counts[n]):
-                run = of[np.searchsorted(of[:, 0], rank, "right") - 1]
-                i = rank - run[0]
-                used.setdefault(run[2] + i // run[1], []).append((run[3] + i % run[1] * n, n))
-        assert len(used) == opened
-        for places in used.values():
-            end = 0
-            for offset, n in sorted(places):
-                assert offset == end
-                end += n
-            assert end <= most
+        rows = sorted((rng.randint(1, 9), rng.randint(0, 1)) for _ in range(rng.randint(0, 14)))
+        stack, expected = [], set()
+        for at, (_, kind) in enumerate(rows):
+            if kind == packing.PIECE:
+                stack.append(at)
+            elif stack:
+                expected.add((stack.pop(), at))
+        pieces, gaps = packing.brackets(np.array([k for _, k in rows], np.int64))
+        assert set(zip(pieces.tolist(), gaps.tolist(), strict=True)) == expected
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 7])
+def test_sweeps_of_ranges_equal_one_sweep(spark, ranges):
+    rng = random.Random(ranges)
+    rows = [(rng.randint(0, 1), i, rng.randint(1, 40), i) for i in range(300)]
+    found = packing.swept(spark.createDataFrame(rows, "kind int, id long, n long, seq long"), ranges).cache()
+    counts = {(r.part, r.kind): r["count"] for r in found.where("kind <> 2").groupBy("part", "kind").count().collect()}
+    gaps, pieces = packing.resolve(counts)
+    got = {(r.id, r.seq) for r in found.where("kind = 2").collect()}
+    taken = {r.match: r.seq for r in packing.numbered(found.where("kind = 1"), gaps).collect() if r.match is not None}
+    got |= {(r.id, taken[r.match]) for r in packing.numbered(found.where("kind = 0"), pieces).collect() if r.match is not None}
+    rows = sorted(rows, key=lambda r: (r[2], r[0], r[1]))
+    a, b = packing.brackets(np.array([r[0] for r in rows]))
+    assert got == {(rows[i][1], rows[j][3]) for i, j in zip(a.tolist(), b.tolist(), strict=True)}
+
+
+def test_best_fit_of_many_lengths(spark):
+    rng, most = random.Random(4), 64
+    for lengths in ([rng.randint(1, 64) for _ in range(2000)], [rng.choice([1, 2, 33]) for _ in range(1500)], [1] * 500, [64] * 7, [40] * 20):
+        table = spark.createDataFrame(list(enumerate(lengths)), "id long, n long")
+        rows = packing.best_fit(table, most).collect()
+        sums = Counter()
+        for r in rows:
+            sums[r.seq] += lengths[r.id]
+        assert sorted(r.id for r in rows) == list(range(len(lengths))) and max(sums.values()) <= most
+        assert len(sums) <= best_fit_decreasing(lengths, most) * 1.02 + 1
 
 
 def test_fingerprints(documents, texts):
