@@ -1,16 +1,19 @@
 """Toxicity by two class-conditional Kneser-Ney models of expressions that share their backoff counts.
 
 An expression is a run of bytes inside a word: a byte and up to five before it, not past the word's start. Each class
-has its own counts of expressions. What they leave (the discounts) is spread by one distribution for both classes:
-continuation counts of the expressions without their first byte, and below them of single bytes. Where a class has not
-seen an expression both therefore fall back to the same probability, and rare expressions say little.
+has its own counts of expressions. What they leave (the discounts) is spread by one distribution for both classes, a
+chain of continuation counts: in how many expressions of either class one that is shorter by its first byte ends, and so
+on order by order down to single bytes and a uniform base. Where a class has not seen an expression both therefore fall
+back to the same probability, and rare expressions say little. A shared factor of both likelihoods cancels when they are
+compared, so an expression that neither class has seen is compared by the two back-off weights alone.
 
-A word's evidence is the difference of its log-likelihoods. A document's evidence is that difference over all its words
-normalised by their number, and over its strongest words, so that a long text does not hide them. A logistic curve fitted on labelled rows that are kept out
-of the counts turns it into a score.
+A document's toxic and ordinary log-likelihoods are compared for all its words, normalised by their bytes, and for the
+words that speak most for the toxic model, normalised by their number, so that a long text does not hide them; as the
+strongest of more words are stronger by chance, the logarithm of the number of words counts against them. A logistic
+curve fitted on labelled rows that are kept out of the counts turns the two comparisons into a score.
 
 Counts and differences of all expressions and contexts stay distributed tables. Documents are dealt to blocks of a
-bounded size; the distinct expressions of each block are joined with the differences, and each block's documents are
+bounded size; the distinct expressions of each block are joined with the contexts, and each block's documents are
 scored with what came back for it.
 """
 
@@ -31,8 +34,12 @@ ORDER = 6
 DISCOUNT = 0.75
 #: Bytes of the documents that are scored together, and what a row counts for besides its text.
 BLOCK, ROW = 32 << 20, 64
-#: Words that stand for a document's strongest; features of a document.
-STRONGEST, FEATURES = 3, 5
+#: Words that stand for a document's strongest; numbers that the curve weighs.
+STRONGEST, FEATURES = 3, 3
+#: Bytes that the lowest order of the chain holds equally likely: all, and a word's end.
+BASE = 257
+#: The curve where calibration rows have one class only.
+PLAIN = (-7.4, 2.7, -1.3, -5.9)
 #: Most labelled rows on which the logistic curve is fitted, the first by a hash of the id.
 CALIBRATION = 5000
 TOXIC_FROM = 0.3
@@ -70,7 +77,7 @@ class Evidence:
         return np.bincount(word, self.llr[at], len(words))
 
     def features(self, texts: list[bytes | None], cache: dict[bytes, float]) -> np.ndarray:
-        """Per text: evidence by its length, positive evidence by the root of it, mean evidence of the strongest word and words, log length."""
+        """Per text: the difference of log-likelihoods by its bytes, that of its strongest words by their number, and log words."""
         docs = [split_words(t.lower()) if t else [] for t in texts]
         new = list({w for d in docs for w in d if w not in cache})
         for at in range(0, len(new), 20_000):
@@ -81,7 +88,7 @@ class Evidence:
             if d:
                 x = np.fromiter(map(cache.__getitem__, d), np.float64, len(d))
                 best = np.sort(np.partition(x, -STRONGEST)[-STRONGEST:] if len(x) > STRONGEST else x)
-                out[i] = x.mean(), np.maximum(x - 1, 0).sum() / np.sqrt(len(x)), best[-1], best.sum() / STRONGEST, np.log1p(len(x))
+                out[i] = x.sum() / sum(len(w) + 1 for w in d), best.sum() / STRONGEST, np.log1p(len(x))
         return out
 
 
@@ -114,22 +121,30 @@ def count_expressions(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "gram long, n1 long, n0 long").groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(gram, n, llr) and (context, n, llr): log-probability in class 1 less that in class 0."""
+def shared_chain(grams: DataFrame) -> DataFrame:
+    """gram, p: the probability of the last byte of expressions without their first byte, from continuation counts of all orders."""
+    d, levels, current = DISCOUNT, [], grams.select("gram")
+    for order in range(ORDER - 1, 0, -1):
+        inner = F.col("gram").bitwiseAND((1 << (8 * order)) - 1)
+        current = staged(current.groupBy(inner.alias("gram")).agg(F.count("*").alias("ends")), "continuations")
+        levels.append(current)
+    below = None
+    for order, level in zip(range(1, ORDER), reversed(levels), strict=True):
+        level = level.withColumns({"context": F.shiftright("gram", 8), "lower": F.col("gram").bitwiseAND((1 << (8 * (order - 1))) - 1)})
+        contexts = level.groupBy("context").agg(F.sum("ends").alias("all_ends"), F.count("*").alias("kinds"))
+        joined = level.join(contexts, "context")
+        joined = joined.withColumn("q", F.lit(1 / BASE)) if below is None else joined.join(below.select(F.col("gram").alias("lower"), F.col("p").alias("q")), "lower")
+        below = staged(joined.select("gram", ((F.col("ends") - d) / F.col("all_ends") + d * F.col("kinds") / F.col("all_ends") * F.col("q")).alias("p")), "chain")
+    discard(*levels)
+    return below
+
+
+def ratios(grams: DataFrame) -> DataFrame:
+    """context, unseen, seen: log-probability in class 1 less that in class 0, of bytes that neither class has seen behind the context and of those seen."""
     d = DISCOUNT
-    context = F.shiftright("gram", 8)
-    byte = F.col("gram").bitwiseAND(255)
-    inner = F.col("gram").bitwiseAND((1 << (8 * (ORDER - 1))) - 1)  # without the first byte
-    g = grams.select("gram", "n1", "n0", context.alias("context"), byte.alias("byte"), inner.alias("inner"), F.shiftright(inner, 8).alias("middle"))
+    g = grams.select("gram", "n1", "n0", F.shiftright("gram", 8).alias("context"), F.col("gram").bitwiseAND((1 << (8 * (ORDER - 1))) - 1).alias("inner"))
     contexts = staged(g.groupBy("context").agg(*(f(c).alias(f"{a}_{c}") for c in ("n1", "n0") for a, f in (("sum", F.sum), ("kinds", lambda c: F.count_if(F.col(c) > 0))))), "contexts")
-    # Shared continuation counts: in how many expressions of either class an inner one ends.
-    inners = g.groupBy("inner", "middle", "byte").agg(F.count("*").alias("ends"))
-    middles = inners.groupBy("middle").agg(F.sum("ends").alias("all_ends"), F.count("*").alias("kinds"))
-    singles = inners.groupBy("byte").agg(F.count("*").alias("follows"))
-    total = inners.agg(F.count("*").alias("all_follows"))
-    shared = inners.join(middles, "middle").join(F.broadcast(singles), "byte").join(F.broadcast(total))  # at most 256 rows, and one
-    p = (F.col("ends") - d) / F.col("all_ends") + d * F.col("kinds") / F.col("all_ends") * F.col("follows") / F.col("all_follows")
-    shared = shared.select("inner", p.alias("p"))
+    chain = shared_chain(grams)
 
     def gamma(c: str) -> Column:
         return F.when(F.col(f"sum_{c}") > 0, d * F.col(f"kinds_{c}") / F.col(f"sum_{c}")).otherwise(F.lit(1.0))
@@ -138,35 +153,37 @@ def ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
         own = F.when(F.col(f"sum_{c}") > 0, F.greatest(F.col(c) - d, F.lit(0.0)) / F.col(f"sum_{c}")).otherwise(F.lit(0.0))
         return own + gamma(c) * F.col("p")
 
-    joined = g.join(contexts, "context").join(shared, "inner")
-    seen = joined.select("gram", (F.col("n1") + F.col("n0")).alias("n"), F.log(probability("n1") / probability("n0")).alias("llr"))
-    unseen = contexts.select("context", (F.col("sum_n1") + F.col("sum_n0")).alias("n"), F.log(gamma("n1") / gamma("n0")).alias("llr"))
-    return seen, unseen
+    llr = F.log(probability("n1") / probability("n0")).cast("float")
+    seen = g.join(contexts, "context").join(chain.withColumnRenamed("gram", "inner"), "inner").select("context", F.struct(F.col("gram").bitwiseAND(255).cast("int").alias("byte"), llr.alias("llr")).alias("e"), F.log(gamma("n1") / gamma("n0")).cast("float").alias("unseen"))
+    out = staged(seen.groupBy("context").agg(F.first("unseen").alias("unseen"), F.map_from_entries(F.collect_list("e")).alias("seen")), "ratios")  # at most 256 bytes
+    discard(contexts, chain)
+    return out
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[tuple[DataFrame, DataFrame], np.ndarray] | None:
-    """The tables of ``ratios`` and the weights of the logistic curve; None without both classes.
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, np.ndarray] | None:
+    """The table of ``ratios`` and the weights of the logistic curve; None without both classes.
 
     Learns from the rows of ``labels`` (doc_id, toxic) that ``held_out`` does not name.
     """
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("y")).where("y in (0, 1)")
     texts = docs.where(~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    curve = F.floor(F.crc32(F.col("doc_id").cast("string")) / 4) % 8 == 0  # an eighth is kept out of the counts
-    grams = staged(count_expressions(texts.where(~curve).join(known.where(~curve).hint("merge"), "doc_id").select("text", "y")), "expressions")
+    curve = F.floor(F.crc32(F.col("doc_id").cast("string")) / 4) % 8 == 0  # an eighth, and of that a bounded number, is kept out of the counts
+    chosen = staged(known.where(curve).join(texts.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION), "chosen")
+    counted = known.join(F.broadcast(chosen), "doc_id", "left_anti")  # bounded
+    grams = staged(count_expressions(texts.join(counted.hint("merge"), "doc_id").select("text", "y")), "expressions")
     sums = grams.agg(F.sum("n1"), F.sum("n0")).first()
     if not sums[0] or not sums[1]:
         return None
-    seen, unseen = (staged(t, "ratios") for t in ratios(grams))
+    model = ratios(grams)
     discard(grams)
-    chosen = F.broadcast(known.where(curve).join(texts.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION))  # bounded
-    rows = _featurised(staged(texts.join(chosen, "doc_id").select("doc_id", "text", "y"), "curve"), (seen, unseen), np.zeros(FEATURES + 1), "y int").toPandas()
+    rows = staged(texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")), "curve")
+    rows = _featurised(rows, model, np.zeros(FEATURES + 1), "y int").toPandas()
     if rows["y"].nunique() < 2:
-        return (seen, unseen), np.array([0.0, 0.0, 0.0, 1.0, 0.0, -4.0])
-    return (seen, unseen), logistic(np.frombuffer(b"".join(rows["features"]), np.float64).reshape(-1, FEATURES), rows["y"].to_numpy())
+        return model, np.array(PLAIN)
+    return model, logistic(np.frombuffer(b"".join(rows["features"]), np.float64).reshape(-1, FEATURES), rows["y"].to_numpy())
 
 
-def _featurised(rows: DataFrame, model: tuple[DataFrame, DataFrame], curve: np.ndarray, extra: str) -> DataFrame:
-    seen, unseen = model
+def _featurised(rows: DataFrame, model: DataFrame, curve: np.ndarray, extra: str) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text") + ROW)).first()[0] or 0
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // BLOCK + 1))).groupBy("block")
     name = extra.split()[0]
@@ -180,9 +197,9 @@ def _featurised(rows: DataFrame, model: tuple[DataFrame, DataFrame], curve: np.n
 
     # Written between, so that the texts of one shuffle only are on disk at a time.
     grams = staged(dealt.applyInArrow(distinct, "block long, gram long"), "block-expressions")
-    known = grams.join(seen.select("gram", "llr").hint("merge"), "gram", "left").withColumn("context", F.shiftright("gram", 8))
-    known = known.join(unseen.select("context", F.col("llr").alias("backed_off")).hint("merge"), "context", "left")
-    evidence = staged(known.select("block", "gram", F.coalesce("llr", "backed_off", F.lit(0.0)).cast("float").alias("llr")), "evidence")
+    known = grams.withColumn("context", F.shiftright("gram", 8)).join(model.hint("merge"), "context", "left")
+    llr = F.coalesce(F.col("seen")[F.col("gram").bitwiseAND(255).cast("int")], "unseen", F.lit(0.0).cast("float"))
+    evidence = staged(known.select("block", "gram", llr.alias("llr")), "evidence")
     discard(grams)
 
     def read(block: pa.Table, evidence: pa.Table) -> pa.Table:
@@ -191,13 +208,13 @@ def _featurised(rows: DataFrame, model: tuple[DataFrame, DataFrame], curve: np.n
         for at in range(0, len(texts), 256):
             found.append(of.features(texts[at : at + 256], cache))
         f = np.concatenate(found)
-        return pa.table({"doc_id": block.column("doc_id"), "by_length": f[:, 0].copy(), "strongest": f[:, 3].copy(), "features": pa.array([x.tobytes() for x in f], pa.binary()), "score": sigmoid(f @ curve[:-1] + curve[-1]), name: block.column(name)})
+        return pa.table({"doc_id": block.column("doc_id"), "by_length": f[:, 0].copy(), "strongest": f[:, 1].copy(), "features": pa.array([x.tobytes() for x in f], pa.binary()), "score": sigmoid(f @ curve[:-1] + curve[-1]), name: block.column(name)})
 
     return dealt.cogroup(evidence.groupBy("block")).applyInArrow(read, f"doc_id long, by_length double, strongest double, features binary, score double, {extra}")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, held_out, score, predicted, by_length, strongest (the normalised differences).
+    """Per row of ``docs``: doc_id, held_out, score, predicted, by_length, strongest (the two normalised differences).
 
     Only the text is an input of a score. Rows that ``held_out`` names are never learnt from.
 

@@ -1,6 +1,7 @@
 """Operators against plain statements of their contracts, exact round trips, and held-out accuracy."""
 
 import bisect
+import functools
 import hashlib
 import math
 import random
@@ -341,35 +342,45 @@ def expression_evidence(rows):
         for e, n in counts[y].items():
             sums[y][e[:-1]] += n
             kinds[y][e[:-1]] += 1
-    ends = Counter(e[1:] if len(e) == 6 else e for e in counts[0].keys() | counts[1].keys())
-    all_ends, inner_kinds, follows = Counter(), Counter(), Counter()
-    for e, n in ends.items():
-        all_ends[e[:-1]] += n
-        inner_kinds[e[:-1]] += 1
-        follows[e[-1]] += 1
+    types = {e.rjust(6, "^") for e in counts[0].keys() | counts[1].keys()}
+    ends = []  # by order: in how many expressions of the next order each ends
+    for order in range(5, 0, -1):
+        ends.insert(0, Counter(e[-order:] for e in types))
+        types = set(ends[0])
+
+    def shared(e):
+        """Continuation probability of the last byte of ``e`` (at most five bytes)."""
+        if not e:
+            return 1 / 257
+        level, context = ends[len(e) - 1], e[:-1]
+        same = [n for x, n in level.items() if x[:-1] == context]
+        return (level[e] - 0.75) / sum(same) + 0.75 * len(same) / sum(same) * chained(e[1:])
+
+    chained = functools.cache(shared)
 
     def llr(e):
-        context, inner = e[:-1], e[1:] if len(e) == 6 else e
+        context = e[:-1]
         gamma = [0.75 * kinds[y][context] / sums[y][context] if sums[y][context] else 1.0 for y in (0, 1)]
         if not (counts[0][e] or counts[1][e]):
             return math.log(gamma[1] / gamma[0])
-        p = (ends[inner] - 0.75) / all_ends[inner[:-1]] + 0.75 * inner_kinds[inner[:-1]] / all_ends[inner[:-1]] * follows[inner[-1]] / len(ends)
+        p = chained(e.rjust(6, "^")[1:])
         own = [max(counts[y][e] - 0.75, 0) / sums[y][context] if sums[y][context] else 0.0 for y in (0, 1)]
         return math.log((own[1] + gamma[1] * p) / (own[0] + gamma[0] * p))
 
+    llr = functools.cache(llr)
     return lambda word: sum(map(llr, of(word)))
 
 
 def test_toxicity_uses_every_expression(spark):
     rng = random.Random(11)
-    texts = {i: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(5, 9))) for _ in range(80)) for i in range(400)}
+    texts = {i: " ".join("".join(rng.choices("abcdefghi", k=rng.randint(5, 9))) for _ in range(30)) for i in range(120)}
     hashes = {i: zlib.crc32(str(i).encode()) for i in texts}
     evidence = expression_evidence([(t, int(i % 3 == 0)) for i, t in texts.items() if hashes[i] % 4 != 2 and hashes[i] // 4 % 8])
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r.doc_id: r.by_length for r in toxicity.score_toxicity(docs, docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))).collect()}
     assert got.keys() == texts.keys()
     for i, t in texts.items():
-        assert abs(got[i] - sum(map(evidence, t.split())) / 80) < 1e-4, i
+        assert abs(got[i] - sum(map(evidence, t.split())) / (len(t) + 1)) < 1e-4, i
 
 
 def test_jaccard_counts_all_links(spark):
