@@ -1,31 +1,32 @@
 """Quality classification by co-training of two views: what a text says and how its page is made up.
 
 The content view sees frequencies of neighbouring character classes, repeated words and word lengths of the whole text.
-The metadata view sees language, source, size and line layout. Each view is a logistic regression; in each round both
-label the rows of an unlabelled pool of which they are confident, for the other view to learn from. The views are
-then calibrated on labelled rows kept apart, and combined.
+The metadata view sees language, source, size and line layout. Each view is a logistic regression on features that are
+standardised by the moments of all documents. In each round both views score all unlabelled documents, and what one is
+confident of becomes pseudo-labels for the other. The views are then calibrated on labelled rows kept apart, and combined.
 
-Only a sample of bounded, documented size reaches the driver for fitting; every document is featurised and scored on
-the executors from its whole text.
+Moments, scores and numbers of confident documents cover all documents and are computed on the executors. The driver
+fits on samples of bounded, documented size: of labelled rows, and of the pseudo-labelled ones of a round.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import split_words, utf8
+from .common import discard, split_words, staged, utf8
 
-#: Most labelled rows and most unlabelled rows that are sampled for fitting.
-LABELLED, POOL = 4000, 4000
-ROUNDS = 4
-#: Share of the pool that a view labels for the other in a round, and how sure it must be.
-SHARE, SURE = 0.1, 0.9
+#: Most labelled rows, and about how many pseudo-labelled rows a view gets in a round, that are fitted on.
+LABELLED, PSEUDO = 4000, 2000
+ROUNDS = 3
+#: How sure a view must be of a document that it labels for the other.
+SURE = 0.9
 #: Documents with a lower score are rejected.
 KEEP_FROM = 0.5
 
@@ -71,9 +72,9 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 class View:
     """A ridge logistic regression on standardised features."""
 
-    def __init__(self, x: np.ndarray, ridge: float = 1e-3):
-        self.mean, self.scale, self.ridge = x.mean(axis=0), 1 / np.maximum(x.std(axis=0), 1e-2), ridge
-        self.w, self.b = np.zeros(x.shape[1], np.float32), 0.0
+    def __init__(self, mean: np.ndarray, deviation: np.ndarray, ridge: float = 1e-3):
+        self.mean, self.scale, self.ridge = mean.astype(np.float32), (1 / np.maximum(deviation, 1e-2)).astype(np.float32), ridge
+        self.w, self.b = np.zeros(len(mean), np.float32), 0.0
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) * self.scale, -5, 5) @ self.w + self.b
@@ -114,30 +115,27 @@ class CoTrained:
         return sigmoid(self.combine[0] * z[0] + self.combine[1] * z[1] + self.combine[2]), sigmoid(z[0]), sigmoid(z[1])
 
 
-def co_train(xs: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray]) -> CoTrained:
-    """Fits on three quarters of the labelled rows (views ``xs``, labels ``y``) and the pool; calibrates on the rest."""
+def co_train(views: list[View], xs: list[np.ndarray], y: np.ndarray, pseudo: Callable[[list[View], list[np.ndarray], float], list[tuple[np.ndarray, np.ndarray]]]) -> CoTrained:
+    """Fits ``views`` on three quarters of the labelled rows (features ``xs``, labels ``y``) and on what ``pseudo`` gives; calibrates on the rest.
+
+    ``pseudo`` takes the views, their calibration and the share of label 1, and returns for each view rows and the labels that the other gives them.
+    """
     apart = np.arange(len(y)) % 4 == 3
     if len(set(y[apart])) < 2:
         apart[:] = False
-    views = [View(np.concatenate([x, p])) for x, p in zip(xs, pool, strict=True)]
     held = np.flatnonzero(apart) if apart.any() else np.arange(len(y))
     learn = np.flatnonzero(~apart)
-    given = [np.full(len(pool[0]), -1), np.full(len(pool[0]), -1)]  # the labels that each view has got from the other
-    share = float(y.mean())
+
+    def calibrations() -> list[np.ndarray]:
+        return [logistic(view.logit(x[held])[:, None], y[held]) for view, x in zip(views, xs, strict=True)]
+
+    given = [(x[:0], y[:0]) for x in xs]
     for round_ in range(ROUNDS + 1):
-        for v, view in enumerate(views):
-            has = given[v] >= 0
-            view.fit(np.concatenate([xs[v][learn], pool[v][has]]), np.concatenate([y[learn], given[v][has]]).astype(np.float32))
-        if round_ == ROUNDS or not len(pool[0]):
-            break
-        for v, view in enumerate(views):
-            a, b = logistic(view.logit(xs[v][held])[:, None], y[held])
-            p = sigmoid(a * view.logit(pool[v]) + b)
-            for label, sure, part in ((1, p, share), (0, 1 - p, 1 - share)):
-                free = np.flatnonzero((given[1 - v] < 0) & (sure >= SURE))
-                most = max(1, int(SHARE * part * len(p)))
-                given[1 - v][free[np.argsort(-sure[free], kind="stable")[:most]]] = label
-    calibration = [logistic(view.logit(x[held])[:, None], y[held]) for view, x in zip(views, xs, strict=True)]
+        for view, x, (more, labels) in zip(views, xs, given, strict=True):
+            view.fit(np.concatenate([x[learn], more]), np.concatenate([y[learn], labels]).astype(np.float32))
+        if round_ < ROUNDS:
+            given = pseudo(views, calibrations(), float(y.mean()))
+    calibration = calibrations()
     z = np.column_stack([c[0] * v.logit(x[held]) + c[1] for v, c, x in zip(views, calibration, xs, strict=True)])
     return CoTrained(views, calibration, logistic(z, y[held]))
 
@@ -162,24 +160,94 @@ def _columns(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), *(F.col(c).cast("string").alias(c) if c in has else F.lit(None).cast("string").alias(c) for c in ("lang", "source")))
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> CoTrained | None:
-    """Fits on at most ``labelled`` rows of ``labels`` (doc_id, quality) and ``pool`` other documents, the first by a hash of the id.
+def matrix(column: pa.Array | list[bytes]) -> np.ndarray:
+    rows = column.to_pylist() if isinstance(column, pa.Array) else list(column)
+    return np.frombuffer(b"".join(rows), np.float16).astype(np.float32).reshape(len(rows), -1)
+
+
+VIEWS = ("content", "metadata")
+
+
+def moments(features: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Mean and deviation of each view's features over all rows; tasks' sums are added up in a few tasks."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(2 * (CONTENT + METADATA)), 0
+        for batch in batches:
+            x = np.concatenate([matrix(batch.column(c)) for c in VIEWS], axis=1).astype(np.float64)
+            total += np.concatenate([x.sum(axis=0), (x * x).sum(axis=0)])
+            n += len(x)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 32], pa.int32()), pa.array([n], pa.int64()), pa.array([total.tobytes()])], ["part", "n", "sums"])
+
+    def add(some: pa.Table) -> pa.Table:
+        return pa.table({"n": pa.array([sum(some.column("n").to_pylist())], pa.int64()), "sums": pa.array([sum(np.frombuffer(x) for x in some.column("sums").to_pylist()).tobytes()])})
+
+    rows = features.select(*VIEWS).mapInArrow(sums, "part int, n long, sums binary").groupBy("part").applyInArrow(add, "n long, sums binary").collect()  # at most 32
+    n = max(1, sum(r.n for r in rows))
+    mean, square = np.split(sum(np.frombuffer(r["sums"]) for r in rows) / n, 2)
+    deviation = np.sqrt(np.maximum(square - mean * mean, 0))
+    return [(mean[a:b], deviation[a:b]) for a, b in ((0, CONTENT), (CONTENT, CONTENT + METADATA))]
+
+
+def pseudo_labels(features: DataFrame, most: int) -> Callable:
+    """What ``co_train`` takes: pseudo-labels from all rows of ``features`` (doc_id, content, metadata), at random about ``most`` of a round for each view."""
+
+    def confident(batch: pa.RecordBatch, views: list[View], calibration: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(view that is sure, label, rows)."""
+        for v, (view, c) in enumerate(zip(views, calibration, strict=True)):
+            p = sigmoid(c[0] * view.logit(matrix(batch.column(VIEWS[v]))) + c[1])
+            yield v, 1, np.flatnonzero(p >= SURE)
+            yield v, 0, np.flatnonzero(1 - p >= SURE)
+
+    def of(views: list[View], calibration: list[np.ndarray], share: float) -> list[tuple[np.ndarray, np.ndarray]]:
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [(v, y, len(at)) for v, y, at in confident(batch, views, calibration)]
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in range(3)], ["view", "label", "n"])
+
+        counts = {(r.view, r.label): r.n for r in features.mapInArrow(count, "view long, label long, n long").groupBy("view", "label").agg(F.sum("n").alias("n")).collect()}  # at most 4
+        part = {k: most * (share if k[1] else 1 - share) / n for k, n in counts.items() if n}
+
+        def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                place, rows = batch.column("place").to_numpy(), []
+                for v, y, at in confident(batch, views, calibration):
+                    at = at[place[at] < part.get((v, y), 0)]
+                    other = batch.column(VIEWS[1 - v]).take(pa.array(at)).to_pylist()
+                    rows += [(v, y, p, x) for p, x in zip(place[at].tolist(), other, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.binary()))], ["view", "label", "place", "x"])
+
+        # A document's place is a uniform hash of its id, so about ``most`` rows come.
+        place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
+        rows = features.withColumn("place", place).mapInArrow(take, "view long, label long, place double, x binary").toPandas().sort_values(["label", "place"], kind="stable")
+        out = []
+        for v, width in ((1, CONTENT), (0, METADATA)):  # view v labels for the other
+            some = rows[rows["view"] == v]
+            out.append((matrix(list(some["x"])) if len(some) else np.empty((0, width), np.float32), some["label"].to_numpy()))
+        return out
+
+    return of
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pseudo: int = PSEUDO) -> CoTrained | None:
+    """Fits on at most ``labelled`` rows of ``labels`` (doc_id, quality), the first by a hash of the id, and on pseudo-labels of all other documents.
 
     Rows that ``held_out`` names are not looked at. None if the labels seen have fewer than two classes.
     """
-    by = F.xxhash64("doc_id")
     known = labels.where("quality is not null and doc_id is not null").where(~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("y"))
-    ids = docs.select(F.col("doc_id").cast("long")).where("doc_id is not null").where(~held_out())
-    chosen = known.join(ids.distinct(), "doc_id", "left_semi").orderBy(by, "doc_id").limit(labelled)
-    others = ids.distinct().join(known, "doc_id", "left_anti").orderBy(by, "doc_id").limit(pool).withColumn("y", F.lit(-1))
-    # At most labelled + pool ids: a bounded broadcast.
-    rows = _features(_columns(docs).join(F.broadcast(chosen.union(others)), "doc_id").select("doc_id", "y", "text", "lang", "source")).toPandas()
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id", key=lambda s: s.map(lambda i: zlib.crc32(b"%d" % i)), kind="stable")
-    y = rows["y"].to_numpy()
-    if len(set(y[y >= 0])) < 2:
-        return None
-    content, metadata = (np.frombuffer(b"".join(rows[c]), np.float16).astype(np.float32).reshape(len(rows), -1) for c in ("content", "metadata"))
-    return co_train([content[y >= 0], metadata[y >= 0]], y[y >= 0], [content[y < 0], metadata[y < 0]])
+    rows = _columns(docs).where("doc_id is not null").where(~held_out())
+    chosen = F.broadcast(known.join(rows.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled))  # bounded
+    features = staged(_features(rows.join(chosen, "doc_id", "left").select("doc_id", F.coalesce("y", F.lit(-1)).alias("y"), "text", "lang", "source")), "features")
+    # Of repeated rows of one id the first by its features is learnt from.
+    learnt = features.where("y >= 0").groupBy("doc_id", "y").agg(F.min(F.struct(*VIEWS)).alias("x")).select("doc_id", "y", "x.*").toPandas()
+    learnt = learnt.sort_values("doc_id", key=lambda s: s.map(lambda i: zlib.crc32(b"%d" % i)), kind="stable")
+    y = learnt["y"].to_numpy()
+    model = None
+    if len(set(y)) == 2:
+        views = [View(*m) for m in moments(features)]
+        model = co_train(views, [matrix(list(learnt[c])) for c in VIEWS], y, pseudo_labels(features.where("y < 0"), pseudo))
+    discard(features)
+    return model
 
 
 def score(docs: DataFrame, model: CoTrained | None) -> DataFrame:
@@ -213,7 +281,11 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, with all their columns."""
+    """The rows of ``docs`` that are not rejected, with all their columns.
+
+    Edge cases are those of ``classify``: null texts count as empty, missing languages and sources have no weight,
+    without labels of both classes all rows stay, an empty table stays empty, and columns of any names pass through.
+    """
     model = fit(docs, labels)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -317,6 +317,27 @@ def test_quality_of_held_out_rows(larger):
     assert (~rows.kept & (rows.quality == 1)).sum() <= 0.01 * len(rows) and (rows.kept & (rows.quality == 0)).sum() <= 0.02 * len(rows)
 
 
+def test_pseudo_labels_come_from_all_documents(documents, texts):
+    """A round by hand: every document of which a view is sure, with the other view's features."""
+    rows = quality._features(quality._columns(documents).withColumn("y", F.lit(-1))).cache()
+    held = {r.doc_id: [np.frombuffer(r[c], np.float16).astype(np.float32) for c in quality.VIEWS] for r in rows.collect()}
+    moments = quality.moments(rows)
+    for v, (mean, deviation) in enumerate(moments):
+        x = np.stack([h[v] for h in held.values()]).astype(np.float64)
+        assert np.allclose(mean, x.mean(axis=0), atol=1e-6) and np.allclose(deviation, x.std(axis=0), atol=1e-4)
+    rng, views = np.random.default_rng(8), [quality.View(*m) for m in moments]
+    for view in views:
+        view.w = rng.normal(0, 0.3, len(view.w)).astype(np.float32)
+    calibration = [np.array([1.1, 0.2]), np.array([0.9, -0.3])]
+    given = quality.pseudo_labels(rows, 1 << 40)(views, calibration, 0.5)
+    for to in (0, 1):
+        by, expected = 1 - to, []
+        for h in held.values():
+            p = 1 / (1 + np.exp(-(calibration[by][0] * views[by].logit(h[by][None, :])[0] + calibration[by][1])))
+            expected += [(label, h[to].tobytes()) for label, sure in ((1, p), (0, 1 - p)) if sure >= quality.SURE]
+        assert sorted(expected) == sorted((int(y), x.tobytes()) for x, y in zip(*given[to], strict=True)) and expected
+
+
 def test_labels_and_metadata_are_no_inputs_of_toxicity(spark):
     docs = spark.createDataFrame([(i, f"{'idiot' if i % 3 == 0 else 'kind'} word{i % 7} here", "en", "s") for i in range(200)], "doc_id long, text string, lang string, source string")
     labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
