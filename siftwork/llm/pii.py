@@ -6,13 +6,16 @@ result is in range again, and is written in the same form. The permutation depen
 values have equal pseudonyms in all documents and distinct values distinct ones. With the key it can be undone, but for
 the order of day and month in dates that allow both.
 
-Kinds: card numbers (Luhn), telephone numbers, IPv4 addresses, dates from 1900 to 2099, US social security numbers,
-IBANs (mod 97) and the local parts of e-mail addresses. Numbers that are not valid stay as they are.
+Kinds: card numbers (Luhn), telephone numbers (with a country code that exists, or in a form of ten digits), IPv4 addresses, dates from 1900 to 2099, US social security numbers,
+IBANs (mod 97) and the local parts of e-mail addresses. Numbers that are not valid stay as they are, and so do ten
+digits without any sign between them, which nothing tells from other numbers.
 """
 
 from __future__ import annotations
 
+import bisect
 import datetime
+import functools
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -76,12 +79,31 @@ def card(form: str, move: Callable[[int, int, str], int]) -> str | None:
     return refill(form, f"{body}{luhn_digit(body)}")
 
 
+# Calling codes of one and of two digits; all others have three.
+ONE_DIGIT = "1 7".split()
+TWO_DIGITS = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+
+
+def country_code(digits: str) -> str | None:
+    """The calling code that ``digits`` begin with."""
+    if digits[:1] in ONE_DIGIT:
+        return digits[:1]
+    return None if digits[:1] == "0" else digits[:2] if digits[:2] in TWO_DIGITS else digits[:3]
+
+
 def phone(form: str, move: Callable[[int, int, str], int]) -> str | None:
-    """The last ten digits (or all but a country code in front of fewer) are permuted."""
+    """The digits behind the country code are permuted, and a leading 0 or 1 stays; without a code it is that of ten-digit numbers, 1."""
     digits = re.sub("[^0-9]", "", form)
-    if not 10 <= len(digits) <= 15:
+    code = country_code(digits) if form[0] == "+" else ""
+    if code is None:
+        return None
+    own = digits[len(code) :]
+    if not 6 <= len(own) <= 15 - len(code) or len(own) != 10 and code in ("", "1"):
         return None
-    return refill(form, f"{digits[:-10]}{move(int(digits[-10:]), 10**10, 'phone'):010d}")
+    n = 10 ** (len(own) - 1)
+    least, span = (int(own[0]) * n, n) if own[0] in "01" else (2 * n, 8 * n)
+    moved = least + move(int(own) - least, span, f"phone{code or 1}")
+    return refill(form, f"{code}{moved:0{len(own)}d}")
 
 
 def ip(form: str, move: Callable[[int, int, str], int]) -> str | None:
@@ -92,22 +114,38 @@ def ip(form: str, move: Callable[[int, int, str], int]) -> str | None:
     return ".".join(map(str, x.to_bytes(4, "big")))
 
 
+@functools.cache
+def days_by_form() -> dict[tuple[bool, bool], list[int]]:
+    """The days from FIRST_DAY on, by whether their month and day have two digits without padding."""
+    out: dict[tuple[bool, bool], list[int]] = {(m, d): [] for m in (False, True) for d in (False, True)}
+    for i in range(DAYS):
+        day = datetime.date.fromordinal(FIRST_DAY + i)
+        out[day.month > 9, day.day > 9].append(i)
+    return out
+
+
 def date(form: str, move: Callable[[int, int, str], int]) -> str | None:
-    """Year first, or day and month (in this order if that is a date) and year. The day is permuted, whatever its form."""
+    """Year first, or day and month (in this order if that is a date) and year.
+
+    The day goes to another with as many digits in month and day, so it has the same form, padded or not, and the same
+    pseudonym in every form.
+    """
     gap = next(c for c in form if not c.isdigit())
     parts = form.split(gap)
     orders = ((0, 1, 2),) if len(parts[0]) == 4 else ((2, 1, 0), (2, 0, 1))
     for y, m, d in orders:
         try:
-            day = datetime.date(int(parts[y]), int(parts[m]), int(parts[d])).toordinal() - FIRST_DAY
+            old = datetime.date(int(parts[y]), int(parts[m]), int(parts[d]))
         except ValueError:
             continue
-        if not 0 <= day < DAYS:
+        if not 0 <= old.toordinal() - FIRST_DAY < DAYS:
             continue
-        new = datetime.date.fromordinal(FIRST_DAY + move(day, DAYS, "date"))
-        padded = all(len(parts[i]) == 2 for i in (m, d))
+        kind = old.month > 9, old.day > 9
+        alike = days_by_form()[kind]
+        new = datetime.date.fromordinal(FIRST_DAY + alike[move(bisect.bisect_left(alike, old.toordinal() - FIRST_DAY), len(alike), f"date{kind}")])
         out = [""] * 3
-        out[y], out[m], out[d] = f"{new.year:04d}", f"{new.month:02d}" if padded else str(new.month), f"{new.day:02d}" if padded else str(new.day)
+        for i, value in ((y, new.year), (m, new.month), (d, new.day)):
+            out[i] = f"{value:0{len(parts[i])}d}"
         return gap.join(out)
     return None
 
@@ -160,12 +198,12 @@ def email(form: str, move: Callable[[int, int, str], int]) -> str | None:
 FIND = (
     (("email",), "@", re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}")),
     (("iban",), None, re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?")),
-    (("phone",), "+", re.compile(r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}")),
+    (("phone",), "+", re.compile(r"\+(?:[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{1,3}[ .-]?[0-9](?:[ .-][0-9]{2}){4}|[0-9]{1,3}[ .-]?\(?[0-9]{1,5}\)?[ .-]?[0-9]{4,10}|[0-9]{8,15})(?![0-9])")),
     (("phone",), "(", re.compile(r"\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}")),
     (
         ("date", "ip", "date", "ssn", "phone", "card", "card", "card"),
         None,
-        re.compile(r"([0-9]{4}([-/.])[0-9]{1,2}\2[0-9]{1,2})|([0-9]{1,3}(?:\.[0-9]{1,3}){3})|([0-9]{1,2}([-/.])[0-9]{1,2}\5[0-9]{4})|([0-9]{3}-[0-9]{2}-[0-9]{4})|([0-9]{3}([-.])[0-9]{3}\8[0-9]{4})|([0-9]{4}([ -])[0-9]{4}\10[0-9]{4}\10[0-9]{4})|([0-9]{4}([ -])[0-9]{6}\12[0-9]{5})|([0-9]{13,19})"),
+        re.compile(r"([0-9]{4}([-/.])[0-9]{1,2}\2[0-9]{1,2})|([0-9]{1,3}(?:\.[0-9]{1,3}){3})|([0-9]{1,2}([-/.])[0-9]{1,2}\5[0-9]{4})|([0-9]{3}-[0-9]{2}-[0-9]{4})|((?:[0-9]{3}(?=[-.])|[2-9][0-9]{2}(?= ))([-. ])[0-9]{3}\8[0-9]{4})|([0-9]{4}([ -])[0-9]{4}\10[0-9]{4}\10[0-9]{4})|([0-9]{4}([ -])[0-9]{6}\12[0-9]{5})|([0-9]{13,19})"),
     ),
 )
 #: The group of the last pattern that each of its kinds is in.
@@ -174,6 +212,7 @@ RULES = {"card": card, "phone": phone, "ip": ip, "date": date, "ssn": ssn, "iban
 DIGIT = re.compile("[0-9]")
 DIGITS = re.compile("[0-9]+")
 TOKEN = re.compile(r"[A-Za-z0-9_]")
+CLOCK = re.compile(r"T[0-9]{2}:?[0-9]{2}")
 
 
 def alone(text: str, start: int, end: int) -> bool:
@@ -194,7 +233,8 @@ def pseudonymised(text: str, move: Callable[[int, int, str], int]) -> tuple[str,
         while m := pattern.search(text, at):
             at = m.end()
             kind = kinds[0] if len(kinds) == 1 else kinds[GROUPS.index(next(g for g in GROUPS if m[g] is not None))]
-            new = RULES[kind](m[0], move) if alone(text, m.start(), m.end()) else None
+            whole = alone(text, m.start(), len(text) if kind == "date" and CLOCK.match(text, m.end()) else m.end())
+            new = RULES[kind](m[0], move) if whole else None
             if new is None:
                 # Another value may begin behind the first number of this one.
                 number = DIGITS.search(text, m.start())

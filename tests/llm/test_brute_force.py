@@ -1,6 +1,7 @@
 """Operators against plain statements of their contracts, exact round trips, and held-out accuracy."""
 
 import bisect
+import datetime
 import functools
 import hashlib
 import math
@@ -143,6 +144,35 @@ def test_exact_dedup_whatever_the_history(documents, texts, part):
     assert got == expected
 
 
+def test_slots_decide_exact_copies(documents, texts):
+    """A slot that holds another winner gives another result; without an index every digest is its own group."""
+    rows = exact_dedup.digests(documents).cache()
+    distinct = exact_dedup.distinct_digests(rows, max(texts)).cache()
+    history = distinct.select("digest", F.col("doc_past").alias("doc"), F.col("row_past").alias("row"), F.col("n_past").alias("n"))
+    right = {bytes(r.digest): r.keep_doc for r in exact_dedup.decide(distinct, exact_dedup.build_index(history, 3), 3).collect()}
+    firsts = {}
+    for i, text in sorted(texts.items()):
+        firsts.setdefault(hashlib.sha256(re.sub(r"[\x20\x09-\x0D]+", " ", text).encode()).digest(), i)
+    assert right == firsts
+    wrong = exact_dedup.build_index(history.withColumn("doc", F.lit(-7).cast("long")), 3)
+    assert {r.keep_doc for r in exact_dedup.decide(distinct, wrong, 3).collect()} == {-7}
+    none = exact_dedup.decide(distinct, exact_dedup.build_index(history.where("false"), 3), 3)
+    assert {r.keep_doc for r in none.collect()} == {0}
+
+
+def test_automata_decide_repeated_windows(spark):
+    words = [f"w{i}" for i in range(80)]
+    rows = [(i, i, " ".join([f"a{i}", *words, f"b{i}"]), 0) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc long, row long, text string, block long")
+    shards, spelled = substring_dedup.recurring(docs, 1, 50, 16)
+    phrases = {r.words for r in shards.collect()}
+    assert phrases == {r.words for r in spelled.collect()} and all(p.decode() in " ".join(words) for p in phrases)
+    assert {r.doc for r in substring_dedup.runs(docs, shards, 50, 16).collect()} == {0, 1, 2}
+    assert substring_dedup.runs(docs, shards.where("false"), 50, 16).count() == 0
+    other = shards.withColumn("words", F.lit(" ".join(f"x{i}" for i in range(16)).encode()))
+    assert substring_dedup.runs(docs, other, 50, 16).count() == 0
+
+
 def test_encode_equals_the_tokenizer(texts):
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     odd = ["", " ", "\n\n  x", "<|endoftext|> and <|x", "it's 12'345 ½ ²", "中文 😀 é", "a b c", "ſtraße ǅ", "\x1c\x85", "tab\tand\r\nline", "a" * 3000]
@@ -242,6 +272,23 @@ def test_fingerprints(documents, texts):
     assert sum(r.near_edited > r.near_next for r in rows.values()) >= 0.98 * len(rows)
 
 
+def test_likeness_estimates_common_spans():
+    """Against the true share of common spans, for texts of all lengths, on both sides of any border."""
+    rng, powers = random.Random(6), fingerprints.Powers()
+
+    def spans(t):
+        k = fingerprints.SPAN
+        return {("in", t[i : i + k]) for i in range(len(t) - k + 1)} | {("start", t[:i]) for i in range(1, min(k - 1, len(t)) + 1)} | {("end", t[-i:]) for i in range(1, min(k - 1, len(t)) + 1)}
+
+    for n in [*range(1, 40), 100, 400, 3000]:
+        a = "".join(rng.choices("abcdefgh ", k=n))
+        for b in (a + "x", a[: n - n // 3] + "".join(rng.choices("ijklm", k=n // 3)), "".join(rng.choices("nopq", k=n)), a):
+            x, y = spans(a), spans(b)
+            got = fingerprints.likeness(*(fingerprints.fingerprint(fingerprints.Prefixes(fingerprints.code_points(t), powers))[1] for t in (a, b)))
+            true = 2 * len(x & y) / (len(x) + len(y))
+            assert abs(got - true) < (0.02 if max(len(x), len(y)) <= 24 else 0.3), (n, got, true)
+
+
 def test_spans_and_extensions():
     rng, powers = random.Random(5), fingerprints.Powers()
     for _ in range(200):
@@ -276,6 +323,37 @@ def test_pseudonyms():
     assert iso == "-".join(reversed(dotted.split(".")))
 
 
+def test_forms_of_pseudonyms():
+    move = pii.Permutation(b"k").of
+    back = lambda x, n, kind: move(x, n, kind, True)
+    rng, values = random.Random(9), []
+    day = lambda: datetime.date.fromordinal(rng.randint(pii.FIRST_DAY, pii.FIRST_DAY + pii.DAYS - 1))
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    for _ in range(300):
+        d, body = day(), digits(15)
+        values += [("date", f"{d.year}-{d.month:02d}-{d.day:02d}"), ("date", f"{d.day}.{d.month}.{d.year}"), ("date", f"{d.year}/{d.month}/{d.day}")]
+        values += [("card", body + str(pii.luhn_digit(body))), ("ip", ".".join(str(rng.randint(0, 255)) for _ in range(4)))]
+        values += [("phone", f"+1 ({digits(3)}) 555-{digits(4)}"), ("phone", f"+49 {rng.randint(20, 999)} {rng.randint(1000, 99999999)}"), ("phone", f"+33 {rng.randint(1, 9)} " + " ".join(digits(2) for _ in range(4)))]
+        values += [("phone", f"{rng.randint(200, 999)} {digits(3)} {digits(4)}"), ("phone", f"{digits(3)}-{digits(3)}-{digits(4)}"), ("ssn", f"{rng.randint(1, 665):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}")]
+    new = {}
+    for kind, value in values:
+        found, counts = pii.pseudonymised(f"see {value} there", move)
+        assert counts[kind] == sum(counts.values()) == 1, value
+        got = found[4:-6]
+        if kind != "ip":
+            assert re.sub("[0-9]", "0", got) == re.sub("[0-9]", "0", value), (value, got)
+        if kind == "phone" and value[0] == "+":
+            assert got.split()[0] == value.split()[0]
+        assert pii.pseudonymised(f"see {got} there", back)[0] == f"see {value} there"
+        assert new.setdefault(value, got) == got
+    assert len(set(new.values())) == len(new)
+    stamp, _ = pii.pseudonymised("at 2021-03-05T10:00:00Z or 5.3.2021", move)
+    y, m, d = map(int, re.search(r"at (\d{4}-\d{2}-\d{2})T10:00:00Z", stamp)[1].split("-"))
+    assert stamp.endswith(f"or {d}.{m}.{y}") and (y, m, d) != (2021, 3, 5)
+    plain = "+999 12 or 6405768150 or +0 12345678 or 100 200 3000 or 2021-02-30T10:00"
+    assert pii.pseudonymised(plain, move)[0] == plain
+
+
 def test_pseudonyms_link_documents(documents, texts):
     got = {r.doc_id: r for r in pii.pseudonymise(documents, b"key").collect()}
     for i, t in texts.items():

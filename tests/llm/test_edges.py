@@ -17,7 +17,7 @@ ROWS = [
 def docs(spark):
     table = spark.createDataFrame(ROWS, "doc_id long, text string, lang string, source string, n_chars long")
     # Extra columns with the names that operators use inside or return.
-    for c in ("n", "key", "doc", "row", "digest", "score", "kept", "component_id", "piece", "bucket", "budget", "comp", "y", "part", "payload"):
+    for c in ("n", "key", "doc", "row", "digest", "score", "kept", "component_id", "piece", "bucket", "budget", "comp", "y", "part", "payload", "whole", "cut_key", "cut_doc", "__id", "__digest", "__tokens", "__copies", "__domain", "domain", "copies", "id", "rows", "repeated", "seq", "block", "band", "page", "pages", "view", "place", "features", "x", "n_docs", "phrase", "first"):
         table = table.withColumn(c, F.lit("clash"))
     return table.cache()
 
@@ -61,8 +61,12 @@ def test_stages_keep_the_columns(spark, docs, labels, tmp_path):
     import corpus_pipeline
 
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, str(tmp_path)).columns == docs.columns, name
+        rows = stage(spark, docs, str(tmp_path))
+        assert rows.columns == docs.columns, name
+        assert {x for r in rows.collect() for x in r[5:]} <= {"clash"}, name
         assert stage(spark, docs.where("false"), str(tmp_path)).count() == 0, name
+    packed = corpus_pipeline.packing(spark, docs, str(tmp_path)).where("piece = 0").count()
+    assert packed == len(ROWS) and corpus_pipeline.packing(spark, docs.where("false"), str(tmp_path)).count() == 0
     assert corpus_pipeline.exact_copies(spark, docs, "").where("doc_id = 7").count() == 0
     assert corpus_pipeline.exact_copies(spark, docs, "").where("doc_id = 1").count() == 1
 
