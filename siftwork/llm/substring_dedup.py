@@ -32,7 +32,7 @@ from .common import WordHashes, discard, join_keys, mix, sliding_min, split_word
 
 WINDOW, PHRASE = 50, 16
 #: Bytes of the documents of a block, for which one automaton is compiled, and what a row counts for besides its text.
-BLOCK, ROW = 4 << 20, 64
+BLOCK, ROW = 2 << 20, 64
 RUNS = "doc long, row long, phrase long, start int, n int, d1 long, d2 long, windows array<long>"
 A, B, C = 0x9E6C63D0876A9A47, 0xD1B54A32D192ED03, 0x2127599BF4325C37
 
