@@ -23,14 +23,13 @@ def norm(v: Column) -> Column:
 
 
 def normalised(v: Column, eps: float = 1e-8) -> Column:
-    n = norm(v) + eps
-    return F.transform(v, lambda x: x.cast("double") / n)
+    # The norm is bound outside the inner function, so it is computed once for a vector.
+    return F.transform(F.array(norm(v) + eps), lambda n: F.transform(v, lambda x: x.cast("double") / n))[0]
 
 
 def softmax(v: Column) -> Column:
-    top = F.array_max(v)
-    e = F.transform(v, lambda x: F.exp(x - top))
-    return F.transform(e, lambda x: x / total(e))
+    e = F.transform(F.array(F.array_max(v)), lambda top: F.transform(v, lambda x: F.exp(x - top)))[0]
+    return F.transform(F.array(F.struct(e.alias("e"), total(e).alias("sum"))), lambda s: F.transform(s["e"], lambda x: x / s["sum"]))[0]
 
 
 def arg_max(v: Column) -> Column:

@@ -111,25 +111,34 @@ def z_score(x: Column, n: Column, mean: Column, std: Column) -> Column:
     return F.when(n > 0, (x - mean) / spread).otherwise(0.0)
 
 
-def running_score_at_scale(rows: DataFrame, value: str, order: str, buckets: DataFrame, alias: str = "z") -> DataFrame:
+#: Rows of a range of the running score at least, and most ranges.
+RANGE_ROWS, RANGES = 50_000, 200
+
+
+def running_score_at_scale(rows: DataFrame, value: str, order: str, alias: str = "z", size: int = RANGE_ROWS) -> DataFrame:
     """``running_score`` over all rows without one ordered pass.
 
-    ``buckets`` (bucket, lo, hi) cuts ``order`` into ranges. Count, mean and squared deviations of each bucket are
-    combined in a window over the buckets (a row each), and give every bucket what came before it.
+    Some keys by their hash, about one in ``size`` and some RANGES at most, cut ``order`` into ranges. Count, sum and
+    squares of each range, of values less their mean (so that squares do not cancel), are combined in a window over the
+    ranges (a row each), and give every range what came before it.
     """
-    dealt = rows.join(F.broadcast(buckets), (F.col(order) >= F.col("lo")) & (F.col(order) < F.col("hi"))).drop("lo", "hi")
-    sums = dealt.groupBy("bucket").agg(F.count(value).alias("bn"), F.sum(value).alias("bs"), F.sum(F.col(value) * F.col(value)).alias("bq"))
-    run = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select("bucket", *(F.coalesce(F.sum(c).over(run), F.lit(0)).alias(f"p{c}") for c in ("bn", "bs", "bq")))
-    inside = Window.partitionBy("bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    x = F.col(value)
-    n = F.col("pbn") + F.count(value).over(inside)
-    s = F.col("pbs") + F.coalesce(F.sum(x).over(inside), F.lit(0.0))
-    q = F.col("pbq") + F.coalesce(F.sum(x * x).over(inside), F.lit(0.0))
-    mean = F.try_divide(s, n)
-    std = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(q, n) - mean * mean))
-    out = dealt.join(F.broadcast(before), "bucket").withColumn(alias, z_score(x, n, mean, std))
-    return out.drop("bucket", "pbn", "pbs", "pbq")
+    n, pivot = rows.agg(F.count("*"), F.coalesce(F.avg(value), F.lit(0.0))).first()
+    every = max(size, n // RANGES)
+    borders = sorted(r[0] for r in rows.select(order).where(F.col(order).isNotNull() & (F.pmod(F.xxhash64(order), F.lit(every)) == 0)).distinct().collect()) if n > every else []
+    bucket = F.size(F.filter(F.array(*map(F.lit, borders)), lambda b: b <= F.col(order))) if borders else F.lit(0)
+    x = F.col("__x")
+    dealt = rows.withColumns({"__x": F.col(value) - F.lit(pivot), "__bucket": bucket})
+    sums = dealt.groupBy("__bucket").agg(F.count(x).alias("bn"), F.sum(x).alias("bs"), F.sum(x * x).alias("bq"))
+    run = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("__bucket", *(F.coalesce(F.sum(c).over(run), F.lit(0)).alias(f"__p{c}") for c in ("bn", "bs", "bq")))
+    inside = Window.partitionBy("__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    count = F.col("__pbn") + F.count(x).over(inside)
+    s = F.col("__pbs") + F.coalesce(F.sum(x).over(inside), F.lit(0.0))
+    q = F.col("__pbq") + F.coalesce(F.sum(x * x).over(inside), F.lit(0.0))
+    mean = F.try_divide(s, count)
+    std = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(q, count) - mean * mean))
+    out = dealt.join(F.broadcast(before), "__bucket").withColumn(alias, z_score(x, count, mean, std))
+    return out.drop("__bucket", "__x", "__pbn", "__pbs", "__pbq")
 
 
 def source_cell(rows: DataFrame, source: str, *names: str) -> Column:
@@ -186,7 +195,7 @@ def tag(fused: DataFrame, with_identity: bool = True, with_quality: bool = True)
     ``fused`` has the sources' columns (see ``fuse``), the calibration's, ``file`` (the order), ``focus``, and optionally
     temp_bin and exposure_bin. Returns file, bins (map), scores and pose_deg (structs).
     """
-    rows = running_score(fused, "focus", "file", "__q")
+    rows = running_score_at_scale(fused, "focus", "file", "__q")
     pose = fused_pose(rows)
     rows = rows.withColumns({f"__{k}": v for k, v in pose.items()})
     c = F.col

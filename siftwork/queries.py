@@ -89,10 +89,10 @@ def vector_best_ref(spark, d):
 
 
 @query("""
-    WITH s AS (SELECT vec_id, list_transform(embedding[1:8], lambda x: x::DOUBLE) AS v FROM embeddings), e AS (SELECT vec_id, v, list_transform(v, lambda x: exp(x - list_max(v))) AS e FROM s)
+    WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), e AS (SELECT vec_id, v, list_transform(v, lambda x: exp(x - list_max(v))) AS e FROM s)
     SELECT vec_id, list_position(v, list_max(v)) - 1 AS top, round(list_max(e) / list_sum(e), 6) AS probability FROM e""")
 def softmax_argmax(spark, d):
-    v = F.slice(vectors.doubles(F.col("embedding")), 1, 8)
+    v = vectors.doubles(F.col("embedding"))
     return t(spark, d, "embeddings").select("vec_id", vectors.arg_max(v).cast("int").alias("top"), r6(F.array_max(vectors.softmax(v))).alias("probability"))
 
 
@@ -214,10 +214,7 @@ def running_zscore(spark, d):
     SELECT event_id, round(CASE WHEN n > 0 THEN (value - mu) / CASE WHEN n > 1 AND sd > 1e-6 THEN sd ELSE 1.0 END ELSE 0.0 END, 4) AS z FROM w""")
 def running_zscore_ranges(spark, d):
     rows = t(spark, d, "events").select("event_id", "value")
-    span = rows.agg(F.min("event_id").alias("a"), F.max("event_id").alias("b"))
-    size = F.greatest(F.lit(1), F.ceil((F.col("b") - F.col("a") + 1) / 64))
-    ranges = span.select(F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bucket"), "a", size.alias("s")).select("bucket", (F.col("a") + F.col("bucket") * F.col("s")).alias("lo"), (F.col("a") + (F.col("bucket") + 1) * F.col("s")).alias("hi"))
-    return fusion.running_score_at_scale(rows, "value", "event_id", ranges).select("event_id", F.round("z", 4).alias("z"))
+    return fusion.running_score_at_scale(rows, "value", "event_id", size=500).select("event_id", F.round("z", 4).alias("z"))
 
 
 @query("SELECT o_custkey, o_orderkey, round(o_totalprice, 2) AS price FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1")
@@ -260,10 +257,10 @@ def overlay_full_outer(spark, d):
     return fusion.overlay(a, b, "k")
 
 
-@query("SELECT l_orderkey, l_linenumber, coalesce(s_name, n_name) AS name FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey AND s_suppkey % 2 = 0 LEFT JOIN nation ON l_partkey % 40 = n_nationkey")
+@query("SELECT l_orderkey, l_linenumber, coalesce(s_name, n_name) AS name FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey AND s_acctbal > 5000 LEFT JOIN nation ON l_partkey % 40 = n_nationkey")
 def two_tier_lookup(spark, d):
     rows = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("s_suppkey"), (F.col("l_partkey") % 40).alias("n"))
-    first = t(spark, d, "supplier").where("s_suppkey % 2 = 0").select("s_suppkey", F.col("s_name").alias("name"))
+    first = t(spark, d, "supplier").where("s_acctbal > 5000").select("s_suppkey", F.col("s_name").alias("name"))
     second = t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("n"), F.col("n_name").alias("name"))
     return dataset.two_tier(rows, first, second, "s_suppkey", "n", "name").select("l_orderkey", "l_linenumber", "name")
 
@@ -433,10 +430,10 @@ def train_index(spark, d):
     return dataset.target_index(files, tags)
 
 
-@query("SELECT c_custkey AS id, 'f' || c_custkey AS file FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey % 2 = 0)")
+@query("SELECT c_custkey AS id, 'f' || c_custkey AS file FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)")
 def library_refresh(spark, d):
     manifest = t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("f"), "c_custkey").alias("file"))
-    return dataset.refresh_library(manifest, t(spark, d, "orders").where("o_orderkey % 2 = 0").select(F.concat(F.lit("f"), "o_custkey").alias("path")))
+    return dataset.refresh_library(manifest, t(spark, d, "orders").where("o_totalprice > 200000").select(F.concat(F.lit("f"), "o_custkey").alias("path")))
 
 
 @query("""
@@ -568,7 +565,8 @@ def stream_landed_bins(spark, d):
     root = f"{shared_dir(spark)}/siftwork/stream-{uuid.uuid4().hex}"
     schema = t(spark, d, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 8).parquet(d)
-    add = lambda batch, _: batch.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).write.mode("append").parquet(f"{root}/out")
+    # A batch that is tried again writes over what it left before.
+    add = lambda batch, i: batch.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).write.mode("overwrite").parquet(f"{root}/out/batch={i}")
     live.each_batch(stream, add, f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 3).alias("total"))
 
@@ -661,10 +659,10 @@ def stream_windows(spark, d):
     root = f"{shared_dir(spark)}/siftwork/windows-{uuid.uuid4().hex}"
     stream = spark.readStream.schema(t(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
     counts = live.windowed_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "3650 days", "1 day", ["event_type"])
-    keep = lambda batch, _: batch.select(F.unix_seconds("window.start").alias("start"), "event_type", "n").write.mode("overwrite").parquet(f"{root}/out")
-    # In update mode each batch holds the windows that changed; all rows come in one batch here.
+    # In update mode each batch holds the windows that changed; the last batch of a window counts.
+    keep = lambda batch, i: batch.select(F.unix_seconds("window.start").alias("start"), "event_type", "n").write.mode("overwrite").parquet(f"{root}/out/batch={i}")
     counts.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint").trigger(once=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").groupBy("start", "event_type").agg(F.max_by("n", "batch").alias("n"))
 
 
 @query("SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ordinal FROM events")
@@ -672,8 +670,8 @@ def stream_ordinals(spark, d):
     root = f"{shared_dir(spark)}/siftwork/ordinals-{uuid.uuid4().hex}"
     stream = spark.readStream.schema(t(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
     numbered = live.ordinals(stream, "user_id", "event_id", ["event_type"]).select("user_id", "event_id", "ordinal")
-    live.each_batch(numbered, lambda batch, _: batch.write.mode("append").parquet(f"{root}/out"), f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    live.each_batch(numbered, lambda batch, i: batch.write.mode("overwrite").parquet(f"{root}/out/batch={i}"), f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

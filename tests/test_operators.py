@@ -94,8 +94,11 @@ def test_running_score_counts_earlier_rows_only(spark):
         sd = before.std() if i > 1 and before.std() > 1e-6 else 1.0
         expected.append((x - before.mean()) / sd if i else 0.0)
     assert got == pytest.approx(expected)
-    ranges = spark.createDataFrame([(0, 0, 2), (1, 2, 5), (2, 5, 9)], "bucket int, lo int, hi int")
-    assert [r.z for r in fusion.running_score_at_scale(table, "x", "i", ranges).orderBy("i").collect()] == pytest.approx(expected)
+    rng = np.random.default_rng(1)
+    many = spark.createDataFrame([(f"f{i:04d}", 1e9 + float(x)) for i, x in enumerate(rng.normal(0, 1, 600))], "i string, x double")
+    one = [r.z for r in fusion.running_score(many, "x", "i").orderBy("i").collect()]
+    for size in (1000, 40, 7):  # one range, some, many; a large mean does not cancel the deviation
+        assert [r.z for r in fusion.running_score_at_scale(many, "x", "i", size=size).orderBy("i").collect()] == pytest.approx(one, abs=1e-6)
 
 
 def test_tagging_workflow(spark):
