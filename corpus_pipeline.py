@@ -1,4 +1,9 @@
-"""A corpus pipeline over ``documents``: each stage calls one operator, is written as Parquet and read by the next."""
+"""A corpus pipeline over ``documents``: each stage calls one operator, is written as Parquet and read by the next.
+
+Edge cases, in all stages: null texts count as empty; missing languages and sources are values like any other; rows
+without doc_id are kept by the classifier's score, count after all others among exact copies, and never are near copies;
+repeated rows are exact copies; an empty table stays empty; columns of any names pass through all stages but the last.
+"""
 
 from __future__ import annotations
 
@@ -43,7 +48,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("exact_copies", exact_copies), ("near_copies", near_copies), ("mix_sources", mix_sources), ("packing", packing)]
 
-#: The stages train models and pack sequences, which SQL cannot express; the tests hold them against brute force.
+#: The stages train models and pack sequences, which SQL cannot express; the tests hold each stage after the first against plain Python.
 ORACLE_SQL = None
 
 
