@@ -20,6 +20,7 @@ phrases that very many documents have are dealt to all tasks.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import ahocorasick
@@ -33,6 +34,8 @@ from .common import WordHashes, discard, join_keys, mix, sliding_min, split_word
 WINDOW, PHRASE = 50, 16
 #: Bytes of the documents of a block, for which one automaton is compiled, and what a row counts for besides its text.
 BLOCK, ROW = 2 << 20, 64
+#: Letters of each place of a word's number in an automaton.
+DIGITS = 16
 RUNS = "doc long, row long, phrase long, start int, n int, d1 long, d2 long, windows array<long>"
 A, B, C = 0x9E6C63D0876A9A47, 0xD1B54A32D192ED03, 0x2127599BF4325C37
 
@@ -91,16 +94,33 @@ def spelled_out(docs: DataFrame, firsts: DataFrame, window: int, phrase: int) ->
     return docs.groupBy("block").cogroup(firsts.groupBy("block")).applyInArrow(read, "phrase long, words binary").groupBy("phrase").agg(F.min("words").alias("words"))
 
 
+def letters_of(numbers: dict[bytes, int]) -> tuple[dict[bytes, str], int]:
+    """Words as strings of a fixed length, which comes second: the digits of their numbers, each place with letters of its own.
+
+    A node of an automaton is searched letter by letter, so few letters are fast, however many words there are. As
+    places have different letters, no match starts inside a word.
+    """
+    width = 1
+    while DIGITS**width < len(numbers):
+        width += 1
+    return {w: "".join(chr(0x100 + DIGITS * i + n // DIGITS ** (width - 1 - i) % DIGITS) for i in range(width)) for w, n in numbers.items()}, width
+
+
 def locate(documents: list[list[bytes]], phrases: list[bytes], phrase: int) -> Iterator[np.ndarray]:
     """Where any of the ``phrases`` occurs in each of the ``documents`` (lists of words), by an automaton."""
     numbers: dict[bytes, int] = {}
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for at, key in enumerate(phrases):
-        automaton.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in key.split()), at)
+    spelled = [key.split() for key in phrases]
+    for word in itertools.chain.from_iterable(spelled):
+        numbers.setdefault(word, len(numbers))
+    letters, width = letters_of(numbers)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for at, key in enumerate(spelled):
+        automaton.add_word("".join([letters[w] for w in key]), at)
     if phrases:
         automaton.make_automaton()
+    other = " " * width  # a word that no phrase has
     for words in documents:
-        ends = [end for end, _ in automaton.iter(tuple(numbers.get(w, 0) for w in words))] if phrases and len(words) >= phrase else []
+        ends = [end // width for end, _ in automaton.iter("".join([letters.get(w, other) for w in words]))] if phrases and len(words) >= phrase else []
         yield np.array(ends, np.int64) - phrase + 1
 
 

@@ -160,6 +160,18 @@ def test_slots_decide_exact_copies(documents, texts):
     assert {r.keep_doc for r in none.collect()} == {0}
 
 
+@pytest.mark.parametrize("vocabulary", [2, 16, 17, 300, 5000])
+def test_located_phrases(vocabulary):
+    draw = np.random.default_rng(vocabulary)
+    word = [str(i).encode() for i in range(vocabulary)]
+    documents = [[word[i] for i in draw.integers(0, vocabulary, n)] for n in (0, 2, 3, 40, 4000)]
+    phrases = [b" ".join(documents[4][i : i + 3]) for i in draw.integers(0, 3000, 1000)]
+    for some in (phrases, phrases[:1], []):
+        expected = [[i for i in range(len(d) - 2) if b" ".join(d[i : i + 3]) in set(some)] for d in (documents if len(some) < 2 else documents[:4])]
+        got = [x.tolist() for x in substring_dedup.locate(documents, list(dict.fromkeys(some)), 3)]
+        assert got[: len(expected)] == expected
+
+
 def test_automata_decide_repeated_windows(spark):
     words = [f"w{i}" for i in range(80)]
     rows = [(i, i, " ".join([f"a{i}", *words, f"b{i}"]), 0) for i in range(3)]
