@@ -15,6 +15,7 @@ from .ngram_join import jaccard_components
 from .packing import pack
 from .pii import pseudonymise
 from .quality import classify
+from .sharding import shard_documents
 from .substring_dedup import remove_repeats
 from .toxicity import score_toxicity
 from .warc import round_trip
@@ -85,6 +86,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -97,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_classifier": op8_quality_classifier,
         "op9_fingerprints": op9_fingerprints,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+        "op11_sharding": op11_sharding,
     }
 
 
