@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprints
+from .hard_negatives import mine_embeddings
 from .mixing import mix
 from .ngram_join import jaccard_components
 from .packing import pack
@@ -90,6 +91,10 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -103,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_fingerprints": op9_fingerprints,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
         "op11_sharding": op11_sharding,
+        "op12_hard_negatives": op12_hard_negatives,
     }
 
 
