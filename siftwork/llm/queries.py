@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .collocations import collocations
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprints
 from .hard_negatives import mine_embeddings
@@ -95,6 +96,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -109,6 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
         "op11_sharding": op11_sharding,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_collocations": op13_collocations,
     }
 
 
