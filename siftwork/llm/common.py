@@ -148,10 +148,13 @@ def join_keys(rows: DataFrame, keys: DataFrame, by: list[str], count: str, total
     The rows of heavy keys, however many one key has, meet them by a broadcast of at most 1 / HEAVY rows and are dealt
     by ``spread`` (a hash of the row) in the shuffle in which the others meet theirs. ``count`` is dropped. ``how`` is
     inner or left.
+
+    On the side of the keys the place in the deal is 0 for each row but no literal: Spark would take a literal out of
+    the shuffle's columns, and with it the deal.
     """
     others = [c for c in keys.columns if c not in (*by, count)]
     heavy = keys.where(F.col(count) > total * HEAVY).select(*by, F.struct(*others).alias("__heavy"), F.lit(True).alias("__is_heavy"))
-    light = keys.where(F.col(count) <= total * HEAVY).select(*by, F.struct(*others).alias("__light"), F.lit(0).cast("long").alias("__deal"), F.lit(True).alias("__is_light"))
+    light = keys.where(F.col(count) <= total * HEAVY).select(*by, F.struct(*others).alias("__light"), (F.col(count) < 0).cast("long").alias("__deal"), F.lit(True).alias("__is_light"))
     met = rows.join(F.broadcast(heavy), by, "left").withColumn("__deal", F.when(F.col("__is_heavy"), 1 + F.pmod(spread, F.lit(1 << 20))).otherwise(F.lit(0)))
     met = met.join(light.hint("merge"), [*by, "__deal"], "left")
     if how == "inner":
