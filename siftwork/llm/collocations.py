@@ -32,8 +32,8 @@ CUTS = b".,;:!?\n\x0b\x0c\r"
 #: Lower case for A-Z, and one byte for all ends of pieces.
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + CUTS, b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(CUTS))
 UNKNOWN = "und"
-#: Bytes of text for which one automaton is compiled.
-BLOCK = 8 << 20
+#: Bytes of text for which one automaton is compiled, and words whose hashes a task holds.
+BLOCK, HELD_WORDS = 4 << 20, 300_000
 #: Rows of the sketch; counters of a row at least and at most; bytes of text for a counter; counters of a chunk.
 ROWS, LEAST_WIDTH, MOST_WIDTH, BYTES_PER_COUNTER, CHUNK = 2, 1 << 16, 1 << 25, 24, 1 << 16
 #: Phrases that are counted before counters are cut again; a counter of 16 bits holds so many and the least count.
@@ -44,15 +44,10 @@ A, B = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xD1B54A32D192ED03)
 
 
 class Pieces:
-    """The words of some texts of one language, piece after piece."""
+    """The words of some folded texts of one language, piece after piece."""
 
-    def __init__(self) -> None:
-        self.lines: list[list[bytes]] = []
-        self.size = 0
-
-    def add(self, text: bytes) -> None:
-        self.lines += filter(None, map(bytes.split, text.translate(FOLD).split(b"\n")))
-        self.size += len(text)
+    def __init__(self, texts: list[bytes]) -> None:
+        self.lines = [words for text in texts for line in text.split(b"\n") if (words := line.split())]
 
     def words(self) -> list[bytes]:
         return list(itertools.chain.from_iterable(self.lines))
@@ -80,16 +75,25 @@ def counters(hashes: np.ndarray, width: int) -> Iterator[np.ndarray]:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], hashes: WordHashes) -> Iterator[tuple[str, int, Pieces]]:
-    """(language, its seed, pieces) of the texts, in blocks of bounded size."""
-    held: dict[str, Pieces] = {}
+    """(language, its seed, pieces) of the texts, in blocks of bounded size; a longer text is cut between its pieces."""
+    held: dict[str, list[bytes]] = {}
+    sizes: Counter[str] = Counter()
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), utf8(batch.column("text")), strict=True):
-            own = held.setdefault(lang, Pieces())
-            own.add(text)
-            if own.size >= BLOCK:
-                yield lang, hashes[lang.encode()], held.pop(lang)
-    for lang, own in held.items():
-        yield lang, hashes[lang.encode()], own
+            text = text.translate(FOLD)
+            while len(text) > BLOCK:
+                at = text.rfind(b"\n", 0, BLOCK)
+                at = at if at >= 0 else text.find(b"\n", BLOCK)
+                at = at if at >= 0 else len(text)
+                yield lang, hashes[lang.encode()], Pieces([text[:at]])
+                text = text[at + 1 :]
+            held.setdefault(lang, []).append(text)
+            sizes[lang] += len(text)
+            if sizes[lang] >= BLOCK:
+                sizes[lang] = 0
+                yield lang, hashes[lang.encode()], Pieces(held.pop(lang))
+    for lang, texts in held.items():
+        yield lang, hashes[lang.encode()], Pieces(texts)
 
 
 def sketch(texts: DataFrame, width: int, least: int, longest: int) -> np.ndarray:
@@ -99,7 +103,7 @@ def sketch(texts: DataFrame, width: int, least: int, longest: int) -> np.ndarray
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, any_word = WordHashes(), np.zeros((ROWS, width), np.uint16), False
+        hashes, held, any_word = WordHashes(HELD_WORDS), np.zeros((ROWS, width), np.uint16), False
         for _, seed, pieces in blocks(batches, hashes):
             for _, _, found in phrase_hashes(hashes.of(pieces.words()), pieces.left(), seed, longest):
                 any_word |= bool(len(found))
@@ -173,7 +177,7 @@ def counted(texts: DataFrame, table: Broadcast, least: int, longest: int) -> Dat
     """lang, words, phrase, f: counts by block of candidates, of single words, and (words 0) of all words."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = WordHashes(HELD_WORDS)
         for lang, seed, pieces in blocks(batches, hashes):
             single = Counter(itertools.chain.from_iterable(pieces.lines))
             phrases, sizes, n = counts_of(pieces, seed, hashes, table.value, least, longest)
