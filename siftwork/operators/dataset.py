@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parsing import base_name, first_number, flag_set, flag_unset, padded, stem, suffix
+from .ordinals import with_ordinals
 
 
 def ordered_distinct(rows: DataFrame, column: str, order: str) -> DataFrame:
@@ -37,10 +38,11 @@ def number_rows(rows: DataFrame, order: list[str], start: Column, bucket: str |
     """``rows`` with ``number`` = start + 1, start + 2, ... in ``order``.
 
     With ``bucket``, a column that rises with the order (a date, an input, a range), rows are numbered within their
-    buckets and the buckets' sizes are summed before them, so no task orders all rows.
+    buckets and the buckets' sizes are summed before them; without one, rows are dealt to ranges of the order. Either
+    way no task orders all rows.
     """
     if bucket is None:
-        return rows.withColumn("number", start + F.row_number().over(Window.orderBy(*order)))
+        return with_ordinals(rows, order, "__ordinal").withColumn("number", start + F.col("__ordinal")).drop("__ordinal")
     sizes = rows.groupBy(bucket).agg(F.count("*").alias("__n"))
     before = sizes.select(bucket, F.coalesce(F.sum("__n").over(Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     spot = Window.partitionBy(bucket).orderBy(*order)
@@ -146,11 +148,15 @@ def two_tier(rows: DataFrame, by_first: DataFrame, by_second: DataFrame, first:
     return rows.join(a, first, "left").join(b, second, "left").withColumn(value, F.coalesce("__1", "__2")).drop("__1", "__2")
 
 
-def align(left: DataFrame, right: DataFrame, left_order: list[str], right_order: list[str], partition: str | None = None) -> DataFrame:
-    """Row i of ``left`` beside row i of ``right`` (within a partition column that both have); unmatched right rows go."""
-    parts = [partition] if partition else []
-    n = lambda t, o: t.withColumn("ordinal", F.row_number().over(Window.partitionBy(*parts).orderBy(*o)))
-    return n(left, left_order).join(n(right, right_order), [*parts, "ordinal"], "left")
+def align(left: DataFrame, right: DataFrame, left_order: list[str | Column], right_order: list[str | Column], partition: str | None = None) -> DataFrame:
+    """Row i of ``left`` beside row i of ``right`` (within a partition column that both have); unmatched right rows go.
+
+    Without a partition whole tables are aligned, each numbered over ranges of its order.
+    """
+    if partition is None:
+        return with_ordinals(left, left_order).join(with_ordinals(right, right_order), "ordinal", "left")
+    n = lambda t, o: t.withColumn("ordinal", F.row_number().over(Window.partitionBy(partition).orderBy(*o)))
+    return n(left, left_order).join(n(right, right_order), [partition, "ordinal"], "left")
 
 
 def to_legacy_tags(tags: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import bins
 from ..functions.parsing import base_name, first_filled, maybe_degrees, to_float
+from .ordinals import RANGE_ROWS, ranged
+from .quantiles import exact_quantiles
 
 KEY_COLUMNS = ("file", "path", "name", "input", "filename")
 # The names under which sources write the same value, in order of precedence.
@@ -76,7 +78,8 @@ def fuse(items: DataFrame, sources: dict[str, DataFrame], key: str) -> DataFrame
 
 def quantiles(values: DataFrame, column: str, points: dict[str, float], defaults: dict[str, float]) -> DataFrame:
     """One row of exact quantiles (linear interpolation), or the defaults where there are no values."""
-    return values.agg(*(F.coalesce(F.percentile(column, F.lit(p)), F.lit(defaults[name])).alias(name) for name, p in points.items()))
+    found = exact_quantiles(values, [column], points)
+    return found.agg(*(F.coalesce(F.max(name), F.lit(defaults[name])).alias(name) for name in points))
 
 
 def moments(values: DataFrame, column: str) -> DataFrame:
@@ -111,34 +114,28 @@ def z_score(x: Column, n: Column, mean: Column, std: Column) -> Column:
     return F.when(n > 0, (x - mean) / spread).otherwise(0.0)
 
 
-#: Rows of a range of the running score at least, and most ranges.
-RANGE_ROWS, RANGES = 50_000, 200
-
-
 def running_score_at_scale(rows: DataFrame, value: str, order: str, alias: str = "z", size: int = RANGE_ROWS) -> DataFrame:
     """``running_score`` over all rows without one ordered pass.
 
-    Some keys by their hash, about one in ``size`` and some RANGES at most, cut ``order`` into ranges. Count, sum and
-    squares of each range, of values less their mean (so that squares do not cancel), are combined in a window over the
-    ranges (a row each), and give every range what came before it.
+    Rows are dealt to ranges of ``order`` that are written down. Count, sum and squares of each range, of values less
+    their mean (so that squares do not cancel), are combined in a window over the ranges (a row each), and give every
+    range what came before it.
     """
-    n, pivot = rows.agg(F.count("*"), F.coalesce(F.avg(value), F.lit(0.0))).first()
-    every = max(size, n // RANGES)
-    borders = sorted(r[0] for r in rows.select(order).where(F.col(order).isNotNull() & (F.pmod(F.xxhash64(order), F.lit(every)) == 0)).distinct().collect()) if n > every else []
-    bucket = F.size(F.filter(F.array(*map(F.lit, borders)), lambda b: b <= F.col(order))) if borders else F.lit(0)
+    pivot = rows.agg(F.coalesce(F.avg(value), F.lit(0.0))).first()[0]
     x = F.col("__x")
-    dealt = rows.withColumns({"__x": F.col(value) - F.lit(pivot), "__bucket": bucket})
-    sums = dealt.groupBy("__bucket").agg(F.count(x).alias("bn"), F.sum(x).alias("bs"), F.sum(x * x).alias("bq"))
-    run = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select("__bucket", *(F.coalesce(F.sum(c).over(run), F.lit(0)).alias(f"__p{c}") for c in ("bn", "bs", "bq")))
-    inside = Window.partitionBy("__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    dealt = ranged(rows, [order], size).withColumn("__x", F.col(value) - F.lit(pivot))
+    sums = dealt.groupBy("__range").agg(F.count(x).alias("bn"), F.sum(x).alias("bs"), F.sum(x * x).alias("bq"))
+    run = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("__range", *(F.coalesce(F.sum(c).over(run), F.lit(0)).alias(f"__p{c}") for c in ("bn", "bs", "bq")))
+    inside = Window.partitionBy("__range").orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
     count = F.col("__pbn") + F.count(x).over(inside)
     s = F.col("__pbs") + F.coalesce(F.sum(x).over(inside), F.lit(0.0))
     q = F.col("__pbq") + F.coalesce(F.sum(x * x).over(inside), F.lit(0.0))
     mean = F.try_divide(s, count)
     std = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(q, count) - mean * mean))
-    out = dealt.join(F.broadcast(before), "__bucket").withColumn(alias, z_score(x, count, mean, std))
-    return out.drop("__bucket", "__x", "__pbn", "__pbs", "__pbq")
+    # A row of numbers for each range, of which there are few (see ``ranged``).
+    out = dealt.join(F.broadcast(before), "__range").withColumn(alias, z_score(x, count, mean, std))
+    return out.drop("__range", "__place", "__x", "__pbn", "__pbs", "__pbq")
 
 
 def source_cell(rows: DataFrame, source: str, *names: str) -> Column:

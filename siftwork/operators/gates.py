@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry
+from .quantiles import exact_quantiles
 
 # Defaults of the gates.
 DEFAULTS = {
@@ -35,9 +36,19 @@ def shares(rows: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     return rows.agg(F.count("*").alias("n"), *counts, *parts)
 
 
+#: The percentiles of ``spread``.
+SPREAD = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
+
+
+def spreads(rows: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """by..., column, n, p10, p50, p90: exact percentiles of each column and group that has values."""
+    return exact_quantiles(rows, columns, SPREAD, by)
+
+
 def spread(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """One row of the 10th, 50th and 90th percentiles of each column."""
-    return rows.agg(*(F.percentile(c, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias(c) for c in columns))
+    """One row of the 10th, 50th and 90th percentiles of each column, null without values."""
+    found = spreads(rows, columns)
+    return found.agg(*(F.max(F.when(F.col("column") == c, F.array(*(F.col(p) for p in SPREAD)))).alias(c) for c in columns))
 
 
 def gate_frames(frames: DataFrame, references: DataFrame | None = None, **options) -> DataFrame:

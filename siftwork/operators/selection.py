@@ -7,13 +7,13 @@ fold over one row of numbers per bin says how many each bin takes, and ranks are
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bins
 from ..functions.parsing import base_name, scalar, truthy
+from ..session import staged
+from .ordinals import with_ranks
 
 KEYS = ["bin_yaw", "bin_pitch", "bin_eyes", "bin_smile", "bin_teeth", "bin_light"]
 NEAR = ["bin_yaw", "bin_pitch", "bin_smile"]
@@ -44,32 +44,31 @@ def demand_of(target: DataFrame) -> DataFrame:
     return keyed(target).groupBy("key").agg(F.count("*").alias("n"), F.min("src_ord").alias("ord"))
 
 
-def near_candidates(source: DataFrame, demand: DataFrame, minimum: int) -> DataFrame:
-    """For bins with fewer than ``minimum`` rows: rows that share yaw, pitch or smile, exact ones first, up to three times the minimum.
+def postings(source: DataFrame, values: DataFrame, length: int) -> DataFrame:
+    """field, value, src_ord, key: for each of the ``values`` (field, value) the first ``length`` rows of ``source`` that have it.
 
-    The OR of three equalities is a union of three equi-joins, made distinct; each is an ordinary shuffle or broadcast
-    join. Identical source rows count once.
+    A value that very many rows share is cut in parts first, so no task orders all of its rows.
     """
-    exact = source.join(demand.select(F.col("key").alias("proto"), "n", "ord"), F.col("key") == F.col("proto"))
-    counts = exact.groupBy("proto").agg(F.count("*").alias("own"))
-    thin = demand.where("n > 0").join(counts.withColumnRenamed("proto", "key"), "key", "left").where(F.coalesce("own", F.lit(0)) < minimum).select(F.col("key").alias("proto"), F.coalesce("own", F.lit(0)).alias("own"))
-    alike = [c for c in source.columns if c not in ("src_ord", "key")]
-    plain = source.groupBy(*alike, "key").agg(F.min("src_ord").alias("src_ord"))
-    found = reduce(DataFrame.union, (plain.join(thin, F.col(f"key.{k}") == F.col(f"proto.{k}")).where("key <> proto").select("proto", "own", "src_ord") for k in NEAR)).distinct()
-    spot = Window.partitionBy("proto").orderBy("src_ord")
-    near = found.withColumn("r", F.row_number().over(spot)).where(F.col("r") <= F.greatest(F.lit(minimum * 3) - F.col("own"), F.lit(1))).select("proto", "src_ord")
-    return exact.select("proto", "src_ord").union(near)
+    fields = ", ".join(f"'{k}', key.{k}" for k in NEAR)
+    entries = source.select("src_ord", "key", F.expr(f"stack({len(NEAR)}, {fields}) as (field, value)")).join(F.broadcast(values), ["field", "value"], "left_semi")
+    part = Window.partitionBy("field", "value", F.pmod(F.xxhash64("src_ord"), F.lit(64))).orderBy("src_ord")
+    whole = Window.partitionBy("field", "value").orderBy("src_ord")
+    short = entries.withColumn("r", F.row_number().over(part)).where(F.col("r") <= length)
+    return short.withColumn("r", F.row_number().over(whole)).where(F.col("r") <= length).drop("r")
+
 
+def near_candidates(source: DataFrame, thin: DataFrame, minimum: int) -> DataFrame:
+    """proto, src_ord: for each thin bin (``thin``: proto, own, the number of its own rows) the first rows of other bins that share its yaw, pitch or smile, as many as are missing up to three times the minimum (one at least).
 
-def coverage(source: DataFrame, demand: DataFrame, minimum: int, weights: tuple[float, float, float], near: bool) -> DataFrame:
-    """src_ord of the rows that bring every demanded bin to ``minimum``, each once."""
-    wanted = demand.where("n > 0")
-    if minimum <= 0:
-        return source.select("src_ord").limit(0)
-    pairs = near_candidates(source, wanted, minimum) if near else source.join(wanted.select(F.col("key").alias("proto")), F.col("key") == F.col("proto")).select("proto", "src_ord")
-    scored = pairs.join(source, "src_ord").withColumn("score", row_score("", "proto", weights))
-    spot = Window.partitionBy("proto").orderBy(F.desc("score"), "src_ord")
-    return scored.withColumn("r", F.row_number().over(spot)).where(F.col("r") <= minimum).select("src_ord").distinct()
+    Each value has one list of its first rows in order. A thin bin has fewer than ``minimum`` rows of its own, so the
+    first rows that it can use stand among the first 4 * ``minimum`` of each of its three lists: the lists are cut there,
+    and a bin merges three short lists, however many rows share a value.
+    """
+    wanted = thin.select("proto", "own", F.expr("stack(3, 'bin_yaw', proto.bin_yaw, 'bin_pitch', proto.bin_pitch, 'bin_smile', proto.bin_smile) as (field, value)"))
+    lists = postings(source, wanted.select("field", "value").distinct(), 4 * minimum)
+    found = lists.join(wanted, ["field", "value"]).where("key <> proto").select("proto", "own", "src_ord").distinct()
+    spot = Window.partitionBy("proto").orderBy("src_ord")
+    return found.withColumn("r", F.row_number().over(spot)).where(F.col("r") <= F.greatest(F.lit(minimum * 3) - F.col("own"), F.lit(1))).select("proto", "src_ord")
 
 
 def ranked(rows: DataFrame, weights: tuple[float, float, float], extra: list[str]) -> DataFrame:
@@ -95,23 +94,53 @@ def fill_takes(counts: DataFrame, remaining: Column, total: Column) -> DataFrame
     return one.select(F.explode(F.aggregate("b", first, step)["out"]).alias("t")).select("t.key", "t.take")
 
 
+#: Bins of which tables are sent to all tasks at most.
+SMALL = 100_000
+
+
+def small(bins_of: DataFrame, count: int) -> DataFrame:
+    """A table of ``count`` bins, sent to all tasks where that is little."""
+    return F.broadcast(bins_of) if count <= SMALL else bins_of
+
+
 def select_v1(source: DataFrame, target: DataFrame, minimum: int, budget: int = 0, weights: tuple[float, float, float] = WEIGHTS) -> DataFrame:
     """The first selection rule: coverage with near matches, then a proportional fill with exact ones.
 
     ``source`` and ``target`` have src_ord (unique, the order of rows), the six keys, id_score and quality; ``source`` also path,
     unique. A budget of 0 means as many as the target has. Coverage may exceed the budget, the fill does not.
+
+    The source is read once, ranked within its bins (over ranges, see ``with_ranks``) and written; what follows are rows
+    per bin and, for thin bins, a few candidates. Rows that coverage takes leave gaps in a bin's ranks, so the rank at
+    which the fill ends is the number of rows it takes and of gaps before.
     """
-    source, demand = keyed(source), demand_of(target)
-    covered = coverage(source, demand, minimum, weights, near=True)
-    marked = source.join(covered.withColumn("covered", F.lit(True)), "src_ord", "left").withColumn("covered", F.coalesce("covered", F.lit(False)))
-    free = ranked(marked.where("not covered"), weights, [])
-    sizes = marked.groupBy("key").agg(F.count_if("covered").alias("already"), F.count_if(~F.col("covered")).alias("avail"))
-    whole = demand.agg(F.sum("n").alias("total")).crossJoin(F.broadcast(covered.agg(F.count("*").alias("had"))))
-    counts = demand.join(sizes, "key", "left").select("key", "n", "ord", F.coalesce("already", F.lit(0)).alias("already"), F.coalesce("avail", F.lit(0)).alias("avail")).crossJoin(F.broadcast(whole))
-    limit = F.lit(budget) if budget > 0 else F.col("total")
-    takes = fill_takes(counts, F.greatest(F.lit(0), limit - F.col("had")), F.col("total"))
-    filled = free.join(takes, "key").where("r <= take").select("src_ord")
-    return source.join(covered.union(filled), "src_ord", "left_semi").drop("key")
+    columns = source.columns
+    spot = with_ranks(keyed(source).withColumn("score", row_score("", "key", weights)), ["key"], [F.desc("score"), "src_ord"], "r")
+    spot = staged(spot, "ranked")
+    sizes = spot.groupBy("key").agg(F.count("*").alias("own"))
+    demand = staged(demand_of(target).join(sizes, "key", "left").select("key", "n", "ord", F.coalesce("own", F.lit(0)).alias("own")), "demand")
+    count, total, thin = demand.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("own") < minimum)).first()
+    # Coverage: the first rows of bins that have enough, and of thin bins all their own and what is near.
+    first = spot.join(small(demand.where(F.col("own") >= minimum).select("key"), count), "key", "left_semi").where(F.col("r") <= minimum).select("src_ord", "key", "r") if minimum > 0 else spot.limit(0).select("src_ord", "key", "r")
+    if minimum > 0 and thin:
+        scarce = demand.where(F.col("own") < minimum).select(F.col("key").alias("proto"), "own")
+        near = near_candidates(spot.select("src_ord", "key"), scarce, minimum)
+        own = spot.select("src_ord", "key").join(small(scarce, count), F.col("key") == F.col("proto")).select("proto", "src_ord")
+        pairs = own.union(near).join(spot.select("src_ord", "key", "r", *KEYS, "id_score", "quality"), "src_ord").withColumn("score", row_score("", "proto", weights))
+        best = Window.partitionBy("proto").orderBy(F.desc("score"), "src_ord")
+        scarce_first = pairs.withColumn("b", F.row_number().over(best)).where(F.col("b") <= minimum).select("src_ord", "key", "r")
+        first = first.union(scarce_first)
+    covered = staged(first.distinct(), "covered")
+    # The fill: how many free rows each bin takes, and the rank at which it has them.
+    already = covered.groupBy("key").agg(F.count("*").alias("already"))
+    had = covered.count()
+    counts = demand.join(already, "key", "left").select("key", "n", "ord", F.coalesce("already", F.lit(0)).alias("already"), (F.col("own") - F.coalesce("already", F.lit(0))).alias("avail"))
+    counts = counts.withColumns({"total": F.lit(total), "rem": F.lit(max(0, (budget if budget > 0 else total) - had))})
+    takes = fill_takes(counts, F.col("rem"), F.col("total"))
+    place = Window.partitionBy("key").orderBy("r")
+    gaps = covered.withColumn("free", F.col("r") - F.row_number().over(place)).join(takes, "key").where("free < take").groupBy("key").agg(F.count("*").alias("gaps"))
+    ends = takes.join(gaps, "key", "left").select("key", F.when(F.col("take") > 0, F.col("take") + F.coalesce("gaps", F.lit(0))).otherwise(0).alias("end"))
+    out = spot.join(small(ends, count), "key", "left").join(covered.select("src_ord", F.lit(True).alias("covered")), "src_ord", "left")
+    return out.where(F.coalesce("covered", F.lit(False)) | (F.col("r") <= F.coalesce("end", F.lit(0)))).select(*columns)
 
 
 def select_v2(source: DataFrame, target: DataFrame, minimum: int, cap: int, budget: int = 0, weights: tuple[float, float, float] = WEIGHTS) -> DataFrame:

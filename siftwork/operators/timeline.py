@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordinals import with_ordinals
+
 
 def drop_head(rows: DataFrame, start: float, t: str = "t") -> DataFrame:
     """Rows from ``start`` on, counted from there."""
@@ -50,8 +52,10 @@ def number_frames(rows: DataFrame, track: str, t: str = "t", start: int = 0) ->
 
 
 def synthetic_time(rows: DataFrame, order: str, rate: float, partition: list[str] | None = None) -> DataFrame:
-    """Milliseconds of each row at a fixed rate, in order."""
-    spot = Window.partitionBy(*(partition or [])).orderBy(order)
+    """Milliseconds of each row at a fixed rate, in order: within a partition, or over the whole table in ranges of the order."""
+    if not partition:
+        return with_ordinals(rows, [order], "__ordinal").withColumn("ms", (F.col("__ordinal") - 1) * (1000.0 / rate)).drop("__ordinal")
+    spot = Window.partitionBy(*partition).orderBy(order)
     return rows.withColumn("ms", (F.row_number().over(spot) - 1) * (1000.0 / rate))
 
 

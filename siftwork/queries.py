@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import bins, parsing, vectors
-from .operators import dataset, fusion, gates, profile, sampling, selection, timeline
+from .operators import dataset, fusion, gates, profile, quantiles, sampling, selection, timeline
 from .operators import vectors as vector_ops
 from .plans import workflows
 from .session import shared_dir
@@ -187,7 +187,16 @@ def composite_score(spark, d):
 
 @query("SELECT event_type, round(quantile_cont(value, 0.3), 6) AS q30, round(quantile_cont(value, 0.6), 6) AS q60, round(quantile_cont(value, 0.1), 6) AS q10, round(quantile_cont(value, 0.9), 6) AS q90 FROM events GROUP BY event_type")
 def calib_quantiles(spark, d):
-    return t(spark, d, "events").groupBy("event_type").agg(*(r6(F.percentile("value", F.lit(p))).alias(n) for n, p in {"q30": 0.3, "q60": 0.6, "q10": 0.1, "q90": 0.9}.items()))
+    points = {"q30": 0.3, "q60": 0.6, "q10": 0.1, "q90": 0.9}
+    return quantiles.exact_quantiles(t(spark, d, "events"), ["value"], points, ["event_type"]).select("event_type", *(r6(q).alias(q) for q in points))
+
+
+@query("""
+    WITH v AS (SELECT l_returnflag, 'l_quantity' AS "column", l_quantity::DOUBLE AS v FROM lineitem UNION ALL SELECT l_returnflag, 'l_extendedprice', l_extendedprice::DOUBLE FROM lineitem UNION ALL SELECT l_returnflag, 'l_discount', CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_discount::DOUBLE END FROM lineitem)
+    SELECT l_returnflag, "column", count(v) AS n, round(quantile_cont(v, 0.1), 4) AS p10, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.9), 4) AS p90 FROM v GROUP BY ALL""")
+def spread_by_group(spark, d):
+    rows = t(spark, d, "lineitem").withColumn("l_discount", F.when(F.col("l_orderkey") % 3 != 0, F.col("l_discount")))
+    return gates.spreads(rows, ["l_quantity", "l_extendedprice", "l_discount"], ["l_returnflag"]).select("l_returnflag", "column", "n", *(F.round(p, 4).alias(p) for p in gates.SPREAD))
 
 
 @query("SELECT round(avg(value), 6) AS mean, round(stddev_pop(value) + 1e-6, 6) AS std FROM events")
@@ -284,6 +293,22 @@ def positional_zip(spark, d):
     return dataset.align(a, b, ["event_id"], ["o_orderkey"], "user_id").select("event_id", F.col("ordinal").cast("long"), "o_orderkey")
 
 
+@query("""
+    WITH a AS (SELECT event_id, row_number() OVER (ORDER BY value DESC, event_id) AS i FROM events), b AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS i FROM orders)
+    SELECT event_id, a.i AS ordinal, o_orderkey FROM a LEFT JOIN b USING (i)""")
+def whole_zip(spark, d):
+    a, b = t(spark, d, "events").select("event_id", "value"), t(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return dataset.align(a, b, [F.desc("value"), "event_id"], ["o_totalprice", "o_orderkey"]).select("event_id", "ordinal", "o_orderkey")
+
+
+@query("SELECT vec_id, row_number() OVER (ORDER BY label, vec_id) - 1 AS row, round(embedding[1], 5) AS first FROM (SELECT vec_id, coalesce(label, -1) AS label, embedding FROM embeddings)")
+def vector_rows(spark, d):
+    path = f"{shared_dir(spark)}/siftwork/vectors-{uuid.uuid4().hex}"
+    rows = t(spark, d, "embeddings").select("vec_id", F.struct(F.coalesce("label", F.lit(-1)).alias("label"), "vec_id").alias("at"), "embedding")
+    sinks.write_vectors(rows, path, "at")
+    return spark.read.parquet(path).select("vec_id", "row", F.round(F.get("embedding", 0), 5).alias("first"))
+
+
 # Profiles
 
 SIX = {"bin_yaw": "l_returnflag", "bin_pitch": "l_linestatus", "bin_eyes": "CAST(l_linenumber AS {s})", "bin_smile": "CAST(l_partkey % 3 AS {s})", "bin_teeth": "CAST(l_suppkey % 2 AS {s})", "bin_light": "CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE CAST(l_orderkey % 5 AS {s}) END"}
@@ -503,6 +528,12 @@ def stride_time(spark, d):
     return timeline.synthetic_time(timeline.stride(t(spark, d, "events"), 30.0, 8.0, "event_id"), "event_id", 30.0, ["user_id"]).select("event_id", F.round("ms", 3).alias("ms"))
 
 
+@query("SELECT l_orderkey, l_linenumber, round((row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1) * (1000.0 / 24), 3) AS ms FROM lineitem")
+def whole_time(spark, d):
+    rows = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.struct("l_orderkey", "l_linenumber").alias("at"))
+    return timeline.synthetic_time(rows, "at", 24.0).select("l_orderkey", "l_linenumber", F.round("ms", 3).alias("ms"))
+
+
 # Texts
 
 

@@ -42,7 +42,10 @@ def rewrite_jsonl(rows: DataFrame, path: str) -> None:
 
 
 def write_vectors(rows: DataFrame, path: str, order: str, vector: str = "embedding") -> None:
-    """row (number in order), and the columns of ``rows``, with the vector as an array column, as Parquet."""
+    """row (number in order, from 0), and the columns of ``rows``, with the vector as an array column, as Parquet.
+
+    Rows are numbered over ranges of the order: no task orders them all.
+    """
     from ..operators.dataset import number_rows
 
     numbered = number_rows(rows, [order], F.lit(-1)).withColumnRenamed("number", "row")
