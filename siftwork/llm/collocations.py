@@ -1,8 +1,8 @@
 """Collocations: phrases that occur often and more often together than their parts would let expect.
 
-1. All phrases of two to ``longest`` words are counted in a sketch: ``ROWS`` rows of counters that stop at the least
-   count that matters. A phrase's smallest counter is an upper bound of its count (up to there), so whatever can be
-   frequent enough is a candidate. Tasks count apart; their counters are added chunk by chunk, in two steps.
+1. All phrases of two to ``longest`` words are counted in a sketch: counters that phrases share by their hashes and that
+   stop at the least count that matters. A phrase's counter is an upper bound of its count (up to there), so whatever can
+   be frequent enough is a candidate. Tasks count apart; their counters are added chunk by chunk, in two steps.
 2. Tasks read the documents again in blocks of ``BLOCK`` bytes. A block's candidates, with a delimiter on either side of
    each word, are compiled into an automaton (``pyahocorasick``); the block's text, delimited alike, is streamed through
    it, and all matches count, overlapping ones too. No count comes from the sketch. So an automaton holds no more
@@ -33,9 +33,9 @@ CUTS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + CUTS, b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(CUTS))
 UNKNOWN = "und"
 #: Bytes of text for which one automaton is compiled, and words whose hashes a task holds.
-BLOCK, HELD_WORDS = 4 << 20, 300_000
+BLOCK, HELD_WORDS = 8 << 20, 300_000
 #: Rows of the sketch; counters of a row at least and at most; bytes of text for a counter; counters of a chunk.
-ROWS, LEAST_WIDTH, MOST_WIDTH, BYTES_PER_COUNTER, CHUNK = 2, 1 << 16, 1 << 25, 24, 1 << 16
+ROWS, LEAST_WIDTH, MOST_WIDTH, BYTES_PER_COUNTER, CHUNK = 1, 1 << 16, 1 << 26, 12, 1 << 16
 #: Phrases that are counted before counters are cut again; a counter of 16 bits holds so many and the least count.
 STEP = 60_000
 #: Parts of a language in which first ranks are taken, and tasks whose counters are added in the first step.
@@ -130,10 +130,11 @@ def sketch(texts: DataFrame, width: int, least: int, longest: int) -> np.ndarray
     schema = "row int, chunk int, part int, data binary"
     found = texts.mapInArrow(count, schema)
     found = found.groupBy("row", "chunk", "part").applyInArrow(add, schema)
-    found = found.groupBy("row", "chunk").applyInArrow(add, schema)
+    found = staged(found.groupBy("row", "chunk").applyInArrow(add, schema), "sketch")
     out = np.zeros((ROWS, width), np.uint8)
     for row, chunk, _, data in zip(*(c.to_pylist() for c in found.toArrow().columns), strict=True):
         out[row, chunk * CHUNK : chunk * CHUNK + size] = np.frombuffer(pa.decompress(data, size, "zstd"), np.uint8)
+    discard(found)
     return out
 
 
