@@ -12,12 +12,15 @@ of the same kinds. The likeness of two fingerprints estimates the share of spans
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix
@@ -180,6 +183,38 @@ def batch_of(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], NAMES)
 
 
+def end_batch(rows: list[list]) -> pa.RecordBatch:
+    types = [pa.int32(), pa.bool_(), pa.int64(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, types, strict=True)], ["part", "is_first", "doc_id", "text"])
+
+
+def place(doc: int | None, h: int) -> int:
+    """A number that rises with the order of documents: ids descending, none last, then a hash of the text."""
+    return ((1 << 64) if doc is None else (1 << 63) - 1 - doc) << 64 | h + (1 << 63)
+
+
+#: Rows sampled for each border between parts.
+SAMPLED = 20
+
+
+def borders(rows: DataFrame, parts: int) -> list[int]:
+    """The first places of all parts but one, from a sample of bounded size of ``rows`` (doc_id, h)."""
+    every = max(1, rows.count() // (SAMPLED * parts))
+    some = sorted(place(*r) for r in rows.select("doc_id", "h").where(F.pmod(F.xxhash64("doc_id", "h"), F.lit(every)) == 0).distinct().limit(8 * SAMPLED * parts).collect())
+    return sorted({some[i * len(some) // parts] for i in range(1, parts)}) if some else []
+
+
+def part_of(edges: list[int]) -> Column:
+    """The part of a document (doc_id, h) between the borders ``edges``."""
+
+    @F.pandas_udf("int")
+    def part(docs: pd.Series, missing: pd.Series, hashes: pd.Series) -> pd.Series:
+        rows = zip(docs.tolist(), missing.tolist(), hashes.tolist(), strict=True)
+        return pd.Series([bisect.bisect_right(edges, place(None if none else d, h)) for d, none, h in rows], dtype="int32")
+
+    return part(F.coalesce("doc_id", F.lit(0).cast("long")), F.col("doc_id").isNull(), "h")
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, common_prefix.
 
@@ -193,30 +228,44 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     Edge cases: null texts count as empty; empty texts are alike; rows without doc_id come last; rows repeated with one
     doc_id follow each other in order of a hash of their texts; a single document is its own next; an empty table gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
-    # Both uses of ``ordered`` read the same shuffle.
-    ordered = rows.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The borders are drawn once, so however often the shuffle is run, a document's part is the same.
+    dealt = rows.withColumn("part", part_of(borders(rows, parts)))
+    ordered = dealt.repartition(parts, "part").sortWithinPartitions("part", F.col("doc_id").desc_nulls_last(), "h")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, before = Fingerprinter(), None
+        of, before, held = Fingerprinter(), None, None
         for batch in batches:
             done = []
-            for row in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                if before is not None:
+            for part, *row in zip(batch.column("part").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if part == held:
                     done.append(of.row(*before, row[1]))
-                before = row
+                before, held = row, part
             yield batch_of(done)
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = last = None
+        last = None
         for batch in batches:
-            if batch.num_rows:
-                first = first or batch.slice(0, 1)
-                last = batch.slice(batch.num_rows - 1)
-        if first:
-            (a,), (b,) = first.to_pylist(), last.to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([a["part"], b["part"]], pa.int32()), pa.array([True, False]), pa.array([None, b["doc_id"]], pa.int64()), pa.array([a["text"], b["text"]])], ["part", "is_first", "doc_id", "text"])
+            rows = [[], [], [], []]
+
+            def put(row: dict, is_first: bool, rows: list[list] = rows) -> None:
+                for column, value in zip(rows, (row["part"], is_first, None if is_first else row["doc_id"], row["text"]), strict=True):
+                    column.append(value)
+
+            change = np.flatnonzero(np.diff(batch.column("part").to_numpy())) + 1
+            for start, end in itertools.pairwise([0, *change.tolist(), batch.num_rows]):
+                if start == end:
+                    continue
+                (first,) = batch.slice(start, 1).to_pylist()
+                if last is None or first["part"] != last["part"]:
+                    if last is not None:
+                        put(last, False)
+                    put(first, True)
+                (last,) = batch.slice(end - 1, 1).to_pylist()
+            yield end_batch(rows)
+        if last is not None:
+            yield end_batch([[last["part"]], [False], [last["doc_id"]], [last["text"]]])
 
     def border(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Fingerprinter()
@@ -224,9 +273,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             yield batch_of([of.row(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "last", "following")), strict=True)])
 
     # Partitions stand in a ring of their numbers; a partition's last document and the next one's first meet by the number.
-    found = ordered.mapInArrow(ends, "part int, is_first boolean, doc_id long, text string")
-    ring = F.broadcast(ordered.select("part").distinct().agg(F.sort_array(F.collect_list("part")).alias("parts")))  # as many numbers as partitions
+    found = ordered.drop("h").mapInArrow(ends, "part int, is_first boolean, doc_id long, text string")
+    ring = F.broadcast(dealt.select("part").distinct().agg(F.sort_array(F.collect_list("part")).alias("parts")))  # as many numbers as partitions
     at = F.array_position("parts", F.col("part")) - 1
     before = F.when(F.col("is_first"), F.pmod(at - 1, F.size("parts"))).otherwise(at)
     met = found.crossJoin(ring).withColumn("spot", before).groupBy("spot").agg(F.max(F.when(~F.col("is_first"), F.struct("doc_id", "text"))).alias("last"), F.max(F.when(F.col("is_first"), F.col("text"))).alias("following"))
-    return ordered.select("doc_id", "text").mapInArrow(pairs, SCHEMA).union(met.select("last.doc_id", F.col("last.text").alias("last"), "following").mapInArrow(border, SCHEMA))
+    return ordered.select("part", "doc_id", "text").mapInArrow(pairs, SCHEMA).union(met.select("last.doc_id", F.col("last.text").alias("last"), "following").mapInArrow(border, SCHEMA))
