@@ -295,8 +295,8 @@ def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 continue
             names = b.schema.names
             texts = utf8(b.column(names.index("text")))
-            lang = b.column(names.index("lang")).to_pylist() if "lang" in names else [None] * b.num_rows
-            source = b.column(names.index("source")).to_pylist() if "source" in names else [None] * b.num_rows
+            lang = b.column(names.index("lang")).cast(pa.string()).to_pylist() if "lang" in names else [None] * b.num_rows
+            source = b.column(names.index("source")).cast(pa.string()).to_pylist() if "source" in names else [None] * b.num_rows
             rows = list(zip(texts, lang, source, strict=True))
             keep = [model.scores(np.stack([content_features(t or b"") for t, _, _ in rows[i : i + 512]]), np.stack([metadata_features(t or b"", x, s) for t, x, s in rows[i : i + 512]]))[0] >= KEEP_FROM for i in range(0, len(rows), 512)]
             yield b.filter(pa.array(np.concatenate(keep)))
