@@ -180,6 +180,23 @@ def mixed(text: str, move: Callable[[int, int, str], int], kind: str) -> str:
     return "".join(out)
 
 
+# The lengths of account numbers by country.
+IBAN_LENGTHS = dict((x[:2], int(x[2:])) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 "
+    "LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SD18 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+).split())
+
+
+def iban_end(m: re.Match) -> int:
+    """Where the number ends that ``m`` found: after as many characters as its country's numbers have, without what follows them."""
+    left = IBAN_LENGTHS.get(m[0][:2], len(m[0]))
+    for at, c in enumerate(m[0]):
+        left -= c != " "
+        if not left:
+            return m.start() + at + 1
+    return m.end()
+
+
 def iban(form: str, move: Callable[[int, int, str], int]) -> str | None:
     plain = form.replace(" ", "")
     number = lambda s: int("".join(str(int(c, 36)) for c in s))
@@ -216,8 +233,8 @@ CLOCK = re.compile(r"T[0-9]{2}:?[0-9]{2}")
 
 
 def alone(text: str, start: int, end: int) -> bool:
-    """Whether text[start:end] is not a part of a longer word or number."""
-    if start and (TOKEN.match(text[start - 1]) or text[start - 1] in ".-+/@" and start > 1 and TOKEN.match(text[start - 2])):
+    """Whether text[start:end] is not a part of a longer word or number; signs join numbers, not a word and a number."""
+    if start and (TOKEN.match(text[start - 1]) or text[start - 1] == "@" or text[start - 1] in ".-+/" and start > 1 and text[start - 2].isdigit()):
         return False
     return not (end < len(text) and (TOKEN.match(text[end]) or text[end] in ".-/@" and end + 1 < len(text) and text[end + 1].isdigit()))
 
@@ -233,14 +250,16 @@ def pseudonymised(text: str, move: Callable[[int, int, str], int]) -> tuple[str,
         while m := pattern.search(text, at):
             at = m.end()
             kind = kinds[0] if len(kinds) == 1 else kinds[GROUPS.index(next(g for g in GROUPS if m[g] is not None))]
-            whole = alone(text, m.start(), len(text) if kind == "date" and CLOCK.match(text, m.end()) else m.end())
-            new = RULES[kind](m[0], move) if whole else None
+            end = iban_end(m) if kind == "iban" else m.end()
+            whole = alone(text, m.start(), len(text) if kind == "date" and CLOCK.match(text, end) else end)
+            new = RULES[kind](text[m.start() : end], move) if whole else None
             if new is None:
                 # Another value may begin behind the first number of this one.
-                number = DIGITS.search(text, m.start())
-                at = min(m.end(), number.end()) if number else m.end()
+                number = DIGITS.search(text, m.start(), m.end())
+                at = number.end() if number else m.end()
             else:
-                found.append((m.start(), m.end(), kind, new))
+                found.append((m.start(), end, kind, new))
+                at = end
     counts = dict.fromkeys(KINDS, 0)
     out, done = [], 0
     for start, end, kind, new in sorted(found):
