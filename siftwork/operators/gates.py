@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry
 from .quantiles import exact_quantiles
+from .vectors import SENT
 
 # Defaults of the gates.
 DEFAULTS = {
@@ -55,13 +56,16 @@ def gate_frames(frames: DataFrame, references: DataFrame | None = None, **option
     """Chooses a face in each frame and gates it.
 
     ``frames``: frame_idx, width, height (double), faces (array of box, kps, det_score, embedding), and optionally
-    brightness and focus of the crop. ``references``: embedding, a few vectors. Adds face, sim, cx, cy, side, crop,
+    brightness and focus of the crop. ``references``: embedding, vectors of SENT bytes at most. Adds face, sim, cx, cy, side, crop,
     face_frac, up and reject_reason (null: kept).
     """
     o = DEFAULTS | options
     w, h, faces = F.col("width"), F.col("height"), F.col("faces")
     if references is not None:
-        vectors = references.agg(F.collect_list("embedding").alias("__refs"))  # reference images of one identity: a few rows
+        # Reference images of one identity: a few rows, which is checked.
+        if (size := references.agg(F.sum(F.size("embedding") * 8 + 16)).first()[0] or 0) > SENT:
+            raise ValueError(f"references take {size} bytes, {SENT} at most go with each frame; score faces against more of them by best_reference first")
+        vectors = references.agg(F.collect_list("embedding").alias("__refs"))
         rows = frames.crossJoin(F.broadcast(vectors))
         on = (F.size("__refs") > 0) & F.lit(o["sim"] > 0)
         known = F.filter(faces, lambda f: f["embedding"].isNotNull())

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import bins, parsing, vectors
-from .operators import dataset, fusion, gates, profile, quantiles, sampling, selection, timeline
+from .operators import dataset, fusion, gates, overlaps, profile, quantiles, sampling, selection, timeline
 from .operators import vectors as vector_ops
 from .plans import workflows
 from .session import shared_dir
@@ -88,6 +88,15 @@ def vector_best_ref(spark, d):
     return vector_ops.best_reference(rows, refs).select("vec_id", r6("best").alias("best"))
 
 
+@query("""
+    WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings WHERE embedding IS NOT NULL), r AS (SELECT list_transform(v, lambda x: -x) AS r FROM e)
+    SELECT vec_id, round(max(list_dot_product(v, r)), 6) AS best FROM e, r GROUP BY vec_id""")
+def vector_best_of_many(spark, d):
+    rows = t(spark, d, "embeddings").where("embedding is not null")
+    # As many references as rows, in tiles.
+    return vector_ops.best_reference(rows, rows.select(F.transform("embedding", lambda x: -x).alias("embedding")), sent=0, tile=1 << 20).select("vec_id", r6("best").alias("best"))
+
+
 @query("""
     WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), e AS (SELECT vec_id, v, list_transform(v, lambda x: exp(x - list_max(v))) AS e FROM s)
     SELECT vec_id, list_position(v, list_max(v)) - 1 AS top, round(list_max(e) / list_sum(e), 6) AS probability FROM e""")
@@ -628,6 +637,34 @@ def gate_reasons(spark, d):
     return gates.reject_counts(gates.gate_frames(frames, anchor="box", min_crop_px=256))
 
 
+DETECTIONS = "event_id AS id, event_id // 12 AS frame, (event_id * 37) % 1920 AS x, (event_id * 53) % 1080 AS y, CASE WHEN event_id % 50 = 0 THEN 1500.0 ELSE 20.0 + (event_id * 17) % 300 END AS side"
+
+
+def detections(spark: SparkSession, d: str) -> DataFrame:
+    rows = t(spark, d, "events").selectExpr("event_id AS id", "event_id div 12 AS frame", "(event_id * 37) % 1920 AS x", "(event_id * 53) % 1080 AS y", "CASE WHEN event_id % 50 = 0 THEN 1500.0D ELSE 20.0D + (event_id * 17) % 300 END AS side")
+    return rows.select("id", "frame", "x", "y", "side", *(F.expr(f"{v} {s} side / 2").alias(f"{v}{i}") for i, s in ((1, "-"), (2, "+")) for v in "xy"))
+
+
+@query(f"""
+    WITH b AS (SELECT {DETECTIONS} FROM events)
+    SELECT a.frame, a.id AS face, b.id AS other FROM b a JOIN b ON a.frame = b.frame AND a.id <> b.id WHERE b.x BETWEEN a.x - a.side * 0.84 AND a.x + a.side * 0.84 AND b.y BETWEEN a.y - a.side * 0.84 AND a.y + a.side * 0.84 AND b.side >= 0.25 * a.side""")
+def crowded_faces(spark, d):
+    rows = detections(spark, d)
+    squares = rows.select("frame", F.col("id").alias("face"), F.col("id").alias("own"), F.col("x").alias("cx"), F.col("y").alias("cy"), (F.col("side") * 1.68).alias("side"))
+    return overlaps.crowded(rows.select("frame", F.col("id").alias("other"), *overlaps.BOX), squares, ["frame"], "other", "face", 160.0)
+
+
+@query("""
+    WITH s AS (SELECT user_id % 4 AS camera, event_id AS id, (event_id * 37) % 1920 AS x, (event_id * 53) % 1080 AS y, CASE WHEN event_id % 50 = 0 THEN 400.0 ELSE 2.0 + (event_id * 17) % 30 END AS side FROM events),
+         n AS (SELECT camera, id, x - side / 2 AS x1, y - side / 2 AS y1, x + side / 2 AS x2, y + side / 2 AS y2 FROM s)
+    SELECT camera, a.id AS a, b.id AS b FROM n a JOIN n b USING (camera) WHERE a.id < b.id AND a.x1 <= b.x2 AND b.x1 <= a.x2 AND a.y1 <= b.y2 AND b.y1 <= a.y2""")
+def touching_boxes(spark, d):
+    rows = t(spark, d, "events").selectExpr("user_id % 4 AS camera", "event_id AS id", "(event_id * 37) % 1920 AS x", "(event_id * 53) % 1080 AS y", "CASE WHEN event_id % 50 = 0 THEN 400.0D ELSE 2.0D + (event_id * 17) % 30 END AS side")
+    # Four planes for all frames: cells hold many boxes and are split.
+    boxes = rows.select("camera", "id", *(F.expr(f"{v} {s} side / 2").alias(f"{v}{i}") for i, s in ((1, "-"), (2, "+")) for v in "xy"))
+    return overlaps.touching(boxes.withColumnRenamed("id", "a"), boxes.withColumnRenamed("id", "b"), ["camera"], "a", "b", 20.0, part=64).where("a < b")
+
+
 @query("""
     WITH e AS (SELECT lpad(CAST(event_id AS VARCHAR), 9, '0') AS file, event_id, value, CASE WHEN event_id % 3 = 0 THEN (value - 245) / 200 * 180.0 / pi() ELSE (value - 245) / 3 END AS yaw, (event_id % 41) - 20.0 AS pitch, (event_id % 61 - 30) / 100.0 * 180.0 / pi() AS gx,
                       (event_id % 21) / 10.0 AS a45, (event_id % 17) / 10.0 AS a25, (event_id % 15) / 10.0 AS a12, CASE WHEN event_id % 5 <> 0 THEN value / 500 END AS id FROM events),
