@@ -33,11 +33,9 @@ CUTS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + CUTS, b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(CUTS))
 UNKNOWN = "und"
 #: Bytes of text for which one automaton is compiled, and words whose hashes a task holds.
-BLOCK, HELD_WORDS = 8 << 20, 300_000
+BLOCK, HELD_WORDS = 6 << 20, 300_000
 #: Rows of the sketch; counters of a row at least and at most; bytes of text for a counter; counters of a chunk.
 ROWS, LEAST_WIDTH, MOST_WIDTH, BYTES_PER_COUNTER, CHUNK = 1, 1 << 16, 1 << 26, 12, 1 << 16
-#: Phrases that are counted before counters are cut again; a counter of 16 bits holds so many and the least count.
-STEP = 60_000
 #: Parts of a language in which first ranks are taken, and tasks whose counters are added in the first step.
 PARTS, FAN = 64, 256
 A, B = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xD1B54A32D192ED03)
@@ -97,25 +95,23 @@ def blocks(batches: Iterator[pa.RecordBatch], hashes: WordHashes) -> Iterator[tu
 
 
 def sketch(texts: DataFrame, width: int, least: int, longest: int) -> np.ndarray:
-    """Counters (row x counter, up to ``least``) of the phrases of ``texts`` (lang, text).
+    """A bit for each counter (row x counter / 8) of the phrases of ``texts`` (lang, text): whether it has reached ``least``.
 
-    The driver gets ROWS * width bytes, and width is at most MOST_WIDTH.
+    The driver gets ROWS * width bytes in chunks, and width is at most MOST_WIDTH; tasks get an eighth of that.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, any_word = WordHashes(HELD_WORDS), np.zeros((ROWS, width), np.uint16), False
+        hashes, held, any_word = WordHashes(HELD_WORDS), np.zeros((ROWS, width), np.uint8), False
         for _, seed, pieces in blocks(batches, hashes):
             for _, _, found in phrase_hashes(hashes.of(pieces.words()), pieces.left(), seed, longest):
                 any_word |= bool(len(found))
                 for row, at in enumerate(counters(found, width)):
-                    for s in range(0, len(at), STEP):
-                        some = at[s : s + STEP]
-                        np.add.at(held[row], some, np.uint16(1))
-                        held[row][some] = np.minimum(held[row][some], least)
+                    some, n = np.unique(at, return_counts=True)
+                    held[row][some] = np.minimum(held[row][some] + np.minimum(n, least), least)
         part = TaskContext.get().partitionId() // FAN
         for row in range(ROWS if any_word else 0):
             for at in range(0, width, CHUNK):
-                data = held[row, at : at + CHUNK].astype(np.uint8)
+                data = held[row, at : at + CHUNK]
                 if data.any():
                     yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([at // CHUNK], pa.int32()), pa.array([part], pa.int32()), pa.array([pa.compress(data.tobytes(), "zstd", asbytes=True)], pa.binary())], ["row", "chunk", "part", "data"])
 
@@ -131,9 +127,9 @@ def sketch(texts: DataFrame, width: int, least: int, longest: int) -> np.ndarray
     found = texts.mapInArrow(count, schema)
     found = found.groupBy("row", "chunk", "part").applyInArrow(add, schema)
     found = staged(found.groupBy("row", "chunk").applyInArrow(add, schema), "sketch")
-    out = np.zeros((ROWS, width), np.uint8)
+    out = np.zeros((ROWS, width // 8), np.uint8)
     for row, chunk, _, data in zip(*(c.to_pylist() for c in found.toArrow().columns), strict=True):
-        out[row, chunk * CHUNK : chunk * CHUNK + size] = np.frombuffer(pa.decompress(data, size, "zstd"), np.uint8)
+        out[row, chunk * CHUNK // 8 : (chunk * CHUNK + size) // 8] = np.packbits(np.frombuffer(pa.decompress(data, size, "zstd"), np.uint8) >= least, bitorder="little")
     discard(found)
     return out
 
@@ -152,14 +148,14 @@ def matches(pieces: Pieces, phrases: list[bytes]) -> np.ndarray:
     return np.bincount(np.fromiter((at for _, at in automaton.iter(text)), np.int64), minlength=len(phrases))
 
 
-def counts_of(pieces: Pieces, seed: int, hashes: WordHashes, table: np.ndarray, least: int, longest: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def counts_of(pieces: Pieces, seed: int, hashes: WordHashes, table: np.ndarray, longest: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(phrases, numbers of words, counts) of the candidates among the pieces' phrases."""
-    words, width = pieces.words(), table.shape[1]
+    words, width = pieces.words(), table.shape[1] * 8
     found, flagged, sizes = [], [], []
     for k, starts, of in phrase_hashes(hashes.of(words), pieces.left(), seed, longest):
         can = np.ones(len(of), bool)
         for row, at in enumerate(counters(of, width)):
-            can &= table[row][at] >= least
+            can &= (table[row][at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
         flagged.append((k, starts[can]))
         first = starts[can][np.unique(of[can], return_index=True)[1]]
         found += spelled(words, k, first.tolist())
@@ -174,14 +170,14 @@ def counts_of(pieces: Pieces, seed: int, hashes: WordHashes, table: np.ndarray,
     return found, np.array(sizes, np.int64), n
 
 
-def counted(texts: DataFrame, table: Broadcast, least: int, longest: int) -> DataFrame:
+def counted(texts: DataFrame, table: Broadcast, longest: int) -> DataFrame:
     """lang, words, phrase, f: counts by block of candidates, of single words, and (words 0) of all words."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes(HELD_WORDS)
         for lang, seed, pieces in blocks(batches, hashes):
             single = Counter(itertools.chain.from_iterable(pieces.lines))
-            phrases, sizes, n = counts_of(pieces, seed, hashes, table.value, least, longest)
+            phrases, sizes, n = counts_of(pieces, seed, hashes, table.value, longest)
             flat = [*single, b"", *phrases]
             number = np.concatenate([np.ones(len(single), np.int64), [0], sizes])
             f = np.concatenate([np.fromiter(single.values(), np.int64, len(single)), [sum(single.values())], n])
@@ -218,7 +214,7 @@ def collocations(docs: DataFrame, least: int = 10, longest: int = 3, inside: int
         size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
         width = min(MOST_WIDTH, max(LEAST_WIDTH, 1 << (size // BYTES_PER_COUNTER).bit_length()))
     table = context.broadcast(sketch(texts, width, least, longest))
-    sums = counted(texts, table, least, longest).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where((F.col("words") == 0) | (F.col("f") >= least))
+    sums = counted(texts, table, longest).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where((F.col("words") == 0) | (F.col("f") >= least))
     counts = staged(sums.select("lang", "words", F.col("phrase").cast("string").alias("phrase"), "f"), "phrase-counts")
     table.destroy()
     candidates = counts.where("words >= 2").select("lang", "words", "phrase", F.col("f").alias("a"))
