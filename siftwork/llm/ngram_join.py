@@ -48,7 +48,7 @@ MANY = 1 << 40
 #: Pages of a node; each band of sizes, whose documents share pages, is this much wider than the one before.
 NODE, BAND = 32, 1.05
 #: Bytes of the sets of a part of a component; shingles and sets that are compared at once.
-PART, WIDE, TALL = 4 << 20, 1 << 12, 1 << 9
+PART, WIDE, TALL = 16 << 20, 1 << 12, 1 << 9
 #: Parts of the key space that are shuffled one after another.
 SLICES = 2
 #: Keys that must speak for a pair to be verified before pages are made, but for sets of fewer than FEW shingles.
@@ -355,7 +355,7 @@ def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
         right = held(ys, some).T
         for at in range(0, len(xs), TALL):
             out[at : at + TALL] += held(xs[at : at + TALL], some) @ right
-    out = np.rint(out).astype(np.int64)
+    np.rint(out, out=out)
     if alone is not None:
         np.fill_diagonal(out, alone)
     return out
@@ -379,9 +379,12 @@ def count_links(groups: DataFrame, docs: DataFrame, k: int, percent: int) -> Dat
                     continue
                 (sa, na, wa), (sb, nb, wb) = ((sets, np.array([len(s) for s in sets]), np.array([x["n_docs"] for x in m])) for m, sets in ((m, [np.frombuffer(x["s"], np.uint64) for x in m]) for m in (a, b)))
                 sb = sa if lo == hi else sb
-                common = overlaps(sa, sb)
-                links = common * (100 + percent) >= percent * (na[:, None] + nb)
-                for m, sums in ((a, links @ wb), (b, wa @ links))[: 1 + (lo != hi)]:
+                common, of_a, of_b = overlaps(sa, sb), [], np.zeros(len(b), np.int64)
+                for at in range(0, len(a), TALL):
+                    links = common[at : at + TALL].astype(np.int64) * (100 + percent) >= percent * (na[at : at + TALL, None] + nb)
+                    of_a.append(links @ wb)
+                    of_b += wa[at : at + TALL] @ links
+                for m, sums in ((a, np.concatenate(of_a)), (b, of_b))[: 1 + (lo != hi)]:
                     digests.extend(x["digest"] for x in m)
                     totals.extend(sums.tolist())
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(totals, pa.int64())], ["digest", "n"])
