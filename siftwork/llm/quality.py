@@ -166,6 +166,15 @@ def matrix(column: pa.Array | list[bytes]) -> np.ndarray:
 
 
 VIEWS = ("content", "metadata")
+#: Rows whose features stand in a matrix at once.
+SLICE = 1_024
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most SLICE rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
 
 
 def moments(features: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -173,7 +182,7 @@ def moments(features: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(2 * (CONTENT + METADATA)), 0
-        for batch in batches:
+        for batch in slices(batches):
             x = np.concatenate([matrix(batch.column(c)) for c in VIEWS], axis=1).astype(np.float64)
             total += np.concatenate([x.sum(axis=0), (x * x).sum(axis=0)])
             n += len(x)
@@ -201,7 +210,7 @@ def pseudo_labels(features: DataFrame, most: int) -> Callable:
 
     def of(views: list[View], calibration: list[np.ndarray], share: float) -> list[tuple[np.ndarray, np.ndarray]]:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 found = [(v, y, len(at)) for v, y, at in confident(batch, views, calibration)]
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in range(3)], ["view", "label", "n"])
 
@@ -209,7 +218,7 @@ def pseudo_labels(features: DataFrame, most: int) -> Callable:
         part = {k: most * (share if k[1] else 1 - share) / n for k, n in counts.items() if n}
 
         def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 place, rows = batch.column("place").to_numpy(), []
                 for v, y, at in confident(batch, views, calibration):
                     at = at[place[at] < part.get((v, y), 0)]
