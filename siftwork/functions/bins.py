@@ -89,13 +89,17 @@ def linear(srgb: Column) -> Column:
     return F.when(srgb <= 0.04045, srgb / 12.92).otherwise(F.pow((srgb + 0.055) / 1.055, F.lit(2.4)))
 
 
+# McCamy's cubic (1992) of the inverse slope n from the epicentre (0.3320, 0.1858), and its range.
+CCT_EPICENTRE, CCT_CUBIC, CCT_RANGE = (0.3320, 0.1858), (-449.0, 3525.0, -6823.3, 5520.33), (1000.0, 25000.0)
+
+
 def colour_temperature(r: Column, g: Column, b: Column) -> Column:
-    """Kelvin of a mean linear colour by the cubic of its chromaticity, within 1000..25000."""
+    """Kelvin of a mean linear colour by the cubic of its chromaticity."""
     x, y, z = (reduce(lambda s, t: s + t, (F.lit(m) * c for m, c in zip(row, (r, g, b), strict=True))) for row in RGB_TO_XYZ)
     whole = x + y + z + 1e-12
-    n = (x / whole - 0.3320) / (F.lit(0.1858) - y / whole - 1e-9)
-    cct = 449.0 * n * n * n + 3525.0 * n * n + 6823.3 * n + 5520.33
-    return F.greatest(F.lit(1000.0), F.least(F.lit(25000.0), cct))
+    n = (x / whole - CCT_EPICENTRE[0]) / (y / whole - CCT_EPICENTRE[1] + 1e-9)
+    c3, c2, c1, c0 = CCT_CUBIC
+    return clip(c3 * n * n * n + c2 * n * n + c1 * n + c0, *CCT_RANGE)
 
 
 def temperature_bin(cct: Column) -> Column:

@@ -121,7 +121,7 @@ def bar(percentage: Column, width: int = 16) -> Column:
     return F.rpad(F.repeat(F.lit("█"), filled), width, " ")
 
 
-#: Cells of a fine bar that is filled in part.
+# Cells of a fine bar that is filled in part.
 PARTIAL_CELLS = "▏▎▍▌▋▊▉"
 
 

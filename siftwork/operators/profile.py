@@ -54,11 +54,6 @@ def distinct_keys(rows: DataFrame, key: str) -> DataFrame:
     return rows.agg(F.count_distinct(key).alias("keys"))
 
 
-def _bar(percentage: float) -> str:
-    filled = round(BAR_WIDTH * max(0.0, min(100.0, percentage)) / 100)
-    return "█" * filled + " " * (BAR_WIDTH - filled)
-
-
 def render(histogram: list[tuple[str, str, int]], processed: int, total: int, fails: int, mode: str = "TAG", fps: int | None = None, eta: str | None = None, duplicates: int | None = None, row_duplicates: dict[tuple[str, str], int] | None = None) -> str:
     """The bin table as text. ``histogram``: (section, label, count), a row for each label of the domain, in order.
 
@@ -69,7 +64,8 @@ def render(histogram: list[tuple[str, str, int]], processed: int, total: int, fa
 
     def line(name: str, width: int, count: int, tail: str) -> str:
         share = 100.0 * count / whole
-        return f"{name:<{width}}|{_bar(share)}| {share:6.1f}% {count}{tail}"
+        cells = "█" * round(BAR_WIDTH * min(100.0, share) / 100)
+        return f"{name:<{width}}|{cells:<{BAR_WIDTH}}| {share:6.1f}% {count}{tail}"
 
     extra = f" DUPE {duplicates}" if matching and duplicates is not None else ""
     head = line(mode.upper(), 11, processed, f"/{whole} FAIL {fails}{extra}" + (f" {fps} FPS   ETA {eta}" if fps is not None and eta else ""))

@@ -18,7 +18,7 @@ from .operators import vectors as vector_ops
 from .plans import workflows
 from .session import shared_dir
 from .sources import readers, sinks
-from .streaming import live
+from .streaming import live, merge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -729,10 +729,33 @@ def stream_windows(spark, d):
     counts = live.windowed_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "3650 days", "1 day", ["event_type"])
     # In update mode each batch holds the windows that changed; the last batch of a window counts.
     keep = lambda batch, i: batch.select(F.unix_seconds("window.start").alias("start"), "event_type", "n").write.mode("overwrite").parquet(f"{root}/out/batch={i}")
-    counts.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint").trigger(once=True).start().awaitTermination()
+    counts.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{root}/out").groupBy("start", "event_type").agg(F.max_by("n", "batch").alias("n"))
 
 
+@query("""
+    WITH p AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events WHERE event_type <> 'view'),
+         l AS (SELECT user_id, event_id, value >= 50 AS took, round(value, 1) AS ms FROM events), g AS (SELECT *, coalesce(count_if(NOT took) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS n FROM l),
+         c AS (SELECT user_id, n, event_id, took, last_value(CASE WHEN took THEN ms END IGNORE NULLS) OVER (PARTITION BY user_id, n ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS ms FROM g)
+    SELECT CAST(user_id AS VARCHAR) AS stream, n AS frame_no, p.event_id AS packet, c.event_id::DOUBLE AS fit_error, c.ms AS proc_ms FROM p JOIN c USING (user_id, n) WHERE NOT took""")
+def stream_merge(spark, d):
+    root = f"{shared_dir(spark)}/siftwork/merge-{uuid.uuid4().hex}"
+    events = spark.readStream.schema(t(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    part = events.select(F.col("user_id").alias("stream"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    packets = part.where("event_type <> 'view'").select("stream", "seq", "ts", F.col("seq").cast("string").cast("binary").alias("packet"))
+    took = F.concat(F.lit("Took "), F.round("value", 1).cast("string"), F.lit("ms (detect: 1ms, crop: 1ms, track: 1ms, 3D points: 1ms)"))
+    line = F.when(F.col("value") >= 50, took).otherwise(F.concat(F.lit("Confidence[0]: 0.5 / 3D fitting error: "), F.col("seq").cast("string"), F.lit(" / Eyes: O, C")))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, merge.STATE_STORE)
+    try:
+        frames = merge.merged(packets, part.select("stream", "seq", "ts", line.alias("line")), late="3650 days")
+        live.each_batch(frames, lambda batch, i: batch.write.mode("overwrite").parquet(f"{root}/out/batch={i}"), f"{root}/checkpoint").awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    return spark.read.parquet(f"{root}/out").select("stream", "frame_no", F.col("packet").cast("string").cast("long").alias("packet"), "fit_error", "proc_ms")
+
+
 @query("SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ordinal FROM events")
 def stream_ordinals(spark, d):
     root = f"{shared_dir(spark)}/siftwork/ordinals-{uuid.uuid4().hex}"

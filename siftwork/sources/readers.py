@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -115,14 +114,9 @@ def decode_packet(packets: Column) -> Column:
     return fields(packets)
 
 
-def pack(timestamp: float, face_id: int, size: tuple[float, float], blink: tuple[float, float], success: int, pnp_error: float, quat: tuple, euler: tuple, move: tuple) -> bytes:
-    """A packet with these fields, for tests and simulated trackers."""
-    return struct.pack("<diffffBf4f3f3f", timestamp, face_id, *size, *blink, success, pnp_error, *quat, *euler, *move)
-
-
 # The two kinds of lines of a tracker's log.
 TOOK = r"(?i)Took\s+([0-9.]+)ms\s*\(\s*detect:\s*([0-9.]+)ms,\s*crop:\s*([0-9.]+)ms,\s*track:\s*([0-9.]+)ms,\s*3D points:\s*([0-9.]+)ms\)"
-CONFIDENCE = r"(?i)Confidence\[[0-9]+\]\s*:\s*([0-9.]+)\s*/\s*3D\s+fitting\s+error:\s*([0-9.]+)\s*/\s*Eyes:\s*([OC]),\s*([OC])"
+CONFIDENCE = r"(?i)Confidence\[\d+\]\s*:\s*([0-9.]+)\s*/\s*3D\s+fitting\s+error:\s*([0-9.]+)\s*/\s*Eyes:\s*([OC]),\s*([OC])"
 
 
 def log_fields(line: Column) -> dict[str, Column]:

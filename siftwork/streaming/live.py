@@ -5,10 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..sources.readers import log_fields
@@ -59,107 +57,11 @@ def ordinals(stream: DataFrame, key: str, order: str, columns: list[str]) -> Dat
     return stream.select(key, order, *columns).groupBy(key).applyInPandasWithState(number, schema, "n long", "append", GroupStateTimeout.NoTimeout)
 
 
-class CarryTiming(StatefulProcessor):
-    """Joins a log's lines of two kinds: a timing line is kept until the next confidence line, which takes it and a place."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.place = handle.getValueState("place", "n long")
-        self.timing = handle.getValueState("timing", "ms double")
-
-    def handleInputRows(self, key, rows, timerValues):
-        n = self.place.get()[0] if self.place.exists() else 0
-        ms = self.timing.get()[0] if self.timing.exists() else None
-        out = []
-        for r in pd.concat(list(rows)).sort_values("line_no").itertuples():
-            if r.kind == "took":
-                ms = r.proc_ms
-            elif r.kind == "confidence":
-                n += 1
-                out.append((key[0], n, r.confidence, r.fit_error, ms))
-                ms = None
-        self.place.update((n,))
-        if ms is None:
-            self.timing.clear()
-        else:
-            self.timing.update((ms,))
-        yield pd.DataFrame(out, columns=["stream", "frame_no", "confidence", "fit_error", "proc_ms"])
-
-    def close(self) -> None:
-        pass
-
-
-def tracker_lines(lines: DataFrame) -> DataFrame:
-    """stream, frame_no, confidence, fit_error, proc_ms of a stream of log lines (stream, line_no, line)."""
-    parsed = lines.select("stream", "line_no", *(c.alias(n) for n, c in log_fields(F.col("line")).items() if n in ("kind", "proc_ms", "confidence", "fit_error"))).where("kind is not null")
-    return parsed.groupBy("stream").transformWithStateInPandas(CarryTiming(), "stream string, frame_no long, confidence double, fit_error double, proc_ms double", "Append", "None")
-
-
 def tracker_lines_batch(lines: DataFrame) -> DataFrame:
-    """The same of a whole log: a confidence line takes the last timing line since the confidence line before."""
-    from pyspark.sql import Window
-
+    """stream, frame_no, confidence, fit_error, proc_ms of whole logs (stream, line_no, line): a confidence line takes the last timing line since the confidence line before. ``merge.merged`` does so for a stream."""
     parsed = lines.select("stream", "line_no", *(c.alias(n) for n, c in log_fields(F.col("line")).items() if n in ("kind", "proc_ms", "confidence", "fit_error"))).where("kind is not null")
     spot = Window.partitionBy("stream").orderBy("line_no")
     before = F.coalesce(F.sum((F.col("kind") == "confidence").cast("int")).over(spot.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     grouped = parsed.withColumn("frame_no", before + 1)
     inside = Window.partitionBy("stream", "frame_no").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     return grouped.withColumn("proc_ms", F.last("proc_ms", ignorenulls=True).over(inside)).where("kind = 'confidence'").select("stream", F.col("frame_no").cast("long"), "confidence", "fit_error", "proc_ms")
-
-
-class DatagramSource(DataSource):
-    """``readStream.format("datagrams")``: packets that arrive at a local UDP port (option port; optional option seconds).
-
-    A batch holds what arrived since the one before; a socket cannot be read again, so this is for live signals. Land
-    them as files where each must be kept.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "datagrams"
-
-    def schema(self) -> str:
-        return "ordinal long, packet binary"
-
-    def streamReader(self, schema) -> DatagramReader:
-        return DatagramReader(int(self.options["port"]))
-
-
-class Datagrams(InputPartition):
-    def __init__(self, first: int, packets: list[bytes]):
-        super().__init__(first)
-        self.first, self.packets = first, packets
-
-
-class DatagramReader(DataSourceStreamReader):
-    def __init__(self, port: int):
-        self.port, self.got, self.socket, self.start = port, [], None, 0
-
-    def initialOffset(self) -> dict:
-        return {"n": 0}
-
-    def drain(self) -> None:
-        import socket
-
-        if self.socket is None:
-            self.socket = socket.socket(socket.AF_INET, socket.SOCK_DGRAM)
-            self.socket.bind(("127.0.0.1", self.port))
-            self.socket.setblocking(False)
-        while True:
-            try:
-                self.got.append(self.socket.recv(65535))
-            except BlockingIOError:
-                return
-
-    def latestOffset(self) -> dict:
-        self.drain()
-        return {"n": self.start + len(self.got)}
-
-    def partitions(self, start: dict, end: dict) -> list[Datagrams]:
-        return [Datagrams(start["n"], self.got[start["n"] - self.start : end["n"] - self.start])]
-
-    def commit(self, end: dict) -> None:
-        self.got = self.got[end["n"] - self.start :]
-        self.start = end["n"]
-
-    def read(self, partition: Datagrams) -> Iterator[tuple]:
-        yield from ((partition.first + i, p) for i, p in enumerate(partition.packets))

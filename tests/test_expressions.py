@@ -16,6 +16,11 @@ def values(spark, expression, rows, schema):
     return [r[0] for r in table.orderBy("i").select(expression.alias("v")).collect()]
 
 
+def packet(timestamp, face_id, size, blink, success, pnp_error, quat, euler, move):
+    """A tracker's packet with these fields."""
+    return struct.pack("<diffffBf4f3f3f", timestamp, face_id, *size, *blink, success, pnp_error, *quat, *euler, *move)
+
+
 NAN, INF = float("nan"), float("inf")
 
 
@@ -104,7 +109,7 @@ def test_geometry(spark):
 
 
 def test_packets(spark):
-    good = readers.pack(1.5, 2, (640.0, 480.0), (0.5, 0.25), 1, 0.125, (0, 0, 0, 1), (10.0, -5.0, 2.0), (1.0, 2.0, 3.0))
+    good = packet(1.5, 2, (640.0, 480.0), (0.5, 0.25), 1, 0.125, (0, 0, 0, 1), (10.0, -5.0, 2.0), (1.0, 2.0, 3.0))
     assert len(good) == struct.calcsize("<diffffBf4f3f3f") == readers.PACKET_BYTES
     rows = values(spark, readers.decode_packet(F.col("p")), [(good,), (good[:72],), (good + b"more",)], "p binary")
     assert rows[0].yaw == 10.0 and rows[0].success == 1 and rows[0].quat_raw == [0, 0, 0, 1] and rows[1].timestamp is None and rows[2].tz == 3.0

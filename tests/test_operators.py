@@ -253,13 +253,6 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted((r.line_no, r.ordinal) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(i, i + 1) for i in range(4)]
 
 
-def test_windows_of_event_time(spark, tmp_path):
-    spark.sql("select timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id) as ts, 'a' as k, cast(id as double) as value from range(100)").write.parquet(str(tmp_path / "in"))
-    stream = live.landed(spark, str(tmp_path / "in"), "ts timestamp, k string, value double")
-    live.each_batch(live.windowed_counts(stream, "ts", "10 seconds", "30 seconds", ["k"]), lambda b, _: b.select("n").write.mode("append").parquet(str(tmp_path / "out")), str(tmp_path / "cp")).awaitTermination()
-    assert all(r.n <= 30 for r in spark.read.parquet(str(tmp_path / "out")).collect())
-
-
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 9), min_size=4, max_size=4), min_size=4, max_size=4))
 def test_assignment_is_the_best(rows):
@@ -271,38 +264,6 @@ def test_assignment_is_the_best(rows):
     assert sum(m[i, c] for i, c in enumerate(columns)) == sums[0] and margin == sums[0] - sums[1]
 
 
-def test_datagrams(spark, tmp_path):
-    import socket
-    import time
-
-    with socket.socket(socket.AF_INET, socket.SOCK_DGRAM) as probe:
-        probe.bind(("127.0.0.1", 0))
-        port = probe.getsockname()[1]
-    spark.dataSource.register(live.DatagramSource)
-    stream = spark.readStream.format("datagrams").option("port", port).load()
-    query = live.each_batch(stream, lambda b, _: b.write.mode("append").parquet(str(tmp_path / "out")), str(tmp_path / "cp"), once=False, interval="200 milliseconds")
-    sender, sent, got = socket.socket(socket.AF_INET, socket.SOCK_DGRAM), 0, []
-    try:
-        for _ in range(150):
-            sender.sendto(b"packet %d" % sent, ("127.0.0.1", port))
-            sent += 1
-            time.sleep(0.2)
-            if (tmp_path / "out").exists() and len(got := spark.read.schema("ordinal long, packet binary").parquet(str(tmp_path / "out")).collect()) >= 5:
-                break
-    finally:
-        query.stop()
-        sender.close()
-    assert len(got) >= 5 and len({r.packet for r in got}) == len(got) and sorted(r.ordinal for r in got) == list(range(len(got)))
-
-
-def test_late_rows_and_repeats(spark, tmp_path):
-    spark.sql("select timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id % 50) as ts, cast(id % 50 as string) as k from range(100)").write.parquet(str(tmp_path / "in"))
-    stream = live.landed(spark, str(tmp_path / "in"), "ts timestamp, k string")
-    live.each_batch(live.first_seen(stream, "k", "ts", "1 hour"), lambda b, _: b.write.mode("append").parquet(str(tmp_path / "out")), str(tmp_path / "cp")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 50
-    assert live.sessions(stream, "ts", "10 seconds", "5 seconds", ["k"]).isStreaming
-
-
 def test_matching_and_building(spark):
     rng = random.Random(9)
     schema = ROWS.replace(", upscaled boolean", "") + ", cleanup_flag string"
