@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark writes it, and the place in it: local, HDFS, S3 or GCS."""
+    scheme = re.match(r"([a-z0-9+.-]+):/", path)
+    if scheme is None or scheme[1] == "file":
+        return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
+    return fs.FileSystem.from_uri(quote(path, safe=":/@"))
+
+
 def read_csv(spark: SparkSession, path: str | list[str], columns: list[str] | None = None) -> DataFrame:
     """All cells as strings, quotes doubled inside quotes, cells over several lines; an empty cell is null.
 
@@ -36,12 +47,22 @@ def read_csv(spark: SparkSession, path: str | list[str], columns: list[str] | No
 
 
 def read_csvs(spark: SparkSession, paths: list[str]) -> DataFrame | None:
-    """The union of tables by the names of their columns; paths that are not there are left out."""
-    tables = [read_csv(spark, p) for p in paths if path_exists(spark, p)]
-    out = None
-    for t in tables:
-        out = t if out is None else out.unionByName(t, allowMissingColumns=True)
-    return out
+    """The union of tables by the names of their columns, one scan for each header; None if there is none.
+
+    Paths (of files, folders or patterns) that are not there are left out, and so are files that are no tables;
+    ``headers.header_index`` names those.
+    """
+    from .headers import header_index, read_tables
+
+    there = [p for p in paths if path_exists(spark, p)]
+    if not there:
+        return None
+    index = header_index(spark.read.format("binaryFile").load(there).select("path")).cache()
+    try:
+        table = read_tables(spark, index) if index.where("problem is null").limit(1).count() else None
+    finally:
+        index.unpersist()
+    return table.drop(table.columns[-1]) if table is not None else None
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -128,18 +149,6 @@ def log_fields(line: Column) -> dict[str, Column]:
     return out | {"confidence": number(CONFIDENCE, 1), "fit_error": number(CONFIDENCE, 2), "eye_l": word(3), "eye_r": word(4)}
 
 
-def probe(spark: SparkSession, entries: list[tuple[str, str, str, float, bool]]) -> DataFrame:
-    """path, average_rate, base_rate, duration, has_audio of containers, as an external prober reported them."""
-    return spark.createDataFrame(entries, "path string, average_rate string, base_rate string, duration double, has_audio boolean")
-
-
-def frame_rate(average: Column, base: Column, fallback: float = 30.0) -> Column:
-    """The first positive of two rational rates."""
-    from ..functions.parsing import rational
-
-    return F.coalesce(rational(average), rational(base), F.lit(fallback))
-
-
 def sample_frames(videos: DataFrame, decode, rate: float, schema: str) -> DataFrame:
     """Frames of videos at about ``rate`` a second.
 
