@@ -12,12 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import bins, parsing, vectors
+from .functions import bins, geometry, parsing, vectors
 from .operators import dataset, fusion, gates, overlaps, profile, quantiles, sampling, selection, timeline
 from .operators import vectors as vector_ops
 from .plans import workflows
 from .session import shared_dir
-from .sources import readers, sinks
+from .sources import headers, readers, sinks
 from .streaming import live, merge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -765,6 +765,218 @@ def stream_ordinals(spark, d):
     return spark.read.parquet(f"{root}/out").drop("batch")
 
 
+# Files
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/siftwork/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT 'item ' || s_suppkey || '.TXT' AS name, CAST(octet_length(encode(s_name)) AS BIGINT) AS bytes, s_suppkey % 3 = 0 AS nested FROM supplier")
+def listed_items(spark, d):
+    folder = shared_folder(spark, "items")
+    rows = t(spark, d, "supplier").select(F.concat(F.when(F.col("s_suppkey") % 3 == 0, "deep/").otherwise(""), F.lit("item "), "s_suppkey", F.lit(".TXT")).alias("n"), F.col("s_name").alias("text"), (F.col("s_suppkey") % 3 == 0).alias("nested"))
+    sinks.write_items(rows.where("not nested"), readers.as_uri(folder), "n", "text")
+    sinks.write_items(rows.where("nested").withColumn("n", F.substring_index("n", "/", -1)), readers.as_uri(f"{folder}/deep"), "n", "text")
+    flat = readers.listing(spark, folder, ("txt",)).select("name", "bytes", F.lit(False).alias("nested"))
+    every = readers.listing(spark, folder, ("txt",), recursive=True)
+    return flat.union(every.join(flat, "name", "left_anti").select("name", "bytes", F.lit(True).alias("nested")))
+
+
+@query("""
+    SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, NULL AS kind, NULL AS size, c_mktsegment AS seg FROM customer UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL, NULL, NULL FROM supplier UNION ALL SELECT CAST(p_partkey AS VARCHAR), NULL, p_type, CAST(p_size AS VARCHAR), NULL FROM part""")
+def csv_headers(spark, d):
+    folder = shared_folder(spark, "logs")
+    logs = [t(spark, d, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_mktsegment AS seg"), t(spark, d, "supplier").selectExpr("s_suppkey AS id", "s_name AS name"), t(spark, d, "part").selectExpr("p_size AS size", "p_partkey AS id", "p_type AS kind")]
+    for i, rows in enumerate(logs):
+        sinks.write_csv(rows.repartition(3, "id"), f"{folder}/{i}", rows.columns)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(folder).select("path")
+    return headers.read_tables(spark, headers.header_index(files)).select("id", "name", "kind", "size", "seg")
+
+
+@query("SELECT o_orderpriority AS bin, count(*) AS n FROM orders GROUP BY 1")
+def profile_counts(spark, d):
+    path = shared_folder(spark, "profile")
+    counts = t(spark, d, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+    # A profile is one record with a map of a few bins.
+    one = counts.agg(F.map_from_entries(F.collect_list(F.struct("o_orderpriority", "n"))).alias("bins"))
+    sinks.write_jsonl(one, path)
+    return readers.read_profile(spark, path, counts.select(F.col("o_orderpriority").alias("bin"), "n"))
+
+
+@query("SELECT event_id, count(*) AS n FROM (SELECT event_id FROM events UNION ALL SELECT event_id FROM events WHERE value > 100) GROUP BY 1")
+def jsonl_appended(spark, d):
+    path = shared_folder(spark, "records")
+    rows = t(spark, d, "events").select("event_id", "value")
+    sinks.write_jsonl(rows, path)
+    sinks.write_jsonl(rows.where("value > 100"), path, append=True)
+    return readers.read_jsonl(spark, path, "event_id long, value double").groupBy("event_id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, round(value, 2) AS value FROM events WHERE value > 20")
+def jsonl_rewritten(spark, d):
+    path = shared_folder(spark, "manifest")
+    sinks.write_jsonl(t(spark, d, "events").select("event_id", "value"), path)
+    sinks.rewrite_jsonl(readers.read_jsonl(spark, path, "event_id long, value double").where("value > 20"), path)
+    return readers.read_jsonl(spark, path, "event_id long, value double").select("event_id", F.round("value", 2).alias("value"))
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS event_id, count(*) AS n FROM (SELECT event_id FROM events UNION ALL SELECT event_id FROM events WHERE event_type = 'error') GROUP BY 1")
+def csv_appended(spark, d):
+    path, rows = shared_folder(spark, "csv"), t(spark, d, "events")
+    sinks.write_csv(rows, path, ["event_id", "event_type"])
+    sinks.write_csv(rows.where("event_type = 'error'"), path, ["event_id", "event_type"], append=True)
+    return readers.read_csv(spark, path, ["event_id"]).groupBy("event_id").agg(F.count("*").alias("n"))
+
+
+# Lookups and single expressions
+
+
+@query("""
+    WITH n AS (SELECT DISTINCT CASE WHEN s_suppkey % 2 = 0 THEN 'd/' || s_suppkey ELSE CAST(s_suppkey AS VARCHAR) END AS dst FROM supplier)
+    SELECT o_orderkey, 'd/' || o_orderkey IN (SELECT dst FROM n) OR CAST(o_orderkey AS VARCHAR) IN (SELECT dst FROM n) AS upscaled FROM orders""")
+def upscaled_marks(spark, d):
+    names = t(spark, d, "supplier").selectExpr("CASE WHEN s_suppkey % 2 = 0 THEN concat('d/', s_suppkey) ELSE cast(s_suppkey AS string) END AS dst_name").distinct()
+    rows = t(spark, d, "orders").select("o_orderkey", F.concat(F.lit("d/"), "o_orderkey").alias("path"))
+    return selection.mark_upscaled(rows, names).select("o_orderkey", "upscaled")
+
+
+@query("""
+    WITH i AS (SELECT c_custkey, sha1(CAST(c_custkey AS VARCHAR)) AS hash FROM customer)
+    SELECT hash, '/lib/aligned/' || hash || '.png' AS file, CASE WHEN c_custkey IN (SELECT s_suppkey FROM supplier) THEN '/lib/logs/pose/' || hash || '.csv' END AS pose, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000) THEN '/lib/logs/mag/' || hash || '.npy' END AS mag FROM i""")
+def library_manifest(spark, d):
+    items = t(spark, d, "customer").select(F.sha1(F.col("c_custkey").cast("string").cast("binary")).alias("hash"), F.concat(F.lit("in/s"), "c_custkey", F.lit(".jpg")).alias("path"))
+    stems = lambda rows, c: rows.select(F.concat(F.lit("s"), c).alias("stem"))
+    sidecars = {"pose": (stems(t(spark, d, "supplier"), "s_suppkey"), "pose/.csv"), "mag": (stems(t(spark, d, "orders").where("o_totalprice > 300000"), "o_custkey"), "mag/.npy")}
+    return dataset.library_rows(items, "/lib", sidecars)
+
+
+@query("""
+    WITH m AS (SELECT 'd/' || o_orderkey AS path FROM orders WHERE o_totalprice > 50000), g AS (SELECT 'd/' || c_custkey * 4 AS path, CASE c_custkey % 3 WHEN 0 THEN '0' WHEN 1 THEN '1' END AS f FROM customer)
+    SELECT m.path FROM m LEFT JOIN g USING (path) WHERE coalesce(f, '0') IN ('0', '')""")
+def matched_index(spark, d):
+    matched = t(spark, d, "orders").where("o_totalprice > 50000").select(F.concat(F.lit("d/"), "o_orderkey").alias("path"))
+    tags = t(spark, d, "customer").selectExpr("c_custkey AS src_ord", "concat('d/', c_custkey * 4) AS path", "CASE c_custkey % 3 WHEN 0 THEN '0' WHEN 1 THEN '1' END AS cleanup_flag")
+    return dataset.source_index(matched, tags)
+
+
+@query("SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1")
+def ordered_distinct(spark, d):
+    return dataset.ordered_distinct(t(spark, d, "orders"), "o_custkey", "o_orderkey")
+
+
+@query("SELECT count(DISTINCT o_custkey) AS keys FROM orders")
+def distinct_keys(spark, d):
+    return profile.distinct_keys(t(spark, d, "orders"), "o_custkey")
+
+
+@query("""
+    WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), p AS (SELECT vec_id, v[1] AS ax, v[2] AS ay, v[3] AS bx, v[4] AS b_y, v[5] AS cx FROM e)
+    SELECT vec_id, round(greatest(-90.0, least(90.0, degrees(atan(1.8 * (cx - (ax + bx) * 0.5) / (sqrt((bx - ax) * (bx - ax) + (b_y - ay) * (b_y - ay)) + 1e-6))))), 4) AS yaw FROM p""")
+def point_yaw(spark, d):
+    v = vectors.doubles(F.col("embedding"))
+    points = F.array(*(F.slice(v, 2 * i + 1, 2) for i in range(3)))
+    return t(spark, d, "embeddings").select("vec_id", F.round(geometry.yaw_from_points(points), 4).alias("yaw"))
+
+
+LABELS = "CASE WHEN value >= 60 THEN 'open' ELSE 'closed' END", "CASE WHEN (event_id % 21) / 10.0 >= 1.0 THEN 'smile' ELSE 'neutral' END"
+
+
+@query(f"SELECT event_id, {LABELS[0]} AS mouth, {LABELS[1]} AS smile, CASE WHEN value >= 60 AND (event_id % 21) / 10.0 >= 1.0 THEN 'likely' ELSE '' END AS teeth FROM events")
+def unit_labels(spark, d):
+    label = bins.unit_labels((F.col("event_id") % 21) / F.lit(10.0), F.col("value") / 100, F.col("value") / 50, 1.2, 1.0)
+    return t(spark, d, "events").select("event_id", label.alias("l")).select("event_id", "l.*")
+
+
+@query("""
+    WITH s AS (SELECT event_id, event_id * 7 % 5000 AS a, event_id * 11 % 9000 AS b FROM events)
+    SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN a::DOUBLE END AS start, CASE WHEN event_id % 5 <> 0 THEN b::DOUBLE END AS stop FROM s""")
+def range_specs(spark, d):
+    a, b = F.col("event_id") * 7 % 5000, F.col("event_id") * 11 % 9000
+    clock = lambda s: F.concat(F.floor(s / 60).cast("string"), F.lit(":"), (s % 60).cast("string"))
+    spec = F.when(F.col("event_id") % 5 == 0, "from the start").otherwise(F.concat(F.lit(" "), clock(a), F.lit(" - "), b.cast("string")))
+    return t(spark, d, "events").select("event_id", parsing.range_spec(spec).alias("r")).select("event_id", "r.start", F.col("r.end").alias("stop"))
+
+
+@query("""
+    WITH e AS (SELECT vec_id, list_transform(embedding[1:6], lambda x: round(abs(x::DOUBLE), 4)) AS v FROM embeddings), u AS (SELECT vec_id, unnest(v) AS p, generate_subscripts(v, 1) AS i FROM e)
+    SELECT vec_id, string_agg('l' || i || ':' || printf('%.4f', p), ',' ORDER BY p DESC, i) AS top FROM (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, i) <= 3) GROUP BY vec_id""")
+def top_labels(spark, d):
+    p = F.transform(F.slice("embedding", 1, 6), lambda x: F.round(F.abs(x.cast("double")), 4))
+    return t(spark, d, "embeddings").select("vec_id", vectors.top_labels(F.array(*(F.lit(f"l{i}") for i in range(1, 7))), p, 3).alias("top"))
+
+
+@query("""
+    SELECT CAST(event_id AS VARCHAR) AS file, CASE WHEN event_id % 4 <> 0 THEN user_id END AS frame, CASE WHEN event_id % 3 <> 0 THEN value END AS confidence, round((value - 100) / 50 * 180 / pi(), 5) AS yaw_deg, round((event_id % 31) / 10.0, 4) AS "AU12_r" FROM events""")
+def typed_pose(spark, d):
+    cells = t(spark, d, "events").selectExpr("cast(event_id AS string) AS file", "CASE WHEN event_id % 4 <> 0 THEN cast(user_id AS string) ELSE 'x' END AS frame", "CASE WHEN event_id % 3 <> 0 THEN cast(value AS string) ELSE '' END AS confidence", "cast((value - 100) / 50 AS string) AS pose_Ry", "cast((event_id % 31) / 10.0D AS string) AS AU12_r")
+    return workflows.typed_pose(cells).select("file", "frame", "confidence", F.round("yaw_deg", 5).alias("yaw_deg"), F.round("AU12_r", 4).alias("AU12_r"))
+
+
+# Pose sources and emotion
+
+POSES = {
+    "of3": ("event_id % 4 <> 1", {"pose_yaw": "(value - 100) / 3", "pitch": "(event_id % 70) - 35.0", "emotion": "CASE event_id % 5 WHEN 0 THEN ' happy ' WHEN 1 THEN 'SAD' WHEN 2 THEN 'bored' WHEN 3 THEN 'Contempt' ELSE '' END"}),
+    "mp": ("event_id % 3 <> 0", {"yaw": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE (event_id % 120) - 60.0 END", "pitch": "CASE WHEN event_id % 2 = 0 THEN NULL ELSE (event_id % 50) - 25.0 END"}),
+    "osf": ("event_id % 2 = 0", {"yaw": "(event_id % 90) - 45.0", "pitch": "(event_id % 80) - 40.0"}),
+}
+_DEG = "CASE WHEN abs({x}) <= pi() + 0.05 THEN ({x}) * 180.0 / pi() ELSE {x} END"
+
+
+@query(f"""
+    WITH e AS (SELECT event_id, value, CASE WHEN event_id % 4 <> 1 THEN (value - 100) / 3 END AS y3, CASE WHEN event_id % 4 <> 1 THEN (event_id % 70) - 35.0 END AS p3, CASE WHEN event_id % 4 <> 1 THEN {POSES["of3"][1]["emotion"]} END AS emo,
+                      CASE WHEN event_id % 3 <> 0 AND event_id % 5 <> 0 THEN (event_id % 120) - 60.0 END AS ym, CASE WHEN event_id % 3 <> 0 AND event_id % 2 <> 0 THEN (event_id % 50) - 25.0 END AS pm, CASE WHEN event_id % 2 = 0 THEN (event_id % 90) - 45.0 END AS yo, CASE WHEN event_id % 2 = 0 THEN (event_id % 80) - 40.0 END AS po FROM events),
+         f AS (SELECT *, {_DEG.format(x="y3")} AS dy3, {_DEG.format(x="p3")} AS dp3, {_DEG.format(x="ym")} AS dym, {_DEG.format(x="pm")} AS dpm FROM e),
+         b AS (SELECT min(dy3) < -1 AND max(dy3) > 1 AS s3, min(dym) < -1 AND max(dym) > 1 AS sm, count(dy3) AS n3, count(dym) AS nm FROM f), c AS (SELECT CASE WHEN s3 AND NOT sm THEN true WHEN sm AND NOT s3 THEN false ELSE n3 >= nm END AS prefer FROM b)
+    SELECT CAST(event_id AS VARCHAR) AS file, round(coalesce(CASE WHEN prefer THEN dy3 END, dym, yo, dy3), 5) AS yaw, round(coalesce(dpm, dp3, po), 5) AS pitch, CASE WHEN upper(trim(emo)) IN ('NEUTRAL', 'HAPPY', 'SAD', 'SURPRISE', 'FEAR', 'DISGUST', 'ANGER', 'CONTEMPT') THEN upper(trim(emo)) ELSE 'NEUTRAL' END AS emotion FROM f, c""")
+def pose_sources(spark, d):
+    e = t(spark, d, "events")
+    file = F.col("event_id").cast("string").alias("file")
+    tables = {name: e.where(which).select(file, *(F.expr(x.replace(".0", ".0D")).cast("string").alias(c) for c, x in columns.items())) for name, (which, columns) in POSES.items()}
+    tagged, _, _ = workflows.tagging(e.select(file, F.col("value").alias("focus")), tables)
+    return tagged.select("file", F.round("pose_deg.yaw", 5).alias("yaw"), F.round("pose_deg.pitch", 5).alias("pitch"), F.col("bins")["EMOTION"].alias("emotion"))
+
+
+# Options of the gates
+
+_FACE = "(event_id * 37) % 1920 AS x, (event_id * 53) % 1080 AS y, 100 + (event_id * 17) % 700 AS s"
+
+
+def gated_frames(spark: SparkSession, d: str, references: bool = False, **options) -> DataFrame:
+    """One face in each frame: a box around x, y, eyes a quarter of its side above the middle, the nose a tenth of it to the right."""
+    rows = t(spark, d, "events").selectExpr("event_id", "value", "cast((event_id * 37) % 1920 AS double) AS x", "cast((event_id * 53) % 1080 AS double) AS y", "cast(100 + (event_id * 17) % 700 AS double) AS s")
+    c = F.col
+    box = F.array(c("x") - c("s") / 2, c("y") - c("s") / 2, c("x") + c("s") / 2, c("y") + c("s") / 2)
+    points = F.array(F.array(c("x") - c("s") / 5, c("y") - c("s") / 4), F.array(c("x") + c("s") / 5, c("y") - c("s") / 4), F.array(c("x") + c("s") / 10, c("y")))
+    embedding = F.array(c("value"), F.lit(100.0))
+    face = F.struct(box.alias("box"), points.alias("kps"), F.lit(0.9).alias("det_score"), embedding.alias("embedding"))
+    frames = rows.select(c("event_id").alias("frame_idx"), F.lit(1920.0).alias("width"), F.lit(1080.0).alias("height"), F.array(face).alias("faces"), c("value").alias("brightness"), (c("value") * 3).alias("focus"))
+    refs = spark.createDataFrame([([0.0, 1.0],), ([0.6, 0.8],)], "embedding array<double>") if references else None
+    return gates.gate_frames(frames, refs, **options)
+
+
+_CROP = "round_even(cx - used / 2, 0) AS x1, round_even(cy - used / 2, 0) AS y1, round_even(cx + used / 2, 0) AS x2, round_even(cy + used / 2, 0) AS y2"
+
+
+@query(f"""
+    WITH f AS (SELECT event_id, value, {_FACE} FROM events), a AS (SELECT *, greatest(0.0, least(x::DOUBLE, 1919.0)) AS cx, greatest(0.0, least(y - s / 4.0 + 0.1 * s, 1079.0)) AS cy, s * 1.68 AS used FROM f), k AS (SELECT *, {_CROP} FROM a),
+         m AS (SELECT *, greatest(0, -x1) AS l, greatest(0, -y1) AS t, greatest(0, x2 - 1920) AS r, greatest(0, y2 - 1080) AS b FROM k), p AS (SELECT *, greatest((l + r) / used, (t + b) / used) AS missing, least(1920, x2) - greatest(0, x1) AS w, least(1080, y2) - greatest(0, y1) AS h FROM m)
+    SELECT event_id AS frame_idx, CASE WHEN missing > 0.18 THEN 'pad_exceed_skip' WHEN w <= 0 OR h <= 0 THEN 'extract_fail' WHEN s / used < 0.30 THEN 'face_small_frac' WHEN value < 20 THEN 'too_dark' WHEN value * 3 < CASE WHEN value < 60 THEN 100 * 0.5 ELSE 100 END THEN 'too_blur'
+           WHEN greatest(w, h) < 300 THEN 'native_too_small' WHEN 512.0 / greatest(w, h) > 1.5 THEN 'upscale_too_high' END AS reject_reason, CAST(greatest(w, h) AS BIGINT) AS longest FROM p""")
+def gate_padded(spark, d):
+    gated = gated_frames(spark, d, anchor="eyes", offset_y=0.1, edge_policy="pad", min_brightness=20.0, min_focus=100.0, dark_relax=0.5, min_crop_px=300)
+    return gated.select("frame_idx", "reject_reason", F.col("orig_side").alias("longest"))
+
+
+@query(f"""
+    WITH f AS (SELECT event_id, value, {_FACE}, greatest(100.0, 0.6 * value + 80.0) / (sqrt(value * value + 10000.0) + 1e-8) AS sim FROM events), a AS (SELECT *, greatest(0.0, least(x + s / 10.0, 1919.0)) AS cx, greatest(0.0, least(y::DOUBLE, 1079.0)) AS cy, s * 1.4 AS used FROM f), k AS (SELECT *, {_CROP} FROM a),
+         m AS (SELECT *, greatest(0, -x1) - greatest(0, x2 - 1920) AS dx, greatest(0, -y1) - greatest(0, y2 - 1080) AS dy FROM k), p AS (SELECT *, least(1920, x2 + dx) - greatest(0, x1 + dx) AS w, least(1080, y2 + dy) - greatest(0, y1 + dy) AS h FROM m)
+    SELECT event_id AS frame_idx, round(sim, 6) AS sim, CASE WHEN sim < 0.9 THEN 'below_sim' WHEN s * s / (1920.0 * 1080) < 0.01 THEN 'bbox_frac_reject' WHEN w <= 0 OR h <= 0 THEN 'extract_fail' WHEN greatest(w, h) < 512 THEN 'native_too_small' WHEN 512.0 / greatest(w, h) > 1.5 THEN 'upscale_too_high' END AS reject_reason FROM p""")
+def gate_referenced(spark, d):
+    gated = gated_frames(spark, d, references=True, sim=0.9, anchor="nose", edge_policy="shift", bbox_pad=0.2, min_bbox_frac=0.01)
+    return gated.select("frame_idx", F.round("sim", 6).alias("sim"), "reject_reason")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

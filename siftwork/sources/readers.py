@@ -26,6 +26,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def as_uri(path: str) -> str:
+    """A path with its scheme; one without is local."""
+    return path if re.match(r"[a-z0-9+.-]+:/", path) else f"file://{path}"
+
+
 def store_of(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path as Spark writes it, and the place in it: local, HDFS, S3 or GCS."""
     scheme = re.match(r"([a-z0-9+.-]+):/", path)
