@@ -102,9 +102,11 @@ def running_score(rows: DataFrame, value: str, order: str, alias: str = "z", par
     """z-score of each value against earlier rows only.
 
     The deviation counts from two earlier rows on, and as 1 if it is at most 1e-6; the first row scores 0.
-    Without ``partition`` this is one ordered pass; ``running_score_at_scale`` does the same over many partitions.
+    Without ``partition`` it runs over ranges of all rows (``running_score_at_scale``).
     """
-    spot = Window.partitionBy(*(partition or [])).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    if not partition:
+        return running_score_at_scale(rows, value, order, alias)
+    spot = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     n, mean, std = F.count(value).over(spot), F.avg(value).over(spot), F.stddev_pop(value).over(spot)
     return rows.withColumn(alias, z_score(F.col(value), n, mean, std))
 

@@ -86,7 +86,7 @@ def fill_takes(counts: DataFrame, remaining: Column, total: Column) -> DataFrame
     one = counts.agg(bins_.alias("b"), F.first(remaining).alias("rem"), F.first(total).alias("total"))
 
     def step(acc: Column, x: Column) -> Column:
-        quota = F.bround(acc["rem"].cast("double") * (x["n"].cast("double") / F.col("total").cast("double"))).cast("long")
+        quota = bins.quota(acc["rem"], x["n"], F.col("total"))
         take = F.greatest(F.lit(0).cast("long"), F.least(F.greatest(F.lit(0).cast("long"), quota - x["already"]), x["avail"], acc["rem"]))
         return F.struct((acc["rem"] - take).alias("rem"), F.concat(acc["out"], F.array(F.struct(x["key"].alias("key"), take.alias("take")))).alias("out"))
 
@@ -168,7 +168,7 @@ def select_v2(source: DataFrame, target: DataFrame, minimum: int, cap: int, budg
     covered = one.select("total", F.aggregate("b", F.struct(zero.alias("used"), zero.alias("had"), empty.alias("out")), cover).alias("c"))
 
     def take(acc: Column, x: Column) -> Column:
-        want = F.bround(acc["rem"].cast("double") * (x["n"].cast("double") / F.col("total").cast("double"))).cast("long")
+        want = bins.quota(acc["rem"], x["n"], F.col("total"))
         goes = (acc["rem"] > 0) & (want > 0)
         a = F.when(goes, least(want, x["native"] - x["a"], acc["rem"])).otherwise(zero)
         b = F.when(goes, least(acc["rem"] - a, F.lit(cap).cast("long") - acc["used"], x["up"] - x["b"])).otherwise(zero)

@@ -577,6 +577,13 @@ def clocks_and_bars(spark, d):
     return t(spark, d, "events").select("event_id", parsing.clock_seconds(F.expr(CLOCK.format(s="string"))).alias("seconds"), parsing.clock_text(s).alias("shown"), parsing.bar(s / F.lit(90.0)).alias("bar"))
 
 
+@query("""
+    WITH r AS (SELECT event_id, greatest(0.0, least(1.0, value / 300)) * 20 AS r, 100.0 * (event_id % 97) / greatest(event_id % 5, 1) AS p FROM events), c AS (SELECT *, CAST(floor(r) AS INT) AS cells, CAST(floor((r - floor(r)) * 7) AS INT) AS part FROM r)
+    SELECT event_id, rpad(repeat('█', cells) || CASE WHEN cells < 20 AND part > 0 THEN substr('▏▎▍▌▋▊▉', least(part + 1, 7), 1) ELSE '' END, 20, ' ') AS bar, round(p, 6) AS percent FROM c""")
+def fine_bars(spark, d):
+    return t(spark, d, "events").select("event_id", parsing.fine_bar(F.col("value") / 300).alias("bar"), r6(parsing.percent(F.col("event_id") % 97, F.col("event_id") % 5)).alias("percent"))
+
+
 @query("SELECT event_id, CASE WHEN abs(v) <= pi() + 0.05 THEN round(v * 180.0 / pi(), 6) ELSE round(v, 6) END AS degrees FROM (SELECT event_id, value / 100 - 2 AS v FROM events)")
 def guessed_degrees(spark, d):
     return t(spark, d, "events").select("event_id", r6(parsing.maybe_degrees(F.col("value") / 100 - 2)).alias("degrees"))

@@ -84,21 +84,28 @@ def test_selection_equals_the_rule_one_bin_after_another(spark, seed, cap):
     assert sorted(r.src_ord for r in got.collect()) == one_by_one(source, target, minimum, cap, budget)
 
 
+def running(xs):
+    out = []
+    for i, x in enumerate(xs):
+        before = np.array(xs[:i]) - (xs[0] if xs else 0)
+        sd = before.std() if i > 1 and before.std() > 1e-6 else 1.0
+        out.append((x - xs[0] - before.mean()) / sd if i else 0.0)
+    return out
+
+
 def test_running_score_counts_earlier_rows_only(spark):
     xs = [5.0, 5.0, 5.0, 7.0, 1.0, 4.0]
     table = spark.createDataFrame(list(enumerate(xs)), "i int, x double")
-    got = [r.z for r in fusion.running_score(table, "x", "i").orderBy("i").collect()]
-    expected = []
-    for i, x in enumerate(xs):
-        before = np.array(xs[:i])
-        sd = before.std() if i > 1 and before.std() > 1e-6 else 1.0
-        expected.append((x - before.mean()) / sd if i else 0.0)
-    assert got == pytest.approx(expected)
+    assert [r.z for r in fusion.running_score(table, "x", "i").orderBy("i").collect()] == pytest.approx(running(xs))
+    two = table.union(table.select(F.col("i") + 10, "x")).withColumn("p", F.col("i") >= 10)
+    assert [r.z for r in fusion.running_score(two, "x", "i", partition=["p"]).orderBy("i").collect()] == pytest.approx(running(xs) * 2)
     rng = np.random.default_rng(1)
-    many = spark.createDataFrame([(f"f{i:04d}", 1e9 + float(x)) for i, x in enumerate(rng.normal(0, 1, 600))], "i string, x double")
-    one = [r.z for r in fusion.running_score(many, "x", "i").orderBy("i").collect()]
+    values = [1e9 + float(x) for x in rng.normal(0, 1, 600)]
+    many = spark.createDataFrame([(f"f{i:04d}", x) for i, x in enumerate(values)], "i string, x double")
     for size in (1000, 40, 7):  # one range, some, many; a large mean does not cancel the deviation
-        assert [r.z for r in fusion.running_score_at_scale(many, "x", "i", size=size).orderBy("i").collect()] == pytest.approx(one, abs=1e-6)
+        assert [r.z for r in fusion.running_score_at_scale(many, "x", "i", size=size).orderBy("i").collect()] == pytest.approx(running(values), abs=1e-5)
+    few = many.withColumn("k", F.lit("one value for all"))
+    assert fusion.running_score_at_scale(few, "x", "k", size=50).count() == 600
 
 
 def test_tagging_workflow(spark):
