@@ -71,10 +71,10 @@ def near_candidates(source: DataFrame, thin: DataFrame, minimum: int) -> DataFra
     return found.withColumn("r", F.row_number().over(spot)).where(F.col("r") <= F.greatest(F.lit(minimum * 3) - F.col("own"), F.lit(1))).select("proto", "src_ord")
 
 
-def ranked(rows: DataFrame, weights: tuple[float, float, float], extra: list[str]) -> DataFrame:
-    """``rows`` with their rank in their own bin (and ``extra``)."""
-    spot = Window.partitionBy("key", *extra).orderBy(F.desc("score"), "src_ord")
-    return rows.withColumn("score", row_score("", "key", weights)).withColumn("r", F.row_number().over(spot))
+def ranked(rows: DataFrame, weights: tuple[float, float, float], extra: list[str] | None = None) -> DataFrame:
+    """``rows`` with their six keys (key), score and rank ``r`` in their own bin (and ``extra``), written once; bins of any size."""
+    scored = keyed(rows).withColumn("score", row_score("", "key", weights))
+    return staged(with_ranks(scored, ["key", *(extra or [])], [F.desc("score"), "src_ord"], "r"), "ranked")
 
 
 def fill_takes(counts: DataFrame, remaining: Column, total: Column) -> DataFrame:
@@ -114,8 +114,7 @@ def select_v1(source: DataFrame, target: DataFrame, minimum: int, budget: int =
     which the fill ends is the number of rows it takes and of gaps before.
     """
     columns = source.columns
-    spot = with_ranks(keyed(source).withColumn("score", row_score("", "key", weights)), ["key"], [F.desc("score"), "src_ord"], "r")
-    spot = staged(spot, "ranked")
+    spot = ranked(source, weights)
     sizes = spot.groupBy("key").agg(F.count("*").alias("own"))
     demand = staged(demand_of(target).join(sizes, "key", "left").select("key", "n", "ord", F.coalesce("own", F.lit(0)).alias("own")), "demand")
     count, total, thin = demand.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("own") < minimum)).first()
@@ -149,9 +148,9 @@ def select_v2(source: DataFrame, target: DataFrame, minimum: int, cap: int, budg
     As ``select_v1``; ``source`` also has the boolean column upscaled. Two folds over one row per bin: coverage in the order of
     the demand, the fill by demand. In the fill a bin's upscaled rows are limited by budget and cap, not by its quota.
     """
-    source, demand = keyed(source), demand_of(target)
+    columns, demand = source.columns, demand_of(target)
     spot = ranked(source, weights, ["upscaled"])
-    sizes = source.groupBy("key").agg(F.count_if(~F.col("upscaled")).alias("native"), F.count_if("upscaled").alias("up"))
+    sizes = spot.groupBy("key").agg(F.count_if(~F.col("upscaled")).alias("native"), F.count_if("upscaled").alias("up"))
     counts = demand.join(sizes, "key", "left").select("key", "n", "ord", F.coalesce("native", F.lit(0)).alias("native"), F.coalesce("up", F.lit(0)).alias("up"))
     zero, key_type = F.lit(0).cast("long"), "struct<bin_yaw:string,bin_pitch:string,bin_eyes:string,bin_smile:string,bin_teeth:string,bin_light:string>"
     least = lambda *x: F.greatest(zero, F.least(*x))
@@ -180,7 +179,7 @@ def select_v2(source: DataFrame, target: DataFrame, minimum: int, cap: int, budg
     start = F.struct(F.greatest(zero, limit - F.col("c.had")).alias("rem"), F.col("c.used").alias("used"), nothing.alias("out"))
     takes = covered.select(F.explode(F.aggregate(F.array_sort("c.out"), start, take)["out"]).alias("t")).select("t.*")
     # The rows of a bin are taken in one order by coverage and fill, so a number of them says which.
-    return spot.join(takes.withColumnRenamed("up", "ups"), "key").where(F.col("r") <= F.when(F.col("upscaled"), F.col("ups")).otherwise(F.col("native"))).drop("key", "score", "r", "native", "ups")
+    return spot.join(takes.withColumnRenamed("up", "ups"), "key").where(F.col("r") <= F.when(F.col("upscaled"), F.col("ups")).otherwise(F.col("native"))).select(*columns)
 
 
 def upscaled_names(logs: DataFrame, names: DataFrame) -> DataFrame:
