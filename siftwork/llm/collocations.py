@@ -25,7 +25,8 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, discard, join_keys, mix, staged, utf8
+from ..session import discard, staged
+from .common import WordHashes, join_keys, mix, utf8
 
 # The bytes at which pieces end.
 CUTS = b".,;:!?\n\x0b\x0c\r"

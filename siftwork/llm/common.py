@@ -1,16 +1,14 @@
-"""Helpers that the text operators share: staging, words, hashing and connected components."""
+"""Helpers that the text operators share: words, hashing, joins with heavy keys and connected components."""
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import discard, staged
 
 #: ASCII white space, as the contracts of the operators define it (for Java's, DuckDB's and Python's regex engines).
 SPACE = r"[\x20\x09-\x0D]+"
@@ -19,43 +17,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` once as Parquet into the shared folder and returns what was written, with its lineage cut.
-
-    The shuffle files of the write go when it ends: nothing but the written table is read afterwards. The table goes
-    when the application ends, or before by ``discard``.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/siftwork/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEAN_UP, "false")
-    spark.conf.set(CLEAN_UP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEAN_UP, before)
-    drop_at_exit(spark, path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._staged_path = path
-    return out
-
-
-def drop_at_exit(spark: SparkSession, path: str) -> None:
-    """Has ``path`` deleted when the application ends."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-
-
-def discard(*tables: DataFrame) -> None:
-    """Deletes staged tables that later staged tables have been made from and that nothing reads any more."""
-    for t in tables:
-        spark = t.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(t._staged_path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def split_words(data: bytes | None) -> list[bytes]:
     """The maximal runs of bytes that are not ASCII white space (bytes.split() splits at 0x20 and 0x09-0x0D only)."""
     return data.split() if data else []

@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, discard, join_keys, nested, staged
+from ..session import discard, staged
+from .common import SPACE, join_keys, nested
 
 #: Distinct digests in a shard; bounds the memory of a task that builds or probes one.
 SHARD_KEYS = 200_000

@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, staged
+from ..session import discard, staged
 
 #: Rows on which codebooks are fitted, and the rounds of fitting.
 SAMPLE, ROUNDS = 4_096, 6

@@ -17,7 +17,8 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, nested, staged
+from ..session import staged
+from .common import WORD, nested
 
 LEAF = ["domain", "lang", "source"]
 #: Documents that the last bucket of a leaf's order holds on average, at most; buckets of a step (three hexadecimal digits).

@@ -35,7 +35,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, connected_components, discard, join_keys, mix, nested, split_words, staged, utf8, windows_of
+from ..session import discard, staged
+from .common import WordHashes, connected_components, join_keys, mix, nested, split_words, utf8, windows_of
 
 #: Documents in a page.
 PAGE = 64

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, staged
+from ..session import discard, staged
 
 MAX_TOKENS = 2048
 END_OF_DOCUMENT = 0

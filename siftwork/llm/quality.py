@@ -20,7 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, split_words, staged, utf8
+from ..session import discard, staged
+from .common import split_words, utf8
 
 #: Most labelled rows, and about how many pseudo-labelled rows a view gets in a round, that are fitted on.
 LABELLED, PSEUDO = 4000, 2000

@@ -22,7 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import nested, staged
+from ..session import staged
+from .common import nested
 
 #: Rows of a block: at least and, where there would be more than so many blocks, at most.
 LEAST_ROWS, BLOCKS, MOST_ROWS = 1_000, 1_024, 1_000_000

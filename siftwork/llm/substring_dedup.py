@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, discard, join_keys, mix, sliding_min, split_words, staged, utf8, windows_of
+from ..session import discard, staged
+from .common import WordHashes, join_keys, mix, sliding_min, split_words, utf8, windows_of
 
 WINDOW, PHRASE = 50, 16
 #: Bytes of the documents of a block, for which one automaton is compiled, and what a row counts for besides its text.

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, split_words, staged, utf8
+from ..session import discard, staged
+from .common import split_words, utf8
 from .quality import logistic, sigmoid
 
 ORDER = 6

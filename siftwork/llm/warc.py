@@ -21,7 +21,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_at_exit, join_keys, shared_dir, staged
+from ..session import drop_at_exit, shared_dir, staged
+from .common import join_keys
 
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a range; bytes after which a task begins another archive; bytes read at a time.

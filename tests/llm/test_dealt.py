@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from siftwork import session
 from siftwork.llm import collocations, common, fingerprints, hard_negatives, mixing, pii, queries, sharding
 
 SF = "/root/testdata/sf0.01"
@@ -27,7 +28,7 @@ def test_rows_of_a_heavy_key_are_dealt(spark, how, columns):
     heavy = F.col("id") < n // 2
     rows = spark.range(n).select(F.when(heavy, -1).otherwise(F.col("id")).alias("k"), F.when(heavy, 0).otherwise(F.col("id") % 7).alias("j"), F.col("id").alias("v"))
     keys = rows.groupBy(*columns).agg(F.count("*").alias("copies"), F.min("v").alias("first")).where("k % 3 <> 0")
-    keys, rows = common.staged(keys, "keys"), common.staged(rows.select(*columns, "v"), "rows")
+    keys, rows = session.staged(keys, "keys"), session.staged(rows.select(*columns, "v"), "rows")
     old = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
