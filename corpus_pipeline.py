@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwork.llm.common import staged
 from siftwork.llm.exact_dedup import drop_exact_copies
 from siftwork.llm.mixing import mixture
 from siftwork.llm.ngram_join import drop_near_copies
 from siftwork.llm.packing import pack
 from siftwork.llm.quality import drop_rejected
 from siftwork.llm.queries import TOKENIZER, mixture_of
+from siftwork.session import staged
 
 #: Near copies: sets of five-word shingles with a Jaccard similarity of at least 0.8.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
