@@ -30,7 +30,7 @@ def utf8(column: pa.Array) -> list[bytes | None]:
 class WordHashes(dict):
     """word -> 64-bit hash; a cache that is emptied when it has grown past ``limit`` words."""
 
-    def __init__(self, limit: int = 2_000_000):
+    def __init__(self, limit: int = 300_000):
         super().__init__()
         self.limit = limit
 

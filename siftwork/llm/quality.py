@@ -145,9 +145,20 @@ def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
 
 
+#: Rows whose features stand in a matrix at once.
+SLICE = 1_024
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most SLICE rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def _features(frame: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = list(zip(utf8(b.column("text")), b.column("lang").to_pylist(), b.column("source").to_pylist(), strict=True))
             content = [content_features(t or b"").astype(np.float16).tobytes() for t, _, _ in rows]
             metadata = [metadata_features(t or b"", lang, source).astype(np.float16).tobytes() for t, lang, source in rows]
@@ -167,15 +178,6 @@ def matrix(column: pa.Array | list[bytes]) -> np.ndarray:
 
 
 VIEWS = ("content", "metadata")
-#: Rows whose features stand in a matrix at once.
-SLICE = 1_024
-
-
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most SLICE rows."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, SLICE):
-            yield batch.slice(at, SLICE)
 
 
 def moments(features: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -264,7 +266,7 @@ def score(docs: DataFrame, model: CoTrained | None) -> DataFrame:
     """doc_id, score, content_score, metadata_score of every row, in their order."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             n = b.num_rows
             found = (np.ones(n), np.ones(n), np.ones(n))
             if model and n:
@@ -299,7 +301,7 @@ def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, labels)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             if model is None or not b.num_rows:
                 yield b
                 continue
