@@ -44,28 +44,37 @@ def demand_of(target: DataFrame) -> DataFrame:
     return keyed(target).groupBy("key").agg(F.count("*").alias("n"), F.min("src_ord").alias("ord"))
 
 
+#: Bins of which tables are sent to all tasks at most.
+SMALL = 100_000
+
+
+def small(bins_of: DataFrame, count: int) -> DataFrame:
+    """A table of ``count`` bins, sent to all tasks where that is little."""
+    return F.broadcast(bins_of) if count <= SMALL else bins_of
+
+
 def postings(source: DataFrame, values: DataFrame, length: int) -> DataFrame:
     """field, value, src_ord, key: for each of the ``values`` (field, value) the first ``length`` rows of ``source`` that have it.
 
     A value that very many rows share is cut in parts first, so no task orders all of its rows.
     """
     fields = ", ".join(f"'{k}', key.{k}" for k in NEAR)
-    entries = source.select("src_ord", "key", F.expr(f"stack({len(NEAR)}, {fields}) as (field, value)")).join(F.broadcast(values), ["field", "value"], "left_semi")
+    entries = source.select("src_ord", "key", F.expr(f"stack({len(NEAR)}, {fields}) as (field, value)")).join(values, ["field", "value"], "left_semi")
     part = Window.partitionBy("field", "value", F.pmod(F.xxhash64("src_ord"), F.lit(64))).orderBy("src_ord")
     whole = Window.partitionBy("field", "value").orderBy("src_ord")
     short = entries.withColumn("r", F.row_number().over(part)).where(F.col("r") <= length)
     return short.withColumn("r", F.row_number().over(whole)).where(F.col("r") <= length).drop("r")
 
 
-def near_candidates(source: DataFrame, thin: DataFrame, minimum: int) -> DataFrame:
-    """proto, src_ord: for each thin bin (``thin``: proto, own, the number of its own rows) the first rows of other bins that share its yaw, pitch or smile, as many as are missing up to three times the minimum (one at least).
+def near_candidates(source: DataFrame, thin: DataFrame, minimum: int, count: int) -> DataFrame:
+    """proto, src_ord: for each thin bin (``thin``: proto, own, the number of its own rows; ``count`` of them) the first rows of other bins that share its yaw, pitch or smile, as many as are missing up to three times the minimum (one at least).
 
     Each value has one list of its first rows in order. A thin bin has fewer than ``minimum`` rows of its own, so the
     first rows that it can use stand among the first 4 * ``minimum`` of each of its three lists: the lists are cut there,
     and a bin merges three short lists, however many rows share a value.
     """
     wanted = thin.select("proto", "own", F.expr("stack(3, 'bin_yaw', proto.bin_yaw, 'bin_pitch', proto.bin_pitch, 'bin_smile', proto.bin_smile) as (field, value)"))
-    lists = postings(source, wanted.select("field", "value").distinct(), 4 * minimum)
+    lists = postings(source, small(wanted.select("field", "value").distinct(), 3 * count), 4 * minimum)
     found = lists.join(wanted, ["field", "value"]).where("key <> proto").select("proto", "own", "src_ord").distinct()
     spot = Window.partitionBy("proto").orderBy("src_ord")
     return found.withColumn("r", F.row_number().over(spot)).where(F.col("r") <= F.greatest(F.lit(minimum * 3) - F.col("own"), F.lit(1))).select("proto", "src_ord")
@@ -94,15 +103,6 @@ def fill_takes(counts: DataFrame, remaining: Column, total: Column) -> DataFrame
     return one.select(F.explode(F.aggregate("b", first, step)["out"]).alias("t")).select("t.key", "t.take")
 
 
-#: Bins of which tables are sent to all tasks at most.
-SMALL = 100_000
-
-
-def small(bins_of: DataFrame, count: int) -> DataFrame:
-    """A table of ``count`` bins, sent to all tasks where that is little."""
-    return F.broadcast(bins_of) if count <= SMALL else bins_of
-
-
 def select_v1(source: DataFrame, target: DataFrame, minimum: int, budget: int = 0, weights: tuple[float, float, float] = WEIGHTS) -> DataFrame:
     """The first selection rule: coverage with near matches, then a proportional fill with exact ones.
 
@@ -122,7 +122,7 @@ def select_v1(source: DataFrame, target: DataFrame, minimum: int, budget: int =
     first = spot.join(small(demand.where(F.col("own") >= minimum).select("key"), count), "key", "left_semi").where(F.col("r") <= minimum).select("src_ord", "key", "r") if minimum > 0 else spot.limit(0).select("src_ord", "key", "r")
     if minimum > 0 and thin:
         scarce = demand.where(F.col("own") < minimum).select(F.col("key").alias("proto"), "own")
-        near = near_candidates(spot.select("src_ord", "key"), scarce, minimum)
+        near = near_candidates(spot.select("src_ord", "key"), scarce, minimum, thin)
         own = spot.select("src_ord", "key").join(small(scarce, count), F.col("key") == F.col("proto")).select("proto", "src_ord")
         pairs = own.union(near).join(spot.select("src_ord", "key", "r", *KEYS, "id_score", "quality"), "src_ord").withColumn("score", row_score("", "proto", weights))
         best = Window.partitionBy("proto").orderBy(F.desc("score"), "src_ord")
