@@ -50,6 +50,8 @@ MANY = 1 << 40
 NODE, BAND = 32, 1.05
 #: Bytes of the sets of a part of a component; shingles and sets that are compared at once.
 PART, WIDE, TALL = 16 << 20, 1 << 12, 1 << 9
+#: Ids of documents that are sent to all tasks at most (some 60 bytes each in a task's hash table).
+SENT = 2_000_000
 #: Parts of the key space that are shuffled one after another.
 SLICES = 2
 #: Keys that must speak for a pair to be verified before pages are made, but for sets of fewer than FEW shingles.
@@ -213,10 +215,18 @@ def prune(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     return joined.mapInPandas(check, "a long, b long")
 
 
+def those(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """``docs`` joined with the ids of some of them (doc_id, distinct, staged).
+
+    Up to SENT ids, which are counted, go to all tasks, so that whole texts need not be shuffled to find a few of them.
+    """
+    return docs.join(F.broadcast(ids) if ids.count() <= SENT else ids, "doc_id", how)
+
+
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) whose whole sets link."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    held = staged(sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), k), "sets")
+    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    held = staged(sets(those(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids), k), "sets")
     both = pairs.join(held.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a").join(held.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(common * 100 >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
@@ -392,8 +402,8 @@ def count_links(groups: DataFrame, docs: DataFrame, k: int, percent: int) -> Dat
 
     parts = groups.groupBy("comp").agg(F.count("*").alias("members"), F.sum(F.col("n") * 8 + 64).alias("bytes")).where("members > 1").select("comp", F.ceil(F.col("bytes") / PART).alias("parts"))
     dealt = groups.join(parts, "comp").withColumn("part", F.pmod(F.xxhash64("digest"), "parts"))
-    ids = dealt.select(F.col("node").alias("doc_id")).distinct()
-    held = docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(ids, "doc_id", "left_semi").select("text").mapInArrow(read, "digest binary, s binary").dropDuplicates(["digest"])
+    ids = staged(dealt.select(F.col("node").alias("doc_id")).distinct(), "ids")
+    held = those(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids).select("text").mapInArrow(read, "digest binary, s binary").dropDuplicates(["digest"])
     # Each part meets every other: a row for each part of its component.
     rows = dealt.join(staged(held, "whole-sets"), "digest").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     rows = rows.select("comp", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), F.struct("part", "digest", "n_docs", "s").alias("m"))
@@ -480,5 +490,5 @@ def drop_near_copies(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFram
     one doc_id are one document and stay or go together, an empty table stays empty, columns of any names pass through.
     """
     small, groups = components_of_sets(docs, k, percent)
-    gone = placed_documents(small, groups.select("digest", "n_docs", "comp")).where("doc_id > component_id").select(F.col("doc_id").alias("id")).distinct()
-    return nested(docs, id=F.col("doc_id").cast("long")).join(gone, "id", "left_anti").select("rows.*")
+    gone = staged(placed_documents(small, groups.select("digest", "n_docs", "comp")).where("doc_id > component_id").select("doc_id").distinct(), "gone")
+    return those(nested(docs, doc_id=F.col("doc_id").cast("long")), gone, "left_anti").select("rows.*")
