@@ -2,7 +2,9 @@
 
 1. All phrases of two to ``longest`` words are counted in a sketch: counters that phrases share by their hashes and that
    stop at the least count that matters. A phrase's counter is an upper bound of its count (up to there), so whatever can
-   be frequent enough is a candidate. Tasks count apart; their counters are added chunk by chunk, in two steps.
+   be frequent enough is a candidate. The number of counters grows with the input; they are kept in chunks, to which blocks
+   of documents send the counters that they touch, and each chunk is added up in a task. Of the sketch a bit for each
+   counter goes on: whether it has reached the least count. Bits are folded so that they never take more than 64 MB.
 2. Tasks read the documents again in blocks of ``BLOCK`` bytes. A block's candidates, with a delimiter on either side of
    each word, are compiled into an automaton (``pyahocorasick``); the block's text, delimited alike, is streamed through
    it, and all matches count, overlapping ones too. No count comes from the sketch. So an automaton holds no more
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,10 +37,10 @@ FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + CUTS, b"abcdefghijklmnopq
 UNKNOWN = "und"
 #: Bytes of text for which one automaton is compiled, and words whose hashes a task holds.
 BLOCK, HELD_WORDS = 6 << 20, 300_000
-#: Rows of the sketch; counters of a row at least and at most; bytes of text for a counter; counters of a chunk.
-ROWS, LEAST_WIDTH, MOST_WIDTH, BYTES_PER_COUNTER, CHUNK = 1, 1 << 16, 1 << 26, 12, 1 << 16
-#: Parts of a language in which first ranks are taken, and tasks whose counters are added in the first step.
-PARTS, FAN = 64, 256
+#: Counters at least, bytes of text for a counter, counters of a chunk, and bits that tasks get at most.
+LEAST_WIDTH, BYTES_PER_COUNTER, CHUNK, BITS = 1 << 16, 12, 1 << 20, 1 << 29
+#: Parts of a language in which first ranks are taken.
+PARTS = 64
 A, B = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -67,10 +69,9 @@ def phrase_hashes(words: np.ndarray, left: np.ndarray, seed: int, longest: int)
         yield k, starts, mix(held[starts] * B + np.uint64(seed))
 
 
-def counters(hashes: np.ndarray, width: int) -> Iterator[np.ndarray]:
-    """The counter of each hash in each row of the sketch (a power of two wide)."""
-    for row in range(ROWS):
-        yield ((hashes >> np.uint64(32 * row)) & np.uint64(width - 1)).astype(np.int64)
+def slots(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The counter of each hash, of ``width`` (a power of two)."""
+    return (hashes & np.uint64(width - 1)).astype(np.int64)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], hashes: WordHashes) -> Iterator[tuple[str, int, Pieces]]:
@@ -95,42 +96,57 @@ def blocks(batches: Iterator[pa.RecordBatch], hashes: WordHashes) -> Iterator[tu
         yield lang, hashes[lang.encode()], Pieces(texts)
 
 
+def squeezed(x: np.ndarray) -> bytes:
+    """Numbers as planes of their bytes, compressed."""
+    return pa.compress(x.view(np.uint8).reshape(len(x), -1).T.tobytes(), "zstd", asbytes=True)
+
+
+def restored(data: bytes, n: int, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, n * size, "zstd"), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def sketch(texts: DataFrame, width: int, least: int, longest: int) -> np.ndarray:
-    """A bit for each counter (row x counter / 8) of the phrases of ``texts`` (lang, text): whether it has reached ``least``.
+    """Bits, eight in a byte, of the counters of the phrases of ``texts`` (lang, text): whether they have reached ``least``.
 
-    The driver gets ROWS * width bytes in chunks, and width is at most MOST_WIDTH; tasks get an eighth of that.
+    A task adds up one chunk of counters at a time. The driver gets the bits, BITS at most.
     """
+    size, folds = min(CHUNK, width), max(1, min(width, BITS) // CHUNK)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, any_word = WordHashes(HELD_WORDS), np.zeros((ROWS, width), np.uint8), False
+        hashes = WordHashes(HELD_WORDS)
         for _, seed, pieces in blocks(batches, hashes):
-            for _, _, found in phrase_hashes(hashes.of(pieces.words()), pieces.left(), seed, longest):
-                any_word |= bool(len(found))
-                for row, at in enumerate(counters(found, width)):
-                    some, n = np.unique(at, return_counts=True)
-                    held[row][some] = np.minimum(held[row][some] + np.minimum(n, least), least)
-        part = TaskContext.get().partitionId() // FAN
-        for row in range(ROWS if any_word else 0):
-            for at in range(0, width, CHUNK):
-                data = held[row, at : at + CHUNK]
-                if data.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([at // CHUNK], pa.int32()), pa.array([part], pa.int32()), pa.array([pa.compress(data.tobytes(), "zstd", asbytes=True)], pa.binary())], ["row", "chunk", "part", "data"])
-
-    size = min(CHUNK, width)
-
-    def add(chunks: pa.Table) -> pa.Table:
-        total = np.zeros(size, np.uint16)
-        for data in chunks.column("data"):
-            total = np.minimum(total + np.frombuffer(pa.decompress(data.as_buffer(), size, "zstd"), np.uint8), least).astype(np.uint16)
-        return chunks.slice(0, 1).select(["row", "chunk", "part"]).append_column("data", pa.array([pa.compress(total.astype(np.uint8).tobytes(), "zstd", asbytes=True)], pa.binary()))
-
-    schema = "row int, chunk int, part int, data binary"
-    found = texts.mapInArrow(count, schema)
-    found = found.groupBy("row", "chunk", "part").applyInArrow(add, schema)
-    found = staged(found.groupBy("row", "chunk").applyInArrow(add, schema), "sketch")
-    out = np.zeros((ROWS, width // 8), np.uint8)
-    for row, chunk, _, data in zip(*(c.to_pylist() for c in found.toArrow().columns), strict=True):
-        out[row, chunk * CHUNK // 8 : (chunk * CHUNK + size) // 8] = np.packbits(np.frombuffer(pa.decompress(data, size, "zstd"), np.uint8) >= least, bitorder="little")
+            found = [slots(of, width) for _, _, of in phrase_hashes(hashes.of(pieces.words()), pieces.left(), seed, longest)]
+            some, n = np.unique(np.concatenate(found), return_counts=True)
+            n = np.minimum(n, least).astype(np.uint8)
+            edges = np.searchsorted(some, np.arange(0, width + 1, size))
+            chunks = np.flatnonzero(np.diff(edges))
+            gaps = [np.diff(some[edges[c] : edges[c + 1]] - c * size, prepend=0).astype("<u4") for c in chunks.tolist()]
+            columns = [chunks.astype(np.int32), np.diff(edges)[chunks].astype(np.int32), [squeezed(x) for x in gaps], [squeezed(n[edges[c] : edges[c + 1]]) for c in chunks.tolist()]]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["chunk", "n", "gaps", "counts"])
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.zeros(size, np.uint8)
+        for n, gaps, counts in zip(*(rows.column(c) for c in ("n", "gaps", "counts")), strict=True):
+            at = np.cumsum(restored(gaps.as_buffer(), n.as_py(), np.uint32).astype(np.int64))
+            total[at] = np.minimum(total[at].astype(np.uint16) + restored(counts.as_buffer(), n.as_py(), np.uint8), least)
+        chunk = rows.column("chunk")[0].as_py()
+        return pa.table({"chunk": pa.array([chunk % folds], pa.int32()), "bits": pa.array([np.packbits(total >= least, bitorder="little").tobytes()])})
+
+    def fold(rows: pa.Table) -> pa.Table:
+        out = np.zeros(size // 8, np.uint8)
+        for bits in rows.column("bits"):
+            out |= np.frombuffer(bits.as_buffer(), np.uint8)
+        return pa.table({"chunk": rows.column("chunk").slice(0, 1), "bits": pa.array([out.tobytes()])})
+
+    found = texts.mapInArrow(count, "chunk int, n int, gaps binary, counts binary").groupBy("chunk").applyInArrow(add, "chunk int, bits binary")
+    if width > BITS:
+        found = found.groupBy("chunk").applyInArrow(fold, "chunk int, bits binary")
+    found = staged(found, "sketch")
+    out = np.zeros(min(width, BITS) // 8, np.uint8)
+    for chunk, bits in zip(*(c.to_pylist() for c in found.toArrow().columns), strict=True):
+        out[chunk * size // 8 : (chunk + 1) * size // 8] = np.frombuffer(bits, np.uint8)
     discard(found)
     return out
 
@@ -151,12 +167,11 @@ def matches(pieces: Pieces, phrases: list[bytes]) -> np.ndarray:
 
 def counts_of(pieces: Pieces, seed: int, hashes: WordHashes, table: np.ndarray, longest: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(phrases, numbers of words, counts) of the candidates among the pieces' phrases."""
-    words, width = pieces.words(), table.shape[1] * 8
+    words, width = pieces.words(), len(table) * 8
     found, flagged, sizes = [], [], []
     for k, starts, of in phrase_hashes(hashes.of(words), pieces.left(), seed, longest):
-        can = np.ones(len(of), bool)
-        for row, at in enumerate(counters(of, width)):
-            can &= (table[row][at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        at = slots(of, width)
+        can = (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
         flagged.append((k, starts[can]))
         first = starts[can][np.unique(of[can], return_index=True)[1]]
         found += spelled(words, k, first.tolist())
@@ -201,7 +216,7 @@ def collocations(docs: DataFrame, least: int = 10, longest: int = 3, inside: int
     after its first k words, a candidate scores floor(1000000 a a / (l r)), l and r being the counts of both parts; the
     cut with the lowest score counts, of equal ones the smallest k. Candidates go whose words lie inside a longer one
     with at least ``inside`` percent of their count. n: all words of the language. Order: score and a descending,
-    phrase ascending by bytes. ``width``: counters in a row of the sketch; any power of two gives the same result.
+    phrase ascending by bytes. ``width``: counters of the sketch; any power of two from 8 on gives the same result.
 
     Edge cases: null texts count as empty, null languages as ``und``; empty texts and pieces have no words; texts of any
     length are read whole; repeated rows count again; an empty table gives no rows; other columns are ignored.
@@ -213,7 +228,7 @@ def collocations(docs: DataFrame, least: int = 10, longest: int = 3, inside: int
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     if width is None:
         size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-        width = min(MOST_WIDTH, max(LEAST_WIDTH, 1 << (size // BYTES_PER_COUNTER).bit_length()))
+        width = max(LEAST_WIDTH, 1 << (size // BYTES_PER_COUNTER).bit_length())
     table = context.broadcast(sketch(texts, width, least, longest))
     sums = counted(texts, table, longest).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where((F.col("words") == 0) | (F.col("f") >= least))
     counts = staged(sums.select("lang", "words", F.col("phrase").cast("string").alias("phrase"), "f"), "phrase-counts")

@@ -221,9 +221,29 @@ def test_long_texts_are_cut_between_pieces(monkeypatch):
     assert got == expected
 
 
+def test_bits_are_those_of_the_counters(spark, monkeypatch):
+    """Chunks and folds, made small, against counters in one array."""
+    rng = random.Random(2)
+    rows = [("en", " ".join(rng.choice("abcdefgh") for _ in range(30))) for _ in range(60)]
+    hashes = common.WordHashes()
+    pieces = collocations.Pieces([t.encode() for _, t in rows])
+    found = np.concatenate([of for _, _, of in collocations.phrase_hashes(hashes.of(pieces.words()), pieces.left(), hashes[b"en"], 3)])
+    table = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    for width in (8, 1 << 9, 1 << 22):
+        counts = np.bincount(collocations.slots(found, width), minlength=width)
+        bits = np.unpackbits(collocations.sketch(table, width, 4, 3), bitorder="little").astype(bool)
+        assert (bits == (counts >= 4)).all()
+    monkeypatch.setattr(collocations, "BITS", 1 << 21)  # twice as many counters as bits
+    folded = np.unpackbits(collocations.sketch(table, 1 << 22, 4, 3), bitorder="little").astype(bool)
+    assert (folded == bits.reshape(2, -1).any(axis=0)).all() and folded.any()
+    assert sorted(map(tuple, collocations.collocations(table, least=4, top=15, width=1 << 22).collect())) == plain_collocations(rows, 4, 3, 15)
+    x = np.array([0, 1, 70_000, 1 << 31], np.uint32)
+    assert (collocations.restored(collocations.squeezed(x), 4, np.uint32) == x).all()
+
+
 def test_phrases_with_one_hash_are_told_apart(monkeypatch):
     pieces = collocations.Pieces([b"a b c a b d"])
-    bits = np.full((collocations.ROWS, 1), 255, np.uint8)
+    bits = np.full(1, 255, np.uint8)
     monkeypatch.setattr(collocations, "phrase_hashes", lambda words, left, seed, longest: iter([(2, np.arange(5), np.zeros(5, np.uint64))]))
     phrases, sizes, n = collocations.counts_of(pieces, 0, common.WordHashes(), bits, 2)
     assert dict(zip(phrases, n.tolist())) == {b"a b": 2, b"b c": 1, b"c a": 1, b"b d": 1} and set(sizes) == {2}
