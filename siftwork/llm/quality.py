@@ -158,7 +158,7 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _features(frame: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in batches:
             rows = list(zip(utf8(b.column("text")), b.column("lang").to_pylist(), b.column("source").to_pylist(), strict=True))
             content = [content_features(t or b"").astype(np.float16).tobytes() for t, _, _ in rows]
             metadata = [metadata_features(t or b"", lang, source).astype(np.float16).tobytes() for t, lang, source in rows]
@@ -266,7 +266,7 @@ def score(docs: DataFrame, model: CoTrained | None) -> DataFrame:
     """doc_id, score, content_score, metadata_score of every row, in their order."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in batches:
             n = b.num_rows
             found = (np.ones(n), np.ones(n), np.ones(n))
             if model and n:
@@ -301,7 +301,7 @@ def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, labels)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in batches:
             if model is None or not b.num_rows:
                 yield b
                 continue
