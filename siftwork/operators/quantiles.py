@@ -126,7 +126,7 @@ def exact_quantiles(rows: DataFrame, columns: list[str], points: dict[str, float
         below, above = F.floor(place).cast("long"), F.ceil(place).cast("long")
         a, b = (F.max(F.when(F.col("__k") == k, F.col("__value"))) for k in (below, above))
         share = F.max(place - below)
-        return F.when(share == 0, a).otherwise((1 - share) * a + share * b)
+        return F.when((share == 0) | (a == b), a).otherwise((1 - share) * a + share * b)
 
     out = met.groupBy(*every).agg(F.max("__n").alias("n"), *(quantile(p).alias(name) for name, p in points.items()))
     names = F.array(*map(F.lit, columns))

@@ -966,7 +966,7 @@ _CROP = "round_even(cx - used / 2, 0) AS x1, round_even(cy - used / 2, 0) AS y1,
 
 
 @query(f"""
-    WITH f AS (SELECT event_id, value, {_FACE} FROM events), a AS (SELECT *, greatest(0.0, least(x::DOUBLE, 1919.0)) AS cx, greatest(0.0, least(y - s / 4.0 + 0.1 * s, 1079.0)) AS cy, s * 1.68 AS used FROM f), k AS (SELECT *, {_CROP} FROM a),
+    WITH f AS (SELECT event_id, value, {_FACE} FROM events), a AS (SELECT *, greatest(0.0, least(0.5 * ((x - s / 5.0) + (x + s / 5.0)), 1919.0)) AS cx, greatest(0.0, least(y - s / 4.0 + 0.1::DOUBLE * s, 1079.0)) AS cy, s * (1 + 2 * 0.34::DOUBLE) AS used FROM f), k AS (SELECT *, {_CROP} FROM a),
          m AS (SELECT *, greatest(0, -x1) AS l, greatest(0, -y1) AS t, greatest(0, x2 - 1920) AS r, greatest(0, y2 - 1080) AS b FROM k), p AS (SELECT *, greatest((l + r) / used, (t + b) / used) AS missing, least(1920, x2) - greatest(0, x1) AS w, least(1080, y2) - greatest(0, y1) AS h FROM m)
     SELECT event_id AS frame_idx, CASE WHEN missing > 0.18 THEN 'pad_exceed_skip' WHEN w <= 0 OR h <= 0 THEN 'extract_fail' WHEN s / used < 0.30 THEN 'face_small_frac' WHEN value < 20 THEN 'too_dark' WHEN value * 3 < CASE WHEN value < 60 THEN 100 * 0.5 ELSE 100 END THEN 'too_blur'
            WHEN greatest(w, h) < 300 THEN 'native_too_small' WHEN 512.0 / greatest(w, h) > 1.5 THEN 'upscale_too_high' END AS reject_reason, CAST(greatest(w, h) AS BIGINT) AS longest FROM p""")

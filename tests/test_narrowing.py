@@ -50,6 +50,14 @@ def test_no_task_holds_a_group(spark):
     assert "percentile" not in found._jdf.queryExecution().toString()
 
 
+def test_a_quantile_between_equal_values_is_that_value(spark):
+    """A threshold that is a value must not lie above it by a rounding error."""
+    values = [0.1] * 7 + [0.7] * 5
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    got = quantiles.exact_quantiles(rows, ["x"], {f"q{i}": i / 97 for i in range(97)}).first()
+    assert {got[f"q{i}"] for i in range(0, 48)} == {0.1} and {got[f"q{i}"] for i in range(62, 97)} == {0.7}
+
+
 def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([], "x double")
     assert quantiles.exact_quantiles(empty, ["x"], POINTS).count() == 0
