@@ -36,7 +36,7 @@ CUTS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + CUTS, b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(CUTS))
 UNKNOWN = "und"
 #: Bytes of text for which one automaton is compiled, and words whose hashes a task holds.
-BLOCK, HELD_WORDS = 6 << 20, 300_000
+BLOCK, HELD_WORDS = 5 << 20, 300_000
 #: Counters at least, bytes of text for a counter, counters of a chunk, and bits that tasks get at most.
 LEAST_WIDTH, BYTES_PER_COUNTER, CHUNK, BITS = 1 << 16, 12, 1 << 20, 1 << 29
 #: Parts of a language in which first ranks are taken.
@@ -71,7 +71,7 @@ def phrase_hashes(words: np.ndarray, left: np.ndarray, seed: int, longest: int)
 
 def slots(hashes: np.ndarray, width: int) -> np.ndarray:
     """The counter of each hash, of ``width`` (a power of two)."""
-    return (hashes & np.uint64(width - 1)).astype(np.int64)
+    return (hashes & np.uint64(width - 1)).astype(np.uint32 if width <= 1 << 32 else np.int64)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], hashes: WordHashes) -> Iterator[tuple[str, int, Pieces]]:
@@ -120,11 +120,13 @@ def sketch(texts: DataFrame, width: int, least: int, longest: int) -> np.ndarray
             found = [slots(of, width) for _, _, of in phrase_hashes(hashes.of(pieces.words()), pieces.left(), seed, longest)]
             some, n = np.unique(np.concatenate(found), return_counts=True)
             n = np.minimum(n, least).astype(np.uint8)
-            edges = np.searchsorted(some, np.arange(0, width + 1, size))
+            edges = np.searchsorted(some, np.arange(0, width, size, dtype=some.dtype))
+            edges = np.append(edges, len(some))
             chunks = np.flatnonzero(np.diff(edges))
-            gaps = [np.diff(some[edges[c] : edges[c + 1]] - c * size, prepend=0).astype("<u4") for c in chunks.tolist()]
+            gaps = [np.diff(some[edges[c] : edges[c + 1]], prepend=some.dtype.type(c * size)).astype("<u4") for c in chunks.tolist()]
             columns = [chunks.astype(np.int32), np.diff(edges)[chunks].astype(np.int32), [squeezed(x) for x in gaps], [squeezed(n[edges[c] : edges[c + 1]]) for c in chunks.tolist()]]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["chunk", "n", "gaps", "counts"])
+            del pieces, found, some, n, gaps, columns  # before the next block is made
 
     def add(rows: pa.Table) -> pa.Table:
         total = np.zeros(size, np.uint8)
@@ -171,7 +173,7 @@ def counts_of(pieces: Pieces, seed: int, hashes: WordHashes, table: np.ndarray,
     found, flagged, sizes = [], [], []
     for k, starts, of in phrase_hashes(hashes.of(words), pieces.left(), seed, longest):
         at = slots(of, width)
-        can = (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        can = (table[at >> at.dtype.type(3)] >> (at & at.dtype.type(7)).astype(np.uint8) & 1).astype(bool)
         flagged.append((k, starts[can]))
         first = starts[can][np.unique(of[can], return_index=True)[1]]
         found += spelled(words, k, first.tolist())
@@ -201,6 +203,7 @@ def counted(texts: DataFrame, table: Broadcast, longest: int) -> DataFrame:
                 here = slice(at, at + 50_000)
                 some = flat[here]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some)), pa.array(number[here].astype(np.int32)), pa.array(some, pa.binary()), pa.array(f[here])], ["lang", "words", "phrase", "f"])
+            del pieces, single, phrases, sizes, n, flat, number, f, some  # before the next block is made
 
     return texts.mapInArrow(read, "lang string, words int, phrase binary, f long")
 
