@@ -25,6 +25,8 @@ from .common import SPACE, join_keys, nested
 SHARD_KEYS = 200_000
 #: Bits per key in each level of the hash.
 GAMMA = 2.0
+#: Rows that go, of which so many at most are sent to all tasks, so that whole texts need not be shuffled (some 150 bytes each there).
+SENT = 500_000
 #: Orders rows without an id after all others.
 NO_ID = (1 << 63) - 1
 
@@ -194,7 +196,7 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     of_id = rows.groupBy("doc", "digest").agg(F.count("*").alias("n"))
     copies = join_keys(of_id, decided.where("group_size > 1").select("digest", "keep_doc", F.col("group_size").alias("copies")), ["digest"], "copies", rows.count(), F.xxhash64("doc"))
     going = staged(copies.where("doc <> keep_doc or n > 1").select("doc", "digest", (F.col("doc") == F.col("keep_doc")).alias("repeated")), "going")
-    met = nested(docs, **key).join(going, ["doc", "digest"], "left")
+    met = nested(docs, **key).join(F.broadcast(going) if going.count() <= SENT else going, ["doc", "digest"], "left")
     out = met.where("repeated is null").select("rows.*")
     if going.where("repeated").isEmpty():
         return out

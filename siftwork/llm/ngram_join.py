@@ -1,16 +1,18 @@
 """Exact Jaccard join of documents' shingle sets over points of group counts.
 
 A document's set of shingles is hashed into groups; the numbers of shingles in its groups are its point, with more
-groups for larger sets. The overlap of two sets is at most the sum over groups of the smaller count.
+groups for larger sets. The overlap of two sets is at most the sum over groups of the smaller count. Two sets differ in
+as many shingles, at least, as there are groups where one count is odd and the other even: a bit a group bounds pairs too.
 
 * Routing. Sets of sizes a <= b that link differ in a bounded number D of shingles, (a + b) / 19 for 0.9. The groups are
   gathered into more than D blocks, so some block is equal in both, and its digest is a key that both have. A key
   stands for several shingles together, so a passage that many documents share makes few keys of its own. Documents with
-  a key in common are candidates; nothing that links is left out, at any size.
+  a key in common are candidates; nothing that links is left out, at any size. A key belongs to a range of sizes, and
+  pairs of which the larger set is below that range are left to their own range.
 * R-tree. A key's documents are packed into leaf pages by size, pages into nodes; pages and nodes have the largest
   count of each group as their bounding corner. Pairs of nodes are dropped by the bound of their corners, then pairs of
-  pages, then pairs of points by their own bound. Pages are dealt by counts, not by a sort, so a key that very many
-  documents share is spread over all tasks.
+  pages, then pairs of documents by the bits of their points, then by the whole points. Pages are dealt by counts, not
+  by a sort, so a key that very many documents share is spread over all tasks.
 
 What survives is verified on the full sets. Equal sets are one node from the start. Each key's members are first
 verified against the key's smallest document (as many pairs as rows); only members that are then in different
@@ -39,7 +41,7 @@ from ..session import discard, staged
 from .common import WordHashes, connected_components, join_keys, mix, nested, split_words, utf8, windows_of
 
 #: Documents in a page.
-PAGE = 64
+PAGE = 256
 #: Fewest groups of a point; a point has about as many groups as its set has shingles, a byte for each.
 FEWEST = 16
 #: Most groups of the points in pages.
@@ -59,6 +61,8 @@ SPOKEN, FEW = 3, 40
 #: Each range of sizes is this much wider than the one before; a range has one number of blocks.
 WIDER = 1.3
 SHINGLE = 0x2545F4914F6CDD1D
+#: The lowest bits of a key say which range of sizes it belongs to; there are about a hundred.
+RANGE_BITS = 7
 PROFILE = "doc_id long, n long, digest binary, point binary, keys array<long>"
 
 
@@ -84,6 +88,16 @@ class Ranges:
         while edges[-1] < 1 << 40:
             edges.append(max(edges[-1] + 1, int(edges[-1] * WIDER)))
         self.edges = np.array(edges)
+        assert len(edges) <= 1 << RANGE_BITS
+
+    def lowest(self, keys: np.ndarray) -> np.ndarray:
+        """The smallest size of the ranges that ``keys`` belong to."""
+        return self.edges[keys & ((1 << RANGE_BITS) - 1)]
+
+    def reached(self, key: Column, n: Column) -> Column:
+        """Whether sets of size ``n`` come up to the range that ``key`` belongs to."""
+        low = F.element_at(F.array(*map(F.lit, self.edges.tolist())), key.bitwiseAND(F.lit((1 << RANGE_BITS) - 1)).cast("int") + 1)
+        return n >= low
 
     def most(self, n: int) -> int:
         """A set of size n and a larger one that link differ in at most so many shingles: I >= p U with U = a + b - I."""
@@ -112,6 +126,7 @@ def block_keys(s: np.ndarray, ranges: Ranges) -> np.ndarray:
     choice of 1 + spare of their empty blocks too (rarely more than a few).
     """
     keys = []
+    content_bits = ~np.uint64((1 << RANGE_BITS) - 1)
     spread = mix(s ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(20)
     for at, blocks, need, spare in ranges.of(len(s)):
         block = (spread % np.uint64(blocks)).astype(np.int64)
@@ -122,10 +137,10 @@ def block_keys(s: np.ndarray, ranges: Ranges) -> np.ndarray:
         edges = np.searchsorted(of, np.arange(need + 1), "left")
         sizes = np.diff(edges).astype(np.uint64)
         found = mix(total[edges[1:]] - total[edges[:-1]] + np.uint64(0x8EBC6AF09C88C6E3) * sizes + mix(np.arange(need, dtype=np.uint64) + np.uint64(at << 32)))
-        keys.append(found[sizes > 0])
+        keys.append(found[sizes > 0] & content_bits | np.uint64(at))
         empty = np.flatnonzero(sizes == 0).tolist()
         if len(empty) > spare:
-            keys.append(np.array([xxhash.xxh3_64_intdigest(repr((at, some)).encode()) for some in itertools.combinations(empty, spare + 1)], np.uint64))
+            keys.append(np.array([xxhash.xxh3_64_intdigest(repr((at, some)).encode()) for some in itertools.combinations(empty, spare + 1)], np.uint64) & content_bits | np.uint64(at))
     return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
@@ -191,6 +206,22 @@ def coarse() -> Column:
     return folds("point")
 
 
+def odd_groups() -> Column:
+    """A bit for each group of a point: whether its count is odd."""
+
+    @F.pandas_udf("binary")
+    def bits(points: pd.Series) -> pd.Series:
+        return points.map(lambda x: np.packbits(np.frombuffer(x, np.uint8) & 1).tobytes())
+
+    return bits("point")
+
+
+def bit_matrix(bits: list[bytes], width: int) -> np.ndarray:
+    """Bits as rows of ``width`` bytes, in words as wide as fit; longer ones are folded, which adds up counts of groups."""
+    rows = np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, width), axis=0) for x in bits])
+    return rows.view(np.uint64 if width % 8 == 0 else np.uint16)
+
+
 def size_bound(na: int, nb: int, percent: int) -> bool:
     return min(na, nb) * 100 >= percent * max(na, nb)
 
@@ -248,36 +279,41 @@ def corner(points: list[bytes]) -> bytes:
 
 
 class Members:
-    """The documents of a page: a struct array of doc_id, comp, n, point."""
+    """The documents of a page: a struct array of doc_id, comp, n, bits."""
 
     def __init__(self, m: pa.StructArray):
         self.doc, self.comp, self.n = (m.field(c).to_numpy() for c in ("doc_id", "comp", "n"))
-        self.points = m.field("point").to_pylist()
-        self.groups = min(len(x) for x in self.points) // 2
+        self.bits = m.field("bits").to_pylist()
+        self.width = min(map(len, self.bits))
 
-    def pairs(self, other: Members, percent: int) -> list[np.ndarray]:
-        """Pairs of ids, the smaller first, of different components that can link."""
-        groups = min(self.groups, other.groups)
-        a, b = matrix(self.points, groups), matrix(other.points, groups)
+    def pairs(self, other: Members, percent: int, low: int) -> list[np.ndarray]:
+        """Pairs of ids, the smaller first, of different components that can link and whose larger set has ``low`` shingles at least."""
+        width = min(self.width, other.width)
+        a, b = bit_matrix(self.bits, width), bit_matrix(other.bits, width)
         out = []
         for i in range(len(a)):
-            j = np.flatnonzero((other.comp != self.comp[i]) & (np.minimum(self.n[i], other.n) * 100 >= percent * np.maximum(self.n[i], other.n)))
-            j = j[bounded(a[i][None, :], b[j], self.n[i], other.n[j], percent)]
-            out.append(np.stack([np.minimum(self.doc[i], other.doc[j]), np.maximum(self.doc[i], other.doc[j])], axis=1))
+            least, most = np.minimum(self.n[i], other.n), np.maximum(self.n[i], other.n)
+            j = np.flatnonzero((other.comp != self.comp[i]) & (most >= low) & (least * 100 >= percent * most))
+            differ = np.bitwise_count(a[i] ^ b[j]).sum(axis=1, dtype=np.int64)
+            j = j[differ * (100 + percent) <= (100 - percent) * (self.n[i] + other.n[j])]
+            if len(j):
+                out.append(np.stack([np.minimum(self.doc[i], other.doc[j]), np.maximum(self.doc[i], other.doc[j])], axis=1))
         return out
 
 
 def pair_batch(pairs: list[np.ndarray]) -> pa.RecordBatch:
-    found = np.concatenate([np.empty((0, 2), np.int64), *pairs])
+    """The distinct ``pairs``: one pair can have many keys."""
+    found = np.unique(np.concatenate([np.empty((0, 2), np.int64), *pairs]), axis=0)
     return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
 
 
 def tree_pairs(rows: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of ``rows`` (key, doc_id, comp, n) with one key, of different components, that can link.
 
-    ``points``: doc_id, point. Documents of a key and a band of sizes are dealt to leaf pages, pages to nodes. Nodes meet
-    where their sizes can; then their corners, their pages' corners, and at last the points' own bound decide.
+    ``points``: doc_id, point, bits. Documents of a key and a band of sizes are dealt to leaf pages, pages to nodes. Nodes meet
+    where their sizes can; then their corners, their pages' corners, and at last the bits of the documents decide.
     """
+    ranges = Ranges(percent)
     banded = rows.withColumn("band", F.floor(F.log("n") / math.log(BAND)))
     counts = banded.groupBy("key", "band").agg(F.count("*").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"))
     of_key = Window.partitionBy("key")  # a row for each band of the sizes that one key can have: a few
@@ -286,21 +322,27 @@ def tree_pairs(rows: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     # Rows with no other row of a near enough size beside them have no partner under this key.
     counts = counts.where((F.col("c") > 1) | (F.col("down") * 100 >= percent * F.col("lo")) | (F.col("hi") * 100 >= percent * F.col("up")))
     counts = counts.select("key", "band", "c", F.ceil(F.col("c") / PAGE).alias("pages"))
-    counts = staged(counts.withColumn("all_pages", F.sum("pages").over(of_key)), "page-counts")
+    # All documents of a key that fit on one page are on one, whatever their bands.
+    one = F.sum("c").over(of_key) <= PAGE
+    counts = counts.withColumns({"all_pages": F.when(one, 1).otherwise(F.sum("pages").over(of_key)), "leaf": F.when(one, F.min("band").over(of_key)).otherwise(F.col("band"))})
+    counts = staged(counts, "page-counts")
     placed = join_keys(banded, counts, ["key", "band"], "c", rows.count(), F.xxhash64("doc_id"))
-    placed = placed.withColumn("page", F.pmod(F.xxhash64("doc_id"), "pages")).join(points, "doc_id")
-    pages = staged(placed.groupBy("key", "band", "page").agg(F.first("all_pages").alias("all_pages"), F.collect_list(F.struct("doc_id", "comp", "n", "point")).alias("m")), "pages")
+    placed = placed.withColumn("page", F.pmod(F.xxhash64("doc_id"), "pages")).withColumn("band", F.col("leaf")).join(points, "doc_id")
+    # Only pages that meet others need corners, and so points.
+    placed = placed.withColumn("point", F.when(F.col("all_pages") > 1, F.col("point")))
+    pages = placed.groupBy("key", "band", "page").agg(F.first("all_pages").alias("all_pages"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.collect_list(F.struct("doc_id", "comp", "n", "bits")).alias("m"), F.collect_list("point").alias("points"))
+    pages = staged(pages, "pages")
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            low = ranges.lowest(batch.column("key").to_numpy())
             pages = [Members(m.values) for m in batch.column("m")]
-            yield pair_batch([x for p in pages for x in p.pairs(p, percent)])
+            yield pair_batch([x for p, least in zip(pages, low, strict=True) for x in p.pairs(p, percent, least)])
 
     def corners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pages = [Members(m.values) for m in batch.column("m")]
-            columns = [pa.array([int(f(p.n)) for p in pages], pa.int64()) for f in (np.min, np.max)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "band", "page", "all_pages")), *columns, pa.array([corner(p.points) for p in pages], pa.binary())], ["key", "band", "page", "all_pages", "lo", "hi", "corner"])
+            found = [corner(points.values.to_pylist()) for points in batch.column("points")]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.binary())], [*batch.schema.names[:-1], "corner"])
 
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -321,10 +363,11 @@ def tree_pairs(rows: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pair_batch([x for m1, m2 in zip(batch.column("m1"), batch.column("m2"), strict=True) for x in Members(m1.values).pairs(Members(m2.values), percent)])
+            low = ranges.lowest(batch.column("key").to_numpy())
+            yield pair_batch([x for m1, m2, least in zip(batch.column("m1"), batch.column("m2"), low, strict=True) for x in Members(m1.values).pairs(Members(m2.values), percent, least)])
 
     many = pages.where("all_pages > 1")
-    leaves = many.mapInArrow(corners, "key long, band long, page long, all_pages long, lo long, hi long, corner binary")
+    leaves = many.select("key", "band", "page", "all_pages", "lo", "hi", "points").mapInArrow(corners, "key long, band long, page long, all_pages long, lo long, hi long, corner binary")
     node = F.floor(F.col("page") / NODE).alias("node")
     nodes = leaves.groupBy("key", "band", node).agg(F.first("all_pages").alias("all_pages"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list(F.struct("band", "page", "lo", "hi", "corner")).alias("p"))
     nodes = staged(nodes, "nodes")
@@ -336,7 +379,7 @@ def tree_pairs(rows: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     found = staged(met.mapInArrow(descend, "key long, band1 long, page1 long, band2 long, page2 long"), "page-pairs")
     for i in (1, 2):
         found = found.join(many.select("key", F.col("band").alias(f"band{i}"), F.col("page").alias(f"page{i}"), F.col("m").alias(f"m{i}")), ["key", f"band{i}", f"page{i}"])
-    pairs = pages.where("all_pages = 1").select("m").mapInArrow(alone, "a long, b long").union(found.select("m1", "m2").mapInArrow(cross, "a long, b long"))
+    pairs = pages.where("all_pages = 1").select("key", "m").mapInArrow(alone, "a long, b long").union(found.select("key", "m1", "m2").mapInArrow(cross, "a long, b long"))
     return pairs.distinct()
 
 
@@ -449,11 +492,11 @@ def components_of_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame
     reps = nodes.select(F.col("node").alias("doc_id")).distinct()
     points = staged(rows.where("n > 0").select("doc_id", "n", "point").join(reps, "doc_id", "left_semi"), "points")
     # A key's smallest document stands for its set. The keys are shuffled in slices, so that only a part is on disk at once.
-    slices = []
+    slices, ranges = [], Ranges(percent)
     for i in range(SLICES):
-        keyed = rows.where("n > 0").select("doc_id", F.explode("keys").alias("key")).where(F.pmod("key", F.lit(SLICES)) == i)
-        shared = keyed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub <> last").select("key", "hub")
-        slices.append(staged(keyed.join(shared, "key").join(reps, "doc_id", "left_semi"), "together"))
+        keyed = rows.where("n > 0").select("doc_id", "n", F.explode("keys").alias("key")).where(F.pmod(F.shiftright("key", RANGE_BITS), F.lit(SLICES)) == i)
+        shared = keyed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"), F.max(ranges.reached(F.col("key"), F.col("n"))).alias("reached")).where("hub <> last and reached").select("key", "hub")
+        slices.append(staged(keyed.select("doc_id", "key").join(shared, "key").join(reps, "doc_id", "left_semi"), "together"))
     discard(rows)
     together = reduce(DataFrame.union, slices)
     sizes = points.select("doc_id", "n")
@@ -472,7 +515,7 @@ def components_of_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame
     mixed = placed.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key")
     rest = staged(placed.join(mixed, "key"), "rest")
     discard(placed)
-    crossing = tree_pairs(rest, points.select("doc_id", coarse().alias("point")), percent).join(stars, ["a", "b"], "left_anti")
+    crossing = tree_pairs(rest, points.select("doc_id", coarse().alias("point"), odd_groups().alias("bits")), percent).join(stars, ["a", "b"], "left_anti")
     crossing = staged(prune(staged(crossing, "crossing"), points, percent), "pruned")
     discard(rest, stars)
     links = staged(links.union(verified(crossing, known, k, percent)), "all-links")

@@ -81,6 +81,24 @@ def test_jaccard_of_chains_and_small_sets(spark, percent):
     assert {r.doc_id: r.component_id for r in got} == expected
 
 
+def test_jaccard_of_a_large_group_below_the_threshold(spark, monkeypatch):
+    """Documents that are all alike but do not link have many keys in common: few of their pairs may leave the tree."""
+    rng, rows, handed = random.Random(5), [], []
+    base = [f"b{i}" for i in range(500)]
+    for i in range(80):
+        words = list(words if i and i % 8 == 0 else base)
+        for at in rng.sample(range(500), 46 if i % 8 else 12):
+            words[at] = f"w{rng.random()}"
+        rows.append((i, " ".join(words)))
+    sets = {i: shingles(t, 1) for i, t in rows}
+    prune = ngram_join.prune
+    monkeypatch.setattr(ngram_join, "prune", lambda pairs, *rest: handed.append(pairs.count()) or prune(pairs, *rest))
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()
+    expected = components(sets, 80)
+    assert {r.doc_id: r.component_id for r in got} == expected
+    assert handed[-1] < 80 * 79 / 2 / 10
+
+
 def test_connected_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (7, 7)], "a long, b long")
     got = {r.id: r.component for r in common.connected_components(edges).collect()}
