@@ -490,13 +490,15 @@ def components_of_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame
     nodes = staged(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.countDistinct("doc_id").alias("n_docs")), "nodes")
     small = staged(rows.select("doc_id", "n", "digest"), "sizes")
     reps = nodes.select(F.col("node").alias("doc_id")).distinct()
-    points = staged(rows.where("n > 0").select("doc_id", "n", "point").join(reps, "doc_id", "left_semi"), "points")
+    # Other documents than these are few: they are sent to all tasks, so that neither points nor keys are shuffled to be told apart.
+    others = staged(full.select("doc_id").distinct().join(reps, "doc_id", "left_anti"), "others")
+    points = staged(those(full.select("doc_id", "n", "point"), others, "left_anti"), "points")
     # A key's smallest document stands for its set. The keys are shuffled in slices, so that only a part is on disk at once.
     slices, ranges = [], Ranges(percent)
     for i in range(SLICES):
-        keyed = rows.where("n > 0").select("doc_id", "n", F.explode("keys").alias("key")).where(F.pmod(F.shiftright("key", RANGE_BITS), F.lit(SLICES)) == i)
+        keyed = full.select("doc_id", "n", F.explode("keys").alias("key")).where(F.pmod(F.shiftright("key", RANGE_BITS), F.lit(SLICES)) == i)
         shared = keyed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"), F.max(ranges.reached(F.col("key"), F.col("n"))).alias("reached")).where("hub <> last and reached").select("key", "hub")
-        slices.append(staged(keyed.select("doc_id", "key").join(shared, "key").join(reps, "doc_id", "left_semi"), "together"))
+        slices.append(staged(those(keyed.select("doc_id", "key").join(shared, "key"), others, "left_anti"), "together"))
     discard(rows)
     together = reduce(DataFrame.union, slices)
     sizes = points.select("doc_id", "n")
